@@ -8,10 +8,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from playmart.operators import dashboard, models, quality
+from playmart import schemas
+from playmart.functions import scalars
+from playmart.operators import dashboard, ingest, models, quality
 from playmart.plans import oracle
-from playmart.sources import driver
+from playmart.session import scratch_path
+from playmart.sources import driver, landing, warehouse
+
+# Run date of the registered ingest queries (a parameter of the daily run,
+# inside the span of the driver's event table).
+AS_OF = "2024-01-15"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +56,48 @@ def _dq_oracle(table: str, column: str, kind: str) -> str:
     return oracle.unique_sql(table, column) if kind == "unique" else oracle.not_null_sql(table, column)
 
 
+def _landed(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return landing.landed_from_driver(spark, sf)
+
+
+def _candidates(spark: SparkSession, sf: str) -> DataFrame:
+    return ingest.game_candidates(driver.game_info(spark, sf).select("game_id"), _landed(spark, sf)["popular"])
+
+
+def _parse_game_details(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _landed(spark, sf)
+    return ingest.ingest_game_info(_candidates(spark, sf), docs["app_details"], docs["review_summary"])
+
+
+def _status_batch(spark: SparkSession, sf: str) -> DataFrame:
+    totals = ingest.game_review_totals(driver.game_info(spark, sf))
+    return ingest.ingest_game_status(totals, _landed(spark, sf)["player_counts"], AS_OF)
+
+
+def _parse_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    ids = driver.game_info(spark, sf).select("game_id")
+    return ingest.ingest_comment_data(ids, _landed(spark, sf)["review_pages"])
+
+
+def _status_slice_replace(spark: SparkSession, sf: str) -> DataFrame:
+    return warehouse.replace_slice(driver.game_status(spark, sf), _status_batch(spark, sf), AS_OF)
+
+
+def _load_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """I1 batch -> new version folder -> catalog pointer -> read back."""
+    root = scratch_path(spark, "warehouse")
+    table = "game_info_" + root.rsplit("-", 1)[-1]
+    warehouse.full_refresh(spark, _parse_game_details(spark, sf), table, root)
+    return spark.table(table)
+
+
+def _csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """game_info -> staged CSV (header, chosen order) -> read by position."""
+    path = scratch_path(spark, "stage-game_info")
+    warehouse.write_csv(driver.game_info(spark, sf), path, schemas.COLUMNS["game_info"])
+    return warehouse.read_staged_csv(spark, path, schemas.GAME_INFO)
+
+
 QUERIES: dict[str, Query] = {
     # M1-M3
     "src_game_info": lambda spark, sf: models.src_game_info(driver.game_info(spark, sf)),
@@ -90,6 +140,26 @@ QUERIES: dict[str, Query] = {
         _fact(spark, sf), "sum_last_two_weeks_playtime"
     ),
     "genre_review_share": lambda spark, sf: dashboard.genre_review_share(_genre_ratio(spark, sf)),
+    # S7, P5
+    "game_review_totals": lambda spark, sf: ingest.game_review_totals(driver.game_info(spark, sf)),
+    # X10
+    "clean_review_text": lambda spark, sf: driver.read_table(spark, sf, "conversations").select(
+        "conv_id", "turn", scalars.clean_review_text(F.col("text")).alias("comment_content")
+    ),
+    # J6, U5, F10, K5
+    "game_candidates": _candidates,
+    # I1 (S1, S2, F1-F4, F12, F13, X9, X11-X15, K1, K2, K4)
+    "parse_game_details": _parse_game_details,
+    # I2 (S3, J7, F11, P9)
+    "parse_player_counts": _status_batch,
+    # I3 (S4, F4, K3, X10, U4)
+    "parse_reviews": _parse_reviews,
+    # S12, F9
+    "status_slice_replace": _status_slice_replace,
+    # S11, S13
+    "load_full_refresh": _load_full_refresh,
+    # S8, S9
+    "csv_round_trip": _csv_round_trip,
 }
 
 ORACLE: dict[str, str] = {
@@ -111,4 +181,13 @@ ORACLE: dict[str, str] = {
     "top_games_by_playtime": oracle.top_games_sql("sum_total_playtime", 10),
     "top_games_by_recent_playtime": oracle.top_games_sql("sum_last_two_weeks_playtime", 10),
     "genre_review_share": oracle.genre_review_share_sql(),
+    "game_review_totals": oracle.GAME_REVIEW_TOTALS_SQL,
+    "clean_review_text": oracle.CLEAN_REVIEW_TEXT_SQL,
+    "game_candidates": oracle.GAME_CANDIDATES_SQL,
+    "parse_game_details": oracle.PARSE_GAME_DETAILS_SQL,
+    "parse_player_counts": oracle.parse_player_counts_sql(AS_OF),
+    "parse_reviews": oracle.PARSE_REVIEWS_SQL,
+    "status_slice_replace": oracle.status_slice_replace_sql(AS_OF),
+    "load_full_refresh": oracle.PARSE_GAME_DETAILS_SQL,
+    "csv_round_trip": oracle.src_sql("game_info"),
 }
