@@ -1,0 +1,158 @@
+"""Hand-made landed documents for the ingest operators."""
+
+import json
+
+from playmart.operators import ingest
+
+
+def details_doc(gid, **data):
+    base = {
+        "type": "game",
+        "name": "Game, The",
+        "is_free": False,
+        "price_overview": {"final_formatted": "₩ 12,000", "discount_percent": 20},
+        "release_date": {"coming_soon": False, "date": "2023년 6월 5일"},
+        "capsule_image": f"img/{gid}.jpg",
+        "genres": [{"id": "1", "description": "대규모 멀티플레이어"}, {"id": "2", "description": "RPG"}],
+    }
+    success = data.pop("success", True)
+    drop = data.pop("drop", [])
+    base.update(data)
+    for k in drop:
+        base.pop(k, None)
+    return (gid, json.dumps({str(gid): {"success": success, "data": base}}, ensure_ascii=False))
+
+
+def details(spark, docs):
+    return spark.createDataFrame(docs, "game_id BIGINT, body STRING")
+
+
+def parsed(spark, docs):
+    return {r["game_id"]: r for r in ingest.parse_app_details(details(spark, docs)).collect()}
+
+
+def test_app_details_price_rules(spark):
+    po = {"final_formatted": "₩ 9,000"}
+    out = parsed(
+        spark,
+        [
+            details_doc(1),
+            details_doc(2, is_free=True),
+            details_doc(3, drop=["price_overview"]),
+            details_doc(4, price_overview=po),  # price without discount -> -1/0
+            details_doc(5, price_overview={"final_formatted": "₩12,000", "discount_percent": 5}),
+        ],
+    )
+    assert (out[1]["price"], out[1]["discount_percentage"]) == (12000, 20)
+    assert (out[2]["price"], out[2]["discount_percentage"]) == (0, 0)
+    assert (out[3]["price"], out[3]["discount_percentage"]) == (-1, 0)
+    assert (out[4]["price"], out[4]["discount_percentage"]) == (-1, 0)
+    assert out[5]["price"] is None and out[5]["discount_percentage"] == 5
+
+
+def test_app_details_names_dates_genres(spark):
+    out = parsed(
+        spark,
+        [
+            details_doc(1),
+            details_doc(2, release_date={"coming_soon": False, "date": "2022년 11월"}),
+            details_doc(3, release_date={"coming_soon": False, "date": "2023년 06월 05일"}),
+            details_doc(4, release_date={"coming_soon": False, "date": ""}),
+            details_doc(5, genres=[]),
+            details_doc(6, drop=["genres"]),
+            details_doc(7, release_date={"coming_soon": True, "date": ""}, drop=["genres"]),
+        ],
+    )
+    assert out[1]["game_name"] == "Game  The"
+    assert out[1]["release_date"] == "2023-06"
+    assert out[1]["genre"] == "대규모멀티플레이어 RPG"
+    assert out[2]["release_date"] == "2022-11"
+    assert out[3]["release_date"] == "2023-06"
+    assert out[4]["release_date"] is None
+    assert out[5]["genre"] == ""
+    assert 6 not in out  # released without a genres key: dropped
+    coming = out[7]  # coming soon: kept with id only
+    assert all(coming[c] is None for c in ("game_name", "price", "discount_percentage", "release_date", "genre"))
+
+
+def test_app_details_filters(spark):
+    docs = [
+        details_doc(1, type="dlc"),
+        details_doc(2, success=False),
+        (3, "<html>not json</html>"),
+        (4, json.dumps({"999": {"success": True, "data": {"type": "game"}}})),  # no entry under its own id
+        details_doc(5),
+    ]
+    assert set(parsed(spark, docs)) == {5}
+
+
+def test_ingest_game_info_joins_summary(spark):
+    det = details(spark, [details_doc(1), details_doc(2)])
+    summ = spark.createDataFrame(
+        [(1, '{"appid": 1, "positive": 7, "negative": 2}'), (2, "oops")], "game_id BIGINT, body STRING"
+    )
+    cand = spark.createDataFrame([(1,), (2,)], "game_id BIGINT")
+    rows = ingest.ingest_game_info(cand, det, summ).collect()
+    assert len(rows) == 1
+    assert (rows[0]["game_id"], rows[0]["positive_cnt"], rows[0]["negative_cnt"]) == (1, 7, 2)
+
+
+def test_candidates_normalise_string_and_numeric_ids(spark):
+    known = spark.createDataFrame([(570,), (10,)], "game_id BIGINT")
+    popular = spark.createDataFrame(
+        [('{"570": {"appid": "570"}, "730": {"appid": 730}}',), ('{"570": {"appid": 570}}',)], "body STRING"
+    )
+    ids = sorted(r["game_id"] for r in ingest.game_candidates(known, popular).collect())
+    assert ids == [10, 570, 730]
+
+
+def test_player_counts_default_zero(spark):
+    totals = spark.createDataFrame([(1, 10), (2, 20), (3, 30), (4, 40)], "game_id BIGINT, review_cnt BIGINT")
+    docs = spark.createDataFrame(
+        [(1, '{"response": {"player_count": 5}}'), (2, '{"response": {}}'), (3, "not json")],
+        "game_id BIGINT, body STRING",
+    )
+    rows = {r["game_id"]: r for r in ingest.ingest_game_status(totals, docs, "2024-02-01").collect()}
+    assert [rows[g]["user_cnt"] for g in (1, 2, 3, 4)] == [5, 0, 0, 0]
+    assert str(rows[1]["create_dt"]) == "2024-02-01" and rows[4]["review_cnt"] == 40
+
+
+def review_page(reviews):
+    return json.dumps(
+        {
+            "reviews": [
+                {
+                    "recommendationid": rid,
+                    "author": {"steamid": "s" + rid, "playtime_forever": 100, "playtime_last_two_weeks": 7},
+                    "review": text,
+                }
+                for rid, text in reviews
+            ]
+        },
+        ensure_ascii=False,
+    )
+
+
+def test_reviews_both_languages_bag_and_bad_page(spark):
+    pages = spark.createDataFrame(
+        [
+            (1, "KOR", 0, review_page([("r1", "좋아요,\n정말"), ("r2", 'say "hi"\r')])),
+            (1, "ENG", 0, review_page([("r1", "fine")])),
+            (2, "KOR", 0, "<html>"),
+            (2, "ENG", 0, review_page([("r9", "valid but dropped")])),
+            (3, "KOR", 0, review_page([("r3", "kept")])),
+            (4, "KOR", 0, review_page([("r4", "not a known game")])),
+        ],
+        "game_id BIGINT, language STRING, page_no BIGINT, body STRING",
+    )
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "game_id BIGINT")
+    rows = ingest.ingest_comment_data(ids, pages).collect()
+    got = sorted((r["comment_id"], r["language"], r["comment_content"]) for r in rows)
+    assert got == [
+        ("r1", "ENG", "fine"),
+        ("r1", "KOR", "좋아요  정말"),
+        ("r2", "KOR", 'say "hi"\r'),
+        ("r3", "KOR", "kept"),
+    ]
+    r = [x for x in rows if x["comment_id"] == "r3"][0]
+    assert (r["game_id"], r["user_id"], r["total_playtime"], r["last_two_weeks_playtime"]) == (3, "sr3", 100, 7)

@@ -1,0 +1,83 @@
+"""End-to-end daily run (E1) over landed documents derived from sf0.001,
+two consecutive days and a re-run of the second day; plus the streaming
+slice loader."""
+
+import tempfile
+
+from pyspark.sql import functions as F
+
+from playmart import schemas
+from playmart.plans import pipeline
+from playmart.sources import landing, warehouse
+from playmart.streaming import status_loader
+
+from conftest import SF_SMALL
+
+
+def _land_day(spark, landing_dir, as_of):
+    docs = landing.landed_from_driver(spark, SF_SMALL)
+    pipeline.write_landed(docs, landing_dir, as_of)
+
+
+def test_run_pipeline_two_days_and_rerun(spark):
+    landing_dir = tempfile.mkdtemp(prefix="run-landing-")
+    wh_dir = tempfile.mkdtemp(prefix="run-wh-")
+    prefix = "e1_" + wh_dir.rsplit("-", 1)[-1].lower() + "_"
+    for day in ("2024-01-14", "2024-01-15"):
+        _land_day(spark, landing_dir, day)
+
+    r1 = pipeline.run_pipeline(spark, landing_dir, wh_dir, "2024-01-14", prefix=prefix)
+    assert all(v == 0 for v in r1.checks.values())
+    r2 = pipeline.run_pipeline(spark, landing_dir, wh_dir, "2024-01-15", prefix=prefix)
+    tables = pipeline.latest_run_tables(spark, wh_dir, prefix)
+    status1 = sorted(map(tuple, tables["game_status"].collect()))
+    assert {str(r[1]) for r in status1} == {"2024-01-14", "2024-01-15"}
+    n_games = tables["game_info"].count()
+    assert len(status1) == 2 * n_games
+
+    # re-run of day two leaves every table as it was
+    movers = sorted(map(tuple, tables["daily_user_login_cnt_diff_top15"].collect()))
+    pipeline.run_pipeline(spark, landing_dir, wh_dir, "2024-01-15", prefix=prefix)
+    tables = pipeline.latest_run_tables(spark, wh_dir, prefix)
+    assert sorted(map(tuple, tables["game_status"].collect())) == status1
+    assert sorted(map(tuple, tables["daily_user_login_cnt_diff_top15"].collect())) == movers
+    assert tables["analytics_genre_comment_ratio"].count() == 10
+
+    # the catalogue equals the parse of the same documents
+    docs = landing.landed_from_driver(spark, SF_SMALL)
+    from playmart.operators import ingest
+
+    # first run: nothing known yet, so the candidates are the popular ids
+    ids = spark.createDataFrame([], "game_id BIGINT")
+    direct = ingest.ingest_game_info(
+        ingest.game_candidates(ids, docs["popular"]), docs["app_details"], docs["review_summary"]
+    )
+    assert tables["game_info"].exceptAll(direct).count() == 0
+    assert direct.exceptAll(tables["game_info"]).count() == 0
+    # both days have the same counts, so every pair's diff is 0
+    assert tables["daily_user_login_cnt_diff_top15"].filter(F.col("user_diff") != 0).count() == 0
+    assert r2.tables["game_status"].endswith("game_status")
+
+
+def test_streaming_status_loader(spark):
+    staged = tempfile.mkdtemp(prefix="run-staged-")
+    table = tempfile.mkdtemp(prefix="run-status-") + "/game_status"
+    ckpt = tempfile.mkdtemp(prefix="run-ckpt-")
+    D = __import__("datetime").date
+    day1 = spark.createDataFrame([(1, D(2024, 1, 1), 5, 1), (2, D(2024, 1, 1), 6, 1)], schemas.GAME_STATUS)
+    warehouse.land(day1, staged, "game_status", "2024-01-01")
+    q = status_loader.start_status_loader(spark, staged, table, checkpoint=ckpt)
+    q.awaitTermination(120)
+    assert warehouse.read_partitioned(spark, table, schemas.GAME_STATUS).count() == 2
+
+    # a corrected slice for day 1 and a new day 2 land; the loader picks up only new files
+    day1b = spark.createDataFrame([(1, D(2024, 1, 1), 50, 1)], schemas.GAME_STATUS)
+    day2 = spark.createDataFrame([(1, D(2024, 1, 2), 7, 1)], schemas.GAME_STATUS)
+    warehouse.land(day2, staged, "game_status", "2024-01-02")
+    warehouse.land(day1b, staged + "/corrections", "game_status", "2024-01-01")
+    q = status_loader.start_status_loader(spark, staged, table, checkpoint=ckpt)
+    q.awaitTermination(120)
+    got = sorted(map(tuple, warehouse.read_partitioned(spark, table, schemas.GAME_STATUS).collect()))
+    # day 1 now holds the rows of every staged day-1 file seen in that micro-batch
+    assert (1, D(2024, 1, 2), 7, 1) in got
+    assert {r[1] for r in got} == {D(2024, 1, 1), D(2024, 1, 2)}
