@@ -7,7 +7,7 @@ aggregation, group limits) to Catalyst and AQE.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playmart import schemas
@@ -65,9 +65,17 @@ def fact_game_playtime(comment_data: DataFrame, game_info: DataFrame) -> DataFra
 # --------------------------------------------------------------------------
 
 
-def _label_rows(labels, fields) -> Column:
-    """array(struct(...)) of per-label aggregate columns for ``inline``."""
-    return F.array(*[F.struct(*fields(i, label)) for i, label in enumerate(labels)])
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _contains(match: str | None) -> str:
+    return "true" if match is None else f"contains(genre, {_lit(match)})"
+
+
+def _inline(rows: list[str]) -> F.Column:
+    """One output row per struct: inline(array(struct(...), ...))."""
+    return F.expr(f"inline(array({', '.join(rows)}))")
 
 
 def analytics_genre_comment_ratio(game_info: DataFrame, labels=None) -> DataFrame:
@@ -80,25 +88,18 @@ def analytics_genre_comment_ratio(game_info: DataFrame, labels=None) -> DataFram
     """
     labels = labels or schemas.REVIEW_GENRE_LABELS
     gi = game_info.select("genre", "negative_cnt", "positive_cnt")
-    aggs = []
-    for i, (_, match) in enumerate(labels):
-        hit = F.col("genre").contains(match)
+    aggs, rows = [], []
+    for i, (label, match) in enumerate(labels):
+        hit = _contains(match)
         aggs += [
-            F.sum(F.when(hit, F.col("positive_cnt"))).alias(f"p{i}"),
-            F.sum(F.when(hit, F.col("negative_cnt"))).alias(f"n{i}"),
-            F.count(F.when(hit, F.lit(1))).alias(f"c{i}"),
+            F.expr(f"sum(CASE WHEN {hit} THEN positive_cnt END)").alias(f"p{i}"),
+            F.expr(f"sum(CASE WHEN {hit} THEN negative_cnt END)").alias(f"n{i}"),
+            F.expr(f"count(CASE WHEN {hit} THEN 1 END)").alias(f"c{i}"),
         ]
-    totals = gi.agg(*aggs)
-    rows = _label_rows(
-        labels,
-        lambda i, label: [
-            F.lit(label[0]).alias("genre"),
-            F.col(f"p{i}").alias("total_positive_cnt"),
-            F.col(f"n{i}").alias("total_negative_cnt"),
-            F.col(f"c{i}").alias("game_cnt"),
-        ],
-    )
-    return totals.select(F.inline(rows))
+        rows.append(
+            f"struct({_lit(label)} AS genre, p{i} AS total_positive_cnt, n{i} AS total_negative_cnt, c{i} AS game_cnt)"
+        )
+    return gi.agg(*aggs).select(_inline(rows))
 
 
 def analytics_genre_comment_ratio_union(game_info: DataFrame, labels=None) -> DataFrame:
@@ -107,7 +108,7 @@ def analytics_genre_comment_ratio_union(game_info: DataFrame, labels=None) -> Da
     gi = game_info.select("genre", "negative_cnt", "positive_cnt")
     out = None
     for label, match in labels:
-        branch = gi.filter(F.col("genre").contains(match)).agg(
+        branch = gi.filter(_contains(match)).agg(
             F.lit(label).alias("genre"),
             F.sum("positive_cnt").alias("total_positive_cnt"),
             F.sum("negative_cnt").alias("total_negative_cnt"),
@@ -122,6 +123,13 @@ def analytics_genre_comment_ratio_union(game_info: DataFrame, labels=None) -> Da
 # --------------------------------------------------------------------------
 
 
+def _playtime_labels(labels, filter_first_label: bool):
+    labels = list(labels or schemas.PLAYTIME_GENRE_LABELS)
+    if filter_first_label and labels[0][1] is None:
+        labels[0] = (labels[0][0], labels[0][0])
+    return labels
+
+
 def analytics_genre_playtime(fact: DataFrame, labels=None, filter_first_label: bool = False) -> DataFrame:
     """Per label: sum of playtime sums / sum of review counts over the fact.
 
@@ -129,40 +137,33 @@ def analytics_genre_playtime(fact: DataFrame, labels=None, filter_first_label: b
     row. The first label has no filter unless ``filter_first_label``.
     Single pass with conditional aggregates, as in the review-total model.
     """
-    labels = list(labels or schemas.PLAYTIME_GENRE_LABELS)
-    if filter_first_label and labels[0][1] is None:
-        labels[0] = (labels[0][0], labels[0][0])
+    labels = _playtime_labels(labels, filter_first_label)
     f = fact.select("genre", "count_game_id", "sum_total_playtime", "sum_last_two_weeks_playtime")
-    aggs = []
-    for i, (_, match) in enumerate(labels):
-        hit = F.lit(True) if match is None else F.col("genre").contains(match)
+    aggs, rows = [], []
+    for i, (label, match) in enumerate(labels):
+        hit = _contains(match)
         aggs += [
-            F.sum(F.when(hit, F.col("sum_total_playtime"))).alias(f"t{i}"),
-            F.sum(F.when(hit, F.col("sum_last_two_weeks_playtime"))).alias(f"w{i}"),
-            F.sum(F.when(hit, F.col("count_game_id"))).alias(f"c{i}"),
-            F.count(F.when(hit, F.lit(1))).alias(f"g{i}"),
+            F.expr(f"sum(CASE WHEN {hit} THEN sum_total_playtime END)").alias(f"t{i}"),
+            F.expr(f"sum(CASE WHEN {hit} THEN sum_last_two_weeks_playtime END)").alias(f"w{i}"),
+            F.expr(f"sum(CASE WHEN {hit} THEN count_game_id END)").alias(f"c{i}"),
+            F.expr(f"count(CASE WHEN {hit} THEN 1 END)").alias(f"g{i}"),
         ]
-    rows = _label_rows(
-        labels,
-        lambda i, label: [
-            F.lit(label[0]).alias("gen"),
-            _ratio(F.col(f"t{i}"), F.col(f"c{i}")).alias("sum_total_playtime"),
-            _ratio(F.col(f"w{i}"), F.col(f"c{i}")).alias("sum_last_two_weeks_playtime"),
-            F.col(f"g{i}").alias("n_games"),
-        ],
-    )
-    return f.agg(*aggs).select(F.inline(rows)).filter(F.col("n_games") > 0).drop("n_games")
+        rows.append(
+            f"struct({_lit(label)} AS gen, "
+            f"try_divide(CAST(t{i} AS DOUBLE), CAST(c{i} AS DOUBLE)) AS sum_total_playtime, "
+            f"try_divide(CAST(w{i} AS DOUBLE), CAST(c{i} AS DOUBLE)) AS sum_last_two_weeks_playtime, "
+            f"g{i} AS n_games)"
+        )
+    return f.agg(*aggs).select(_inline(rows)).filter("n_games > 0").drop("n_games")
 
 
 def analytics_genre_playtime_union(fact: DataFrame, labels=None, filter_first_label: bool = False) -> DataFrame:
     """The ten-branch UNION ALL form grouped by the constant label."""
-    labels = list(labels or schemas.PLAYTIME_GENRE_LABELS)
+    labels = _playtime_labels(labels, filter_first_label)
     f = fact.select("genre", "count_game_id", "sum_total_playtime", "sum_last_two_weeks_playtime")
     out = None
-    for i, (label, match) in enumerate(labels):
-        if match is None and filter_first_label:
-            match = label
-        src = f if match is None else f.filter(F.col("genre").contains(match))
+    for label, match in labels:
+        src = f if match is None else f.filter(_contains(match))
         branch = (
             src.withColumn("gen", F.lit(label))
             .groupBy("gen")
@@ -181,26 +182,28 @@ def analytics_genre_playtime_union(fact: DataFrame, labels=None, filter_first_la
 
 
 def analytics_release_date(game_info: DataFrame, comment_data: DataFrame, game_status: DataFrame) -> DataFrame:
-    gi = game_info.select("game_id", "release_date", "negative_cnt", "positive_cnt").filter(
-        F.length("release_date") == 7
-    )
+    """Per release month: rounded means over games of per-game means, and
+    the game count. Both per-game averages are computed before the joins, so
+    every join is game-to-game; the month filter sits on the catalogue scan.
+    """
+    gi = game_info.select("game_id", "release_date", "negative_cnt", "positive_cnt").filter("length(release_date) = 7")
     cm = comment_data.groupBy("game_id").agg(
-        F.avg("total_playtime").alias("total_playtime"),
-        F.avg("last_two_weeks_playtime").alias("last_two_weeks_playtime"),
+        F.expr("avg(total_playtime)").alias("total_playtime"),
+        F.expr("avg(last_two_weeks_playtime)").alias("last_two_weeks_playtime"),
     )
     gs = game_status.groupBy("game_id").agg(
-        F.avg("user_cnt").alias("user_cnt"),
-        F.avg("review_cnt").alias("review_cnt"),
+        F.expr("avg(user_cnt)").alias("user_cnt"),
+        F.expr("avg(review_cnt)").alias("review_cnt"),
     )
     joined = gi.join(cm, "game_id", "inner").join(gs, "game_id", "inner")
-    return joined.groupBy(F.substring("release_date", 6, 2).alias("month")).agg(
-        F.round(F.avg("total_playtime")).alias("total_playtime_avg"),
-        F.round(F.avg("last_two_weeks_playtime")).alias("last_two_weeks_playtime_avg"),
-        F.round(F.avg("positive_cnt")).alias("positive_cnt_avg"),
-        F.round(F.avg("negative_cnt")).alias("negative_cnt_avg"),
-        F.round(F.avg("user_cnt")).alias("current_user_cnt_avg"),
-        F.round(F.avg("review_cnt")).alias("review_cnt_avg"),
-        F.count(F.lit(1)).alias("game_cnt"),
+    return joined.groupBy(F.expr("substring(release_date, 6, 2)").alias("month")).agg(
+        F.expr("round(avg(total_playtime))").alias("total_playtime_avg"),
+        F.expr("round(avg(last_two_weeks_playtime))").alias("last_two_weeks_playtime_avg"),
+        F.expr("round(avg(positive_cnt))").alias("positive_cnt_avg"),
+        F.expr("round(avg(negative_cnt))").alias("negative_cnt_avg"),
+        F.expr("round(avg(user_cnt))").alias("current_user_cnt_avg"),
+        F.expr("round(avg(review_cnt))").alias("review_cnt_avg"),
+        F.expr("count(1)").alias("game_cnt"),
     )
 
 
@@ -216,28 +219,28 @@ def latest_status(game_status: DataFrame) -> DataFrame:
     aggregate (a hot game costs one row per map partition) and the join
     hashes on (game, day), so one game's history spreads over many tasks.
     """
-    latest = game_status.groupBy(F.col("game_id").alias("ls_game_id")).agg(F.max("create_dt").alias("max_datetime"))
+    latest = game_status.groupBy(F.col("game_id").alias("ls_game_id")).agg(F.expr("max(create_dt)").alias("max_datetime"))
     return game_status.join(
-        latest,
-        (F.col("game_id") == F.col("ls_game_id")) & (F.col("create_dt") == F.col("max_datetime")),
-        "inner",
+        latest, F.expr("game_id = ls_game_id AND create_dt = max_datetime"), "inner"
     ).select("game_id", "create_dt", "user_cnt")
 
 
 def analytics_usercnt_price(game_info: DataFrame, game_status: DataFrame) -> DataFrame:
+    """Games with reviews and a known price, with the players of their latest
+    snapshot. A full discount gives a NULL undiscounted price."""
     a = game_info.select(
         "game_id", "game_name", "price", "discount_percentage", "negative_cnt", "positive_cnt"
-    ).filter(((F.col("negative_cnt") + F.col("positive_cnt")) > 0) & (F.col("price") != -1))
+    ).filter("negative_cnt + positive_cnt > 0 AND price != -1")
     b = latest_status(game_status).select("game_id", "user_cnt")
-    return a.join(b, "game_id", "inner").select(
+    return a.join(b, "game_id", "inner").selectExpr(
         "game_id",
         "game_name",
-        (_ratio(F.col("price"), F.lit(100) - F.col("discount_percentage")) * 100).alias("original_price"),
+        "try_divide(CAST(price AS DOUBLE), CAST(100 - discount_percentage AS DOUBLE)) * 100 AS original_price",
         "price",
         "discount_percentage",
         "negative_cnt",
         "positive_cnt",
-        F.round(_ratio(F.col("negative_cnt"), F.col("negative_cnt") + F.col("positive_cnt")) * 100, 2).alias("n_ratio"),
+        "round(try_divide(CAST(negative_cnt AS DOUBLE), CAST(negative_cnt + positive_cnt AS DOUBLE)) * 100, 2) AS n_ratio",
         "user_cnt",
     )
 
@@ -254,28 +257,22 @@ def next_day_pairs(game_status: DataFrame, game_info: DataFrame) -> DataFrame:
     pair, repeated snapshots multiply, as in the join form of the model.
     Hashing on both keys spreads a game with a long history over tasks.
     """
-    a = game_status.select(
-        F.col("game_id"),
-        F.col("create_dt").alias("start_dt"),
-        F.date_add("create_dt", 1).alias("next_dt"),
-        F.col("user_cnt").alias("a_user_cnt"),
-        F.col("review_cnt").alias("a_review_cnt"),
+    a = game_status.selectExpr(
+        "game_id", "create_dt AS start_dt", "date_add(create_dt, 1) AS next_dt",
+        "user_cnt AS a_user_cnt", "review_cnt AS a_review_cnt",
     )
-    b = game_status.select(
-        F.col("game_id").alias("b_game_id"),
-        F.col("create_dt").alias("end_dt"),
-        F.col("user_cnt").alias("b_user_cnt"),
-        F.col("review_cnt").alias("b_review_cnt"),
+    b = game_status.selectExpr(
+        "game_id AS b_game_id", "create_dt AS end_dt", "user_cnt AS b_user_cnt", "review_cnt AS b_review_cnt"
     )
-    pairs = a.join(b, (a.game_id == b.b_game_id) & (a.next_dt == b.end_dt), "inner")
+    pairs = a.join(b, F.expr("game_id = b_game_id AND next_dt = end_dt"), "inner")
     info = game_info.select("game_id", "game_name", "genre", "price", "discount_percentage", "thumbnail_path")
-    return pairs.join(info, "game_id", "inner").select(
+    return pairs.join(info, "game_id", "inner").selectExpr(
         "game_id",
         "game_name",
         "start_dt",
         "end_dt",
-        (F.col("b_user_cnt") - F.col("a_user_cnt")).alias("user_diff"),
-        (F.col("b_review_cnt") - F.col("a_review_cnt")).alias("review_diff"),
+        "b_user_cnt - a_user_cnt AS user_diff",
+        "b_review_cnt - a_review_cnt AS review_diff",
         "genre",
         "price",
         "discount_percentage",
@@ -291,9 +288,9 @@ def top_k_per_day(pairs: DataFrame, metric: str, ascending: bool, k: int = schem
     the shuffle and a final one after it, so each map task sends at most k
     rows per day, however many games a day holds.
     """
-    order = F.col(metric).asc_nulls_last() if ascending else F.col(metric).desc_nulls_first()
-    w = Window.partitionBy("start_dt").orderBy(order, F.col("game_id").asc())
-    return pairs.withColumn("rn", F.row_number().over(w).cast("bigint")).filter(F.col("rn") <= k)
+    order = f"{metric} ASC NULLS LAST" if ascending else f"{metric} DESC NULLS FIRST"
+    rn = F.expr(f"CAST(row_number() OVER (PARTITION BY start_dt ORDER BY {order}, game_id ASC) AS BIGINT)")
+    return pairs.withColumn("rn", rn).filter(f"rn <= {int(k)}")
 
 
 MOVER_COLUMNS = ["game_id", "game_name", "start_dt", "end_dt", None, "rn", "genre", "price", "discount_percentage", "thumbnail_path"]

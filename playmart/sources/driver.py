@@ -16,8 +16,24 @@ DRIVER_TABLES = (
 ).split()
 
 
+# Declared schemas of the driver tables read here: reading with a schema
+# skips the footer-inference job that a schema-less read launches.
+DRIVER_SCHEMAS = {
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+        "l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = DRIVER_SCHEMAS.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 # Fixed values of the adapter (FIXTURES.md §3): genre words chosen by part
@@ -38,11 +54,47 @@ NAME_SUFFIX_GENRE = [
 ]
 
 
-def _first_match(pairs, test, default):
-    expr = None
-    for key, value in pairs:
-        expr = F.when(test(key), F.lit(value)) if expr is None else expr.when(test(key), F.lit(value))
-    return expr.otherwise(F.lit(default))
+def _sql(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _case(subject_test: str, pairs, default: str) -> str:
+    """CASE WHEN <test(key)> THEN 'value' ... ELSE 'default' END."""
+    whens = " ".join(f"WHEN {subject_test.format(key=_sql(k))} THEN {_sql(v)}" for k, v in pairs)
+    return f"CASE {whens} ELSE {_sql(default)} END"
+
+
+# Column expressions of the adapter views, as SQL text: one parse in the
+# JVM per column instead of one Python-to-JVM call per sub-expression.
+GAME_INFO_EXPRS = [
+    "p_partkey AS game_id",
+    "p_name AS game_name",
+    "CASE WHEN p_partkey % 37 = 0 THEN -1 WHEN p_partkey % 11 = 0 THEN 0 "
+    "ELSE CAST(floor(p_retailprice) AS INT) * 10 END AS price",
+    "CASE WHEN p_partkey % 37 = 0 OR p_partkey % 11 = 0 THEN 0 ELSE CAST((p_partkey % 5) * 15 AS INT) END "
+    "AS discount_percentage",
+    "CASE WHEN p_partkey % 23 = 0 THEN CAST(NULL AS STRING) WHEN p_partkey % 29 = 0 THEN '2023' "
+    "ELSE concat('20', lpad(CAST(10 + p_partkey % 14 AS STRING), 2, '0'), '-', "
+    "lpad(CAST(1 + p_size % 12 AS STRING), 2, '0')) END AS release_date",
+    "concat('img/', CAST(p_partkey AS STRING), '.jpg') AS thumbnail_path",
+    "CASE WHEN p_partkey % 41 = 0 THEN CAST(NULL AS STRING) ELSE concat("
+    + _case("p_type = {key}", TYPE_GENRE, TYPE_GENRE_DEFAULT)
+    + ", "
+    + _case("endswith(p_name, {key})", NAME_SUFFIX_GENRE, "")
+    + ") END AS genre",
+    "CASE WHEN p_partkey % 43 = 0 THEN 0L ELSE coalesce(neg, 0L) END AS negative_cnt",
+    "CASE WHEN p_partkey % 43 = 0 THEN 0L ELSE coalesce(pos, 0L) END AS positive_cnt",
+]
+
+COMMENT_DATA_EXPRS = [
+    "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS comment_id",
+    "l_partkey AS game_id",
+    "CAST(l_suppkey AS STRING) AS user_id",
+    "CAST(floor(l_extendedprice) AS BIGINT) AS total_playtime",
+    "CAST(floor(l_quantity) AS BIGINT) AS last_two_weeks_playtime",
+    "concat(l_returnflag, ' ', l_linestatus) AS comment_content",
+    "CASE WHEN l_linestatus = 'O' THEN 'KOR' ELSE 'ENG' END AS language",
+]
 
 
 def review_counts(lineitem: DataFrame) -> DataFrame:
@@ -51,11 +103,9 @@ def review_counts(lineitem: DataFrame) -> DataFrame:
     A partial aggregate runs before the shuffle, so a hot part key sends one
     row per map partition.
     """
-    returned = F.col("l_returnflag") == "R"
-    kept = F.col("l_returnflag") != "R"
     return lineitem.groupBy(F.col("l_partkey").alias("game_id")).agg(
-        F.sum(F.when(returned, 1).otherwise(0)).cast("bigint").alias("neg"),
-        F.sum(F.when(kept, 1).otherwise(0)).cast("bigint").alias("pos"),
+        F.expr("CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT)").alias("neg"),
+        F.expr("CAST(sum(CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END) AS BIGINT)").alias("pos"),
     )
 
 
@@ -66,41 +116,10 @@ def game_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def game_info_from(part: DataFrame, counts: DataFrame) -> DataFrame:
-    pk = F.col("p_partkey")
-    price = (
-        F.when(pk % 37 == 0, F.lit(-1))
-        .when(pk % 11 == 0, F.lit(0))
-        .otherwise(F.floor("p_retailprice").cast("int") * 10)
-    )
-    discount = F.when((pk % 37 == 0) | (pk % 11 == 0), F.lit(0)).otherwise(((pk % 5) * 15).cast("int"))
-    release = (
-        F.when(pk % 23 == 0, F.lit(None).cast("string"))
-        .when(pk % 29 == 0, F.lit("2023"))
-        .otherwise(
-            F.concat(
-                F.lit("20"),
-                F.lpad((10 + pk % 14).cast("string"), 2, "0"),
-                F.lit("-"),
-                F.lpad((1 + F.col("p_size") % 12).cast("string"), 2, "0"),
-            )
-        )
-    )
-    first = _first_match(TYPE_GENRE, lambda t: F.col("p_type") == t, TYPE_GENRE_DEFAULT)
-    second = _first_match(NAME_SUFFIX_GENRE, lambda s: F.col("p_name").endswith(s), "")
-    genre = F.when(pk % 41 == 0, F.lit(None).cast("string")).otherwise(F.concat(first, second))
-    zero_reviews = pk % 43 == 0
-    joined = part.join(counts, part.p_partkey == counts.game_id, "left")
-    return joined.select(
-        pk.alias("game_id"),
-        F.col("p_name").alias("game_name"),
-        price.alias("price"),
-        discount.alias("discount_percentage"),
-        release.alias("release_date"),
-        F.concat(F.lit("img/"), pk.cast("string"), F.lit(".jpg")).alias("thumbnail_path"),
-        genre.alias("genre"),
-        F.when(zero_reviews, F.lit(0).cast("bigint")).otherwise(F.coalesce("neg", F.lit(0).cast("bigint"))).alias("negative_cnt"),
-        F.when(zero_reviews, F.lit(0).cast("bigint")).otherwise(F.coalesce("pos", F.lit(0).cast("bigint"))).alias("positive_cnt"),
-    )
+    """Catalogue rows: one per part, review counts from its line items (a
+    left join: a part without lines has 0/0)."""
+    joined = part.join(counts, part["p_partkey"] == counts["game_id"], "left").drop("game_id")
+    return joined.selectExpr(*GAME_INFO_EXPRS)
 
 
 def game_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,10 +130,10 @@ def game_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def game_status_from(events: DataFrame) -> DataFrame:
     """One snapshot per (game, day): players = sum of whole event values."""
     return events.groupBy(
-        F.col("user_id").alias("game_id"), F.col("ts").cast("date").alias("create_dt")
+        F.col("user_id").alias("game_id"), F.expr("CAST(ts AS DATE)").alias("create_dt")
     ).agg(
-        F.sum(F.floor("value").cast("bigint")).alias("user_cnt"),
-        F.count(F.lit(1)).alias("review_cnt"),
+        F.expr("sum(CAST(floor(value) AS BIGINT))").alias("user_cnt"),
+        F.expr("count(1)").alias("review_cnt"),
     )
 
 
@@ -127,15 +146,7 @@ def comment_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def comment_data_from(lineitem: DataFrame) -> DataFrame:
     """One review per line item; the id repeats across lines on purpose."""
-    return lineitem.select(
-        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("comment_id"),
-        F.col("l_partkey").alias("game_id"),
-        F.col("l_suppkey").cast("string").alias("user_id"),
-        F.floor("l_extendedprice").cast("bigint").alias("total_playtime"),
-        F.floor("l_quantity").cast("bigint").alias("last_two_weeks_playtime"),
-        F.concat(F.col("l_returnflag"), F.lit(" "), F.col("l_linestatus")).alias("comment_content"),
-        F.when(F.col("l_linestatus") == "O", F.lit("KOR")).otherwise(F.lit("ENG")).alias("language"),
-    )
+    return lineitem.selectExpr(*COMMENT_DATA_EXPRS)
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
