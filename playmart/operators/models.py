@@ -250,12 +250,38 @@ def analytics_usercnt_price(game_info: DataFrame, game_status: DataFrame) -> Dat
 # --------------------------------------------------------------------------
 
 
-def next_day_pairs(game_status: DataFrame, game_info: DataFrame) -> DataFrame:
+def _best_k(df: DataFrame, keys: str, order: str, k: int) -> DataFrame:
+    """The k first rows of each ``keys`` group under ``order``.
+
+    row_number() <= k plans as a partial group limit before the shuffle and
+    a final one after it, so a key holding a large share of the rows sends
+    at most k rows per map task.
+    """
+    rank = F.expr(f"row_number() OVER (PARTITION BY {keys} ORDER BY {order})")
+    return df.withColumn("_k", rank).filter(f"_k <= {int(k)}").drop("_k")
+
+
+def next_day_pairs(
+    game_status: DataFrame,
+    game_info: DataFrame,
+    metric: str | None = None,
+    descending: bool = True,
+    k: int = schemas.DAILY_TOP_K,
+) -> DataFrame:
     """Snapshot pairs (day d, day d+1) of the same game, with game info.
 
     An equi-join on (game_id, day + 1): a day without a snapshot yields no
     pair, repeated snapshots multiply, as in the join form of the model.
-    Hashing on both keys spreads a game with a long history over tasks.
+
+    With ``metric`` (``user_cnt`` or ``review_cnt``) the pairs are only those
+    that can reach the top k of that difference in the given direction: each
+    side keeps, per (game, day), its k best snapshots (for a descending
+    difference the smallest start values and largest end values, NULLs
+    first; the reverse, NULLs last, for ascending). Every dropped pair is
+    outranked or tied (with an identical output row) by k kept pairs, so the
+    top k per day is unchanged, while a (game, day) repeated N times yields
+    at most k * k pairs instead of N * N. The side limits partition by the
+    join keys, so the join reuses their shuffles.
     """
     a = game_status.selectExpr(
         "game_id", "create_dt AS start_dt", "date_add(create_dt, 1) AS next_dt",
@@ -264,6 +290,11 @@ def next_day_pairs(game_status: DataFrame, game_info: DataFrame) -> DataFrame:
     b = game_status.selectExpr(
         "game_id AS b_game_id", "create_dt AS end_dt", "user_cnt AS b_user_cnt", "review_cnt AS b_review_cnt"
     )
+    if metric is not None:
+        a_order = f"a_{metric} ASC NULLS FIRST" if descending else f"a_{metric} DESC NULLS LAST"
+        b_order = f"b_{metric} DESC NULLS FIRST" if descending else f"b_{metric} ASC NULLS LAST"
+        a = _best_k(a, "game_id, next_dt", a_order, k)
+        b = _best_k(b, "b_game_id, end_dt", b_order, k)
     pairs = a.join(b, F.expr("game_id = b_game_id AND next_dt = end_dt"), "inner")
     info = game_info.select("game_id", "game_name", "genre", "price", "discount_percentage", "thumbnail_path")
     return pairs.join(info, "game_id", "inner").selectExpr(
@@ -301,13 +332,17 @@ def _mover_columns(metric: str) -> list[str]:
 
 
 def daily_user_login_cnt_diff_top15(game_status: DataFrame, game_info: DataFrame, k: int = schemas.DAILY_TOP_K) -> DataFrame:
-    pairs = next_day_pairs(game_status, game_info).drop("review_diff")
+    """Per start day, the k largest player-count drops (DECREASE) and rises
+    (INCREASE) to the next day, ordered by (gubun, start_dt, rn)."""
     cols = _mover_columns("user_diff")
-    decrease = top_k_per_day(pairs, "user_diff", True, k).select(*cols, F.lit("DECREASE").alias("gubun"))
-    increase = top_k_per_day(pairs, "user_diff", False, k).select(*cols, F.lit("INCREASE").alias("gubun"))
+    dec_pairs = next_day_pairs(game_status, game_info, "user_cnt", descending=False, k=k)
+    inc_pairs = next_day_pairs(game_status, game_info, "user_cnt", descending=True, k=k)
+    decrease = top_k_per_day(dec_pairs, "user_diff", True, k).select(*cols, F.lit("DECREASE").alias("gubun"))
+    increase = top_k_per_day(inc_pairs, "user_diff", False, k).select(*cols, F.lit("INCREASE").alias("gubun"))
     return decrease.unionByName(increase).orderBy("gubun", "start_dt", "rn")
 
 
 def daily_user_review_cnt_diff_top15(game_status: DataFrame, game_info: DataFrame, k: int = schemas.DAILY_TOP_K) -> DataFrame:
-    pairs = next_day_pairs(game_status, game_info).drop("user_diff")
+    """Per start day, the k largest review-count rises to the next day."""
+    pairs = next_day_pairs(game_status, game_info, "review_cnt", descending=True, k=k)
     return top_k_per_day(pairs, "review_diff", False, k).select(*_mover_columns("review_diff")).orderBy("start_dt", "rn")

@@ -204,3 +204,49 @@ def test_source_models_project_explicit_columns(spark):
 
     info = info_rows(spark, [gi(1)]).withColumn("extra", F.lit(1))
     assert models.src_game_info(info).columns == schemas.COLUMNS["game_info"]
+
+
+def _brute_top(pairs, metric, ascending, k=15):
+    """Top k per start day by sorting all pairs in Python (small fixture)."""
+    by_day = {}
+    for r in pairs:
+        by_day.setdefault(r["start_dt"], []).append(r)
+    out = []
+    for day, rows in by_day.items():
+        def key(r):
+            v = r[metric]
+            null_rank = (v is None) if ascending else (v is not None)
+            vv = 0 if v is None else (v if ascending else -v)
+            return (null_rank, vv, r["game_id"])
+        rows.sort(key=key)
+        out += [(day, r["game_id"], r[metric]) for r in rows[:k]]
+    return sorted(out, key=repr)
+
+
+def test_hot_repeated_snapshots_bounded_and_exact(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = []
+    # game 1 repeats 60 times a day (a hot key); games 2..25 once a day
+    for day in (1, 2, 3):
+        for _ in range(60):
+            rows.append((1, D(2024, 1, day), rnd.choice([None] + list(range(50))), rnd.randrange(100)))
+        for g in range(2, 26):
+            rows.append((g, D(2024, 1, day), rnd.randrange(60), rnd.randrange(100)))
+    status = status_rows(spark, rows)
+    info = info_rows(spark, [gi(g) for g in range(1, 26)])
+    full = models.next_day_pairs(status, info).collect()
+    assert sum(1 for r in full if r["game_id"] == 1) == 2 * 60 * 60
+    for metric, desc in (("user_cnt", True), ("user_cnt", False), ("review_cnt", True)):
+        limited = models.next_day_pairs(status, info, metric, descending=desc)
+        assert limited.filter("game_id = 1").count() <= 2 * 15 * 15
+    out = models.daily_user_login_cnt_diff_top15(status, info).collect()
+    got_inc = sorted([(r["start_dt"], r["game_id"], r["user_diff"]) for r in out if r["gubun"] == "INCREASE"], key=repr)
+    got_dec = sorted([(r["start_dt"], r["game_id"], r["user_diff"]) for r in out if r["gubun"] == "DECREASE"], key=repr)
+    assert got_inc == _brute_top(full, "user_diff", ascending=False)
+    assert got_dec == _brute_top(full, "user_diff", ascending=True)
+    rev = models.daily_user_review_cnt_diff_top15(status, info).collect()
+    assert sorted([(r["start_dt"], r["game_id"], r["review_diff"]) for r in rev], key=repr) == _brute_top(
+        full, "review_diff", ascending=False
+    )
