@@ -1,4 +1,9 @@
-"""Column-level functions of the ingest (all built-in, JVM-side)."""
+"""Column-level functions of the ingest (all built-in, JVM-side).
+
+Each function is written once as SQL text over an input expression
+(``*_sql``), so it can sit inside a ``selectExpr``; the ``Column`` form is
+``F.expr`` of the same text.
+"""
 
 from __future__ import annotations
 
@@ -8,35 +13,54 @@ from pyspark.sql import functions as F
 from playmart import schemas
 
 
-def clean_game_name(name: Column) -> Column:
+def clean_game_name_sql(name: str) -> str:
     """Commas become spaces (the staged CSV is comma-separated)."""
-    return F.translate(name, ",", " ")
+    return f"translate({name}, ',', ' ')"
 
 
-def clean_review_text(text: Column) -> Column:
+def clean_review_text_sql(text: str) -> str:
     """Newlines, then commas, become spaces; every other character stays."""
-    return F.translate(text, "\n,", "  ")
+    return f"translate({text}, '\\n,', '  ')"
 
 
-def parse_price(formatted: Column) -> Column:
+def parse_price_sql(formatted: str) -> str:
     """'₩ 12,000' -> 12000: second space-separated token, commas dropped.
 
     A value without that token yields NULL instead of failing the batch.
     """
-    token = F.split_part(formatted, F.lit(" "), F.lit(2))
-    return F.replace(token, F.lit(","), F.lit("")).try_cast("int")
+    return f"try_cast(replace(split_part({formatted}, ' ', 2), ',', '') AS INT)"
 
 
-def parse_release_month(date_text: Column) -> Column:
+def parse_release_month_sql(date_text: str) -> str:
     """Localized release date -> 'yyyy-MM'; full date first, then year-month.
 
     Empty, missing or unparsable text gives NULL.
     """
-    parsed = F.coalesce(*[F.try_to_timestamp(date_text, F.lit(p)) for p in schemas.RELEASE_DATE_PATTERNS])
-    return F.date_format(parsed, "yyyy-MM")
+    tries = ", ".join(f"try_to_timestamp({date_text}, '{p}')" for p in schemas.RELEASE_DATE_PATTERNS)
+    return f"date_format(coalesce({tries}), 'yyyy-MM')"
 
 
-def fold_genres(genres: Column) -> Column:
+def fold_genres_sql(genres: str) -> str:
     """array<struct<description>> -> labels without inner spaces, joined by
     one space. An empty array gives ''."""
-    return F.array_join(F.transform(genres, lambda g: F.replace(g["description"], F.lit(" "), F.lit(""))), " ")
+    return f"array_join(transform({genres}, g -> replace(g.description, ' ', '')), ' ')"
+
+
+def clean_game_name(name: str) -> Column:
+    return F.expr(clean_game_name_sql(name))
+
+
+def clean_review_text(text: str) -> Column:
+    return F.expr(clean_review_text_sql(text))
+
+
+def parse_price(formatted: str) -> Column:
+    return F.expr(parse_price_sql(formatted))
+
+
+def parse_release_month(date_text: str) -> Column:
+    return F.expr(parse_release_month_sql(date_text))
+
+
+def fold_genres(genres: str) -> Column:
+    return F.expr(fold_genres_sql(genres))

@@ -75,13 +75,17 @@ def game_review_totals(game_info: DataFrame) -> DataFrame:
 
 
 def parse_review_summaries(summary_docs: DataFrame) -> DataFrame:
-    """(game_id, body) -> (game_id, positive_cnt, negative_cnt); the id of
-    the record is the one the summary reports."""
+    """(game_id, body) -> (requested_id, game_id, positive_cnt, negative_cnt).
+
+    ``requested_id`` is the id the document was fetched for; ``game_id`` is
+    the id the summary reports, which is the id the catalogue record gets.
+    """
     s = parse_struct(F.col("body"), schemas.REVIEW_SUMMARY_BODY)
     return (
-        summary_docs.select(s.alias("s"))
+        summary_docs.select(F.col("game_id").alias("requested_id"), s.alias("s"))
         .filter(is_valid(F.col("s")))
         .select(
+            "requested_id",
             F.col("s.appid").alias("game_id"),
             F.col("s.positive").alias("positive_cnt"),
             F.col("s.negative").alias("negative_cnt"),
@@ -99,31 +103,35 @@ def parse_app_details(details_docs: DataFrame) -> DataFrame:
     price or discount -> -1/0; otherwise the parsed price and the discount.
     """
     entry = F.from_json("body", schemas.APP_DETAILS_BODY)[F.col("game_id").cast("string")]
-    d = F.col("e.data")
-    recs = details_docs.select("game_id", entry.alias("e")).filter(
-        F.col("e").isNotNull() & F.coalesce(F.col("e.success"), F.lit(False)) & (d["type"] == "game")
+    recs = (
+        details_docs.select("game_id", entry.alias("e"))
+        .selectExpr(
+            "game_id",
+            "e.data AS d",
+            "coalesce(e.success, false) AS success",
+            "coalesce(e.data.release_date.coming_soon, false) AS coming_soon",
+        )
+        .filter("success AND d.type = 'game' AND (coming_soon OR d.genres IS NOT NULL)")
+    )
+    free = "coalesce(d.is_free, false)"
+    missing = "(d.is_free IS NULL OR d.price_overview.final_formatted IS NULL OR d.price_overview.discount_percent IS NULL)"
+    price = (
+        f"CASE WHEN {free} THEN 0 WHEN {missing} THEN -1 "
+        f"ELSE {scalars.parse_price_sql('d.price_overview.final_formatted')} END"
     )
-    coming_soon = F.coalesce(d["release_date"]["coming_soon"], F.lit(False))
-    released = ~coming_soon
-    recs = recs.filter(coming_soon | d["genres"].isNotNull())
-
-    po = d["price_overview"]
-    free = F.coalesce(d["is_free"], F.lit(False))
-    missing_price = d["is_free"].isNull() | po["final_formatted"].isNull() | po["discount_percent"].isNull()
-    price = F.when(free, F.lit(0)).when(missing_price, F.lit(-1)).otherwise(scalars.parse_price(po["final_formatted"]))
-    discount = F.when(free | missing_price, F.lit(0)).otherwise(po["discount_percent"])
-
-    def detail(c, dtype):
-        return F.when(released, c).otherwise(F.lit(None).cast(dtype))
-
-    return recs.select(
-        F.col("game_id"),
-        detail(scalars.clean_game_name(d["name"]), "string").alias("game_name"),
-        detail(price, "int").alias("price"),
-        detail(discount, "int").alias("discount_percentage"),
-        detail(scalars.parse_release_month(d["release_date"]["date"]), "string").alias("release_date"),
-        detail(d["capsule_image"], "string").alias("thumbnail_path"),
-        detail(scalars.fold_genres(d["genres"]), "string").alias("genre"),
+    discount = f"CASE WHEN {free} OR {missing} THEN 0 ELSE d.price_overview.discount_percent END"
+
+    def detail(expr: str, name: str) -> str:
+        return f"CASE WHEN coming_soon THEN NULL ELSE {expr} END AS {name}"
+
+    return recs.selectExpr(
+        "game_id",
+        detail(scalars.clean_game_name_sql("d.name"), "game_name"),
+        detail(price, "price"),
+        detail(discount, "discount_percentage"),
+        detail(scalars.parse_release_month_sql("d.release_date.date"), "release_date"),
+        detail("d.capsule_image", "thumbnail_path"),
+        detail(scalars.fold_genres_sql("d.genres"), "genre"),
     )
 
 
@@ -134,8 +142,9 @@ def ingest_game_info(candidates: DataFrame, details_docs: DataFrame, summary_doc
     game; which side is broadcast is left to AQE's measured sizes.
     """
     details = parse_app_details(details_docs.join(candidates.select("game_id"), "game_id", "left_semi"))
-    summary = parse_review_summaries(summary_docs)
-    return details.join(summary, "game_id", "inner").select(*schemas.COLUMNS["game_info"])
+    summary = parse_review_summaries(summary_docs).withColumnRenamed("game_id", "summary_id")
+    joined = details.join(summary, details["game_id"] == summary["requested_id"], "inner")
+    return joined.drop("game_id").withColumnRenamed("summary_id", "game_id").select(*schemas.COLUMNS["game_info"])
 
 
 # --------------------------------------------------------------------------
@@ -192,6 +201,6 @@ def ingest_comment_data(game_ids: DataFrame, review_pages: DataFrame) -> DataFra
         r["author"]["steamid"].alias("user_id"),
         r["author"]["playtime_forever"].alias("total_playtime"),
         r["author"]["playtime_last_two_weeks"].alias("last_two_weeks_playtime"),
-        scalars.clean_review_text(r["review"]).alias("comment_content"),
+        scalars.clean_review_text("r.review").alias("comment_content"),
         F.col("language"),
     )

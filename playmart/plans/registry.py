@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from playmart import schemas
 from playmart.functions import scalars
@@ -144,7 +143,7 @@ QUERIES: dict[str, Query] = {
     "game_review_totals": lambda spark, sf: ingest.game_review_totals(driver.game_info(spark, sf)),
     # X10
     "clean_review_text": lambda spark, sf: driver.read_table(spark, sf, "conversations").select(
-        "conv_id", "turn", scalars.clean_review_text(F.col("text")).alias("comment_content")
+        "conv_id", "turn", scalars.clean_review_text("text").alias("comment_content")
     ),
     # J6, U5, F10, K5
     "game_candidates": _candidates,

@@ -54,18 +54,34 @@ def normalize(cols, rows):
     return [cols[i] for i in order], out
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def compare(spark, con, name, query, sql, sf_dir, tol=0.0):
     t0 = time.time()
     sdf = query(spark, sf_dir)
     srows = [tuple(r) for r in sdf.collect()]
     scols = sdf.columns
+    stypes = dict(sdf.dtypes)
     t1 = time.time()
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
+    dtypes = {d[0]: str(d[1]) for d in res.description}
     drows = res.fetchall()
     sc, sr = normalize(scols, srows)
     dc, dr = normalize(dcols, drows)
     problems = []
+    for c in scols:
+        if c in dtypes and SPARK_TO_DUCK.get(stypes[c], stypes[c]) != dtypes[c]:
+            problems.append(f"type of {c}: spark={stypes[c]} duck={dtypes[c]}")
     if sc != dc:
         problems.append(f"columns differ: spark={sc} duck={dc}")
     if len(sr) != len(dr):

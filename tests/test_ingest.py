@@ -97,6 +97,14 @@ def test_ingest_game_info_joins_summary(spark):
     assert (rows[0]["game_id"], rows[0]["positive_cnt"], rows[0]["negative_cnt"]) == (1, 7, 2)
 
 
+def test_catalogue_id_comes_from_summary(spark):
+    det = details(spark, [details_doc(5)])
+    summ = spark.createDataFrame([(5, '{"appid": 50, "positive": 1, "negative": 0}')], "game_id BIGINT, body STRING")
+    cand = spark.createDataFrame([(5,)], "game_id BIGINT")
+    rows = ingest.ingest_game_info(cand, det, summ).collect()
+    assert [(r["game_id"], r["thumbnail_path"]) for r in rows] == [(50, "img/5.jpg")]
+
+
 def test_candidates_normalise_string_and_numeric_ids(spark):
     known = spark.createDataFrame([(570,), (10,)], "game_id BIGINT")
     popular = spark.createDataFrame(
