@@ -58,7 +58,11 @@ def shared_dir(spark: SparkSession) -> str:
     when it is unset (local runs, tests) a scratch folder is created and set.
     """
     sc = spark.sparkContext
-    configured = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    configured = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or sc.getCheckpointDir()
+        or sc.getConf().get("spark.checkpoint.dir", None)
+    )
     if not configured:
         configured = tempfile.mkdtemp(prefix="playmart-ckpt-")
     if not sc.getCheckpointDir():
