@@ -14,10 +14,10 @@ import datetime as _dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from playmart import schemas
-from playmart.operators import ingest, models, quality
+from playmart.operators import ingest, quality
+from playmart.plans import catalog
 from playmart.sources import warehouse
 
 # Landed inputs of a run, one folder each under <landing>/<name>/dt=<as_of>.
@@ -104,29 +104,8 @@ def ingest_reviews(wh: Warehouse, landed: dict[str, DataFrame], run_id: str) ->
     return wh.replace("comment_data", ingest.ingest_comment_data(ids, landed["review_pages"]), run_id)
 
 
-def source_models(wh: Warehouse) -> dict[str, DataFrame]:
-    return {
-        "game_info": models.src_game_info(wh.table("game_info")),
-        "game_status": models.src_game_status(wh.status()),
-        "comment_data": models.src_comment_data(wh.table("comment_data")),
-    }
-
-
-def analytics(src: dict[str, DataFrame], raw_game_info: DataFrame) -> dict[str, DataFrame]:
-    """Fact (a view: a lazily evaluated DataFrame) and the six analytics
-    tables. The fact reads the raw catalogue, the analytics the source
-    models."""
-    fact = models.fact_game_playtime(src["comment_data"], raw_game_info)
-    gi, gs, cm = src["game_info"], src["game_status"], src["comment_data"]
-    return {
-        "fact_game_playtime": fact,
-        "analytics_genre_comment_ratio": models.analytics_genre_comment_ratio(gi),
-        "analytics_genre_playtime": models.analytics_genre_playtime(fact),
-        "analytics_release_date": models.analytics_release_date(gi, cm, gs),
-        "analytics_usercnt_price": models.analytics_usercnt_price(gi, gs),
-        "daily_user_login_cnt_diff_top15": models.daily_user_login_cnt_diff_top15(gs, gi),
-        "daily_user_review_cnt_diff_top15": models.daily_user_review_cnt_diff_top15(gs, gi),
-    }
+def raw_tables(wh: Warehouse) -> dict[str, DataFrame]:
+    return {"game_info": wh.table("game_info"), "game_status": wh.status(), "comment_data": wh.table("comment_data")}
 
 
 def run_pipeline(spark: SparkSession, landing_dir: str, warehouse_dir: str, as_of, prefix: str = "pm_") -> RunResult:
@@ -140,12 +119,13 @@ def run_pipeline(spark: SparkSession, landing_dir: str, warehouse_dir: str, as_o
     result.tables["game_status"] = ingest_status(wh, landed, as_of)
     result.tables["comment_data"] = ingest_reviews(wh, landed, run_id)
 
-    src = source_models(wh)
+    frames = catalog.model_frames(raw_tables(wh))
+    src = {t: frames[f"src_{t}"] for t in ("game_info", "game_status", "comment_data")}
     result.checks = quality.gate(src)  # raises before any model is built
 
-    for name, df in analytics(src, wh.table("game_info")).items():
-        if name in ANALYTICS:
-            result.tables[name] = wh.replace(name, df, run_id)
+    # the fact stays a view (a lazily evaluated DataFrame); analytics are tables
+    for name in ANALYTICS:
+        result.tables[name] = wh.replace(name, frames[name], run_id)
     return result
 
 
@@ -155,7 +135,3 @@ def latest_run_tables(spark: SparkSession, warehouse_dir: str, prefix: str = "pm
     out["game_status"] = wh.status()
     return out
 
-
-def day_count(df: DataFrame) -> DataFrame:
-    """Rows per snapshot day (for run reports)."""
-    return df.groupBy("create_dt").agg(F.count(F.lit(1)).alias("rows"))
