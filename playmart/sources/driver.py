@@ -7,6 +7,9 @@ selected, so the parquet scans read just those (``ReadSchema`` in the plan).
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,10 +33,27 @@ DRIVER_SCHEMAS = {
 }
 
 
+def view_name(sf_dir: str, name: str) -> str:
+    digest = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    return f"driver_{digest}_{name}"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = DRIVER_SCHEMAS.get(name)
-    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
+    """A driver table, registered once per session as a temporary view.
+
+    The driver tables are immutable inputs, so the first read registers the
+    scan (declared schema, file listing done once) and later reads resolve
+    the view by name, as reads of catalog tables do.
+    """
+    view = view_name(sf_dir, name)
+    try:
+        return spark.table(view)
+    except AnalysisException:
+        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        schema = DRIVER_SCHEMAS.get(name)
+        df = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
+        df.createOrReplaceTempView(view)
+        return spark.table(view)
 
 
 # Fixed values of the adapter (FIXTURES.md §3): genre words chosen by part
@@ -103,45 +123,40 @@ def review_counts(lineitem: DataFrame) -> DataFrame:
     A partial aggregate runs before the shuffle, so a hot part key sends one
     row per map partition.
     """
-    return lineitem.groupBy(F.col("l_partkey").alias("game_id")).agg(
+    return lineitem.groupBy(F.expr("l_partkey AS game_id")).agg(
         F.expr("CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT)").alias("neg"),
         F.expr("CAST(sum(CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END) AS BIGINT)").alias("pos"),
     )
 
 
 def game_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
-    counts = review_counts(read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag"))
+    # no explicit projection needed: Catalyst prunes both scans to the
+    # columns the expressions use
+    part = read_table(spark, sf_dir, "part")
+    counts = review_counts(read_table(spark, sf_dir, "lineitem"))
     return game_info_from(part, counts)
 
 
 def game_info_from(part: DataFrame, counts: DataFrame) -> DataFrame:
     """Catalogue rows: one per part, review counts from its line items (a
     left join: a part without lines has 0/0)."""
-    joined = part.join(counts, part["p_partkey"] == counts["game_id"], "left").drop("game_id")
-    return joined.selectExpr(*GAME_INFO_EXPRS)
+    return part.join(counts, F.expr("p_partkey = game_id"), "left").selectExpr(*GAME_INFO_EXPRS)
 
 
 def game_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_table(spark, sf_dir, "events").select("user_id", "ts", "value")
-    return game_status_from(events)
+    return game_status_from(read_table(spark, sf_dir, "events"))
 
 
 def game_status_from(events: DataFrame) -> DataFrame:
     """One snapshot per (game, day): players = sum of whole event values."""
-    return events.groupBy(
-        F.col("user_id").alias("game_id"), F.expr("CAST(ts AS DATE)").alias("create_dt")
-    ).agg(
+    return events.groupBy(F.expr("user_id AS game_id"), F.expr("CAST(ts AS DATE) AS create_dt")).agg(
         F.expr("sum(CAST(floor(value) AS BIGINT))").alias("user_cnt"),
         F.expr("count(1)").alias("review_cnt"),
     )
 
 
 def comment_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus"
-    )
-    return comment_data_from(lineitem)
+    return comment_data_from(read_table(spark, sf_dir, "lineitem"))
 
 
 def comment_data_from(lineitem: DataFrame) -> DataFrame:
