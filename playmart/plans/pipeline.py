@@ -94,9 +94,13 @@ def ingest_catalogue(wh: Warehouse, landed: dict[str, DataFrame], run_id: str) -
 
 
 def ingest_status(wh: Warehouse, landed: dict[str, DataFrame], as_of: str) -> str:
+    """Build the day's slice, stage it under its dated key, then replace the
+    day partition from the staged files."""
     totals = ingest.game_review_totals(wh.table("game_info"))
     batch = ingest.ingest_game_status(totals, landed["player_counts"], as_of)
-    return warehouse.write_slice(batch, wh.status_path, as_of)
+    staged = warehouse.land(batch, f"{wh.root}/staging", "game_status", as_of)
+    staged_batch = wh.spark.read.schema(schemas.GAME_STATUS).parquet(staged)
+    return warehouse.write_slice(staged_batch, wh.status_path, as_of)
 
 
 def ingest_reviews(wh: Warehouse, landed: dict[str, DataFrame], run_id: str) -> str:

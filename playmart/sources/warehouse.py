@@ -122,18 +122,31 @@ def replace_slice(existing: DataFrame, batch: DataFrame, as_of, date_column: str
 def write_slice(batch: DataFrame, table_path: str, as_of, date_column: str = "create_dt") -> str:
     """Storage form over a table partitioned by day.
 
-    The partition of ``as_of`` is overwritten with the batch rows of that
-    day (also when there are none: the day's old rows are deleted either
-    way), so a re-run of a day leaves the table unchanged. Batch rows dated
-    on another day, or NULL, are appended, as the insert of the whole batch
-    adds them. Other partitions are never touched.
+    The day partition of ``as_of`` is replaced by the batch rows of that day
+    with a dynamic partition overwrite: tasks write to a staging folder and
+    the partition is swapped at job commit, so a failed job leaves the old
+    slice in place and a re-run of the day leaves the table unchanged. If
+    the batch has no row for the day, the day's old rows are still deleted.
+    Batch rows dated on another day, or NULL, are appended, as the insert of
+    the whole batch adds them. Other partitions are never touched.
+
+    ``batch`` is read twice (emptiness check, write); pass a staged batch.
     """
     day = _date_text(as_of)
     on_day = F.col(date_column).eqNullSafe(F.lit(day).cast("date"))
-    batch.filter(on_day).drop(date_column).write.mode("overwrite").parquet(
-        f"{table_path.rstrip('/')}/{date_column}={day}"
-    )
-    batch.filter(~on_day).write.mode("append").partitionBy(date_column).parquet(table_path)
+    day_rows = batch.filter(on_day)
+    if day_rows.isEmpty():
+        empty = day_rows.drop(date_column).limit(0)
+        empty.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/{date_column}={day}")
+    else:
+        (
+            day_rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(date_column)
+            .parquet(table_path)
+        )
+    others = batch.filter(~on_day)
+    others.write.mode("append").partitionBy(date_column).parquet(table_path)
     return table_path
 
 

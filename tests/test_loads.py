@@ -66,6 +66,14 @@ def test_write_slice_partition_replace(spark):
     warehouse.write_slice(day2b, path, "2024-01-02")  # corrected re-run
     got = sorted(map(tuple, warehouse.read_partitioned(spark, path, schemas.GAME_STATUS).collect()))
     assert got == [(1, D(2024, 1, 1), 5, 1), (1, D(2024, 1, 2), 9, 9), (2, D(2024, 1, 1), 6, 1)]
+    # a batch without rows for its day still deletes that day's old slice
+    warehouse.write_slice(status(spark, []), path, "2024-01-02")
+    got = sorted(map(tuple, warehouse.read_partitioned(spark, path, schemas.GAME_STATUS).collect()))
+    assert got == [(1, D(2024, 1, 1), 5, 1), (2, D(2024, 1, 1), 6, 1)]
+    # rows dated on another day are appended, NULL dates kept
+    warehouse.write_slice(status(spark, [(3, D(2024, 1, 1), 1, 1), (4, None, 2, 2)]), path, "2024-01-02")
+    got = warehouse.read_partitioned(spark, path, schemas.GAME_STATUS).collect()
+    assert len(got) == 4 and sum(1 for r in got if r["create_dt"] is None) == 1
 
 
 def test_full_refresh_reads_own_table(spark):

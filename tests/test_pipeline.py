@@ -78,6 +78,11 @@ def test_streaming_status_loader(spark):
     q = status_loader.start_status_loader(spark, staged, table, checkpoint=ckpt)
     q.awaitTermination(120)
     got = sorted(map(tuple, warehouse.read_partitioned(spark, table, schemas.GAME_STATUS).collect()))
-    # day 1 now holds the rows of every staged day-1 file seen in that micro-batch
-    assert (1, D(2024, 1, 2), 7, 1) in got
-    assert {r[1] for r in got} == {D(2024, 1, 1), D(2024, 1, 2)}
+    # the micro-batch held the corrected day-1 slice and the day-2 slice:
+    # each replaces its day; the first day-1 file is not delivered again
+    assert got == [(1, D(2024, 1, 1), 50, 1), (1, D(2024, 1, 2), 7, 1)]
+
+    # nothing new landed: a further run changes nothing
+    q = status_loader.start_status_loader(spark, staged, table, checkpoint=ckpt)
+    q.awaitTermination(120)
+    assert sorted(map(tuple, warehouse.read_partitioned(spark, table, schemas.GAME_STATUS).collect())) == got
