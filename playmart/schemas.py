@@ -69,6 +69,8 @@ COLUMNS = {
 # --------------------------------------------------------------------------
 # Landed documents: every landed input is a table (game_id, ..., body STRING)
 # whose body is parsed with one of these schemas.
+# The JSON field names below are those of the source
+# documents and must match them exactly.
 # --------------------------------------------------------------------------
 
 APP_DETAILS_ENTRY = T.StructType(
