@@ -139,3 +139,25 @@ def latest_run_tables(spark: SparkSession, warehouse_dir: str, prefix: str = "pm
     out["game_status"] = wh.status()
     return out
 
+
+
+def main(argv: list[str] | None = None) -> None:
+    """spark-submit entry: ``python -m playmart.plans.pipeline --landing L
+    --warehouse W --as-of YYYY-MM-DD``. The session comes from the cluster
+    (``getOrCreate``); nothing here overrides its settings."""
+    import argparse
+
+    parser = argparse.ArgumentParser(description="daily catalogue / status / review run")
+    parser.add_argument("--landing", required=True)
+    parser.add_argument("--warehouse", required=True)
+    parser.add_argument("--as-of", required=True)
+    parser.add_argument("--prefix", default="pm_")
+    args = parser.parse_args(argv)
+    spark = SparkSession.builder.appName("playmart-daily").getOrCreate()
+    result = run_pipeline(spark, args.landing, args.warehouse, args.as_of, prefix=args.prefix)
+    for name, path in result.tables.items():
+        print(f"{name}\t{path}")
+
+
+if __name__ == "__main__":
+    main()
