@@ -73,9 +73,9 @@ def _contains(match: str | None) -> str:
     return "true" if match is None else f"contains(genre, {_lit(match)})"
 
 
-def _inline(rows: list[str]) -> F.Column:
+def _inline_sql(rows: list[str]) -> str:
     """One output row per struct: inline(array(struct(...), ...))."""
-    return F.expr(f"inline(array({', '.join(rows)}))")
+    return f"inline(array({', '.join(rows)}))"
 
 
 def analytics_genre_comment_ratio(game_info: DataFrame, labels=None) -> DataFrame:
@@ -87,19 +87,19 @@ def analytics_genre_comment_ratio(game_info: DataFrame, labels=None) -> DataFram
     map-side to one row per partition; ``inline`` then yields one row per label.
     """
     labels = labels or schemas.REVIEW_GENRE_LABELS
-    gi = game_info.select("genre", "negative_cnt", "positive_cnt")
     aggs, rows = [], []
     for i, (label, match) in enumerate(labels):
         hit = _contains(match)
         aggs += [
-            F.expr(f"sum(CASE WHEN {hit} THEN positive_cnt END)").alias(f"p{i}"),
-            F.expr(f"sum(CASE WHEN {hit} THEN negative_cnt END)").alias(f"n{i}"),
-            F.expr(f"count(CASE WHEN {hit} THEN 1 END)").alias(f"c{i}"),
+            f"sum(CASE WHEN {hit} THEN positive_cnt END) AS p{i}",
+            f"sum(CASE WHEN {hit} THEN negative_cnt END) AS n{i}",
+            f"count(CASE WHEN {hit} THEN 1 END) AS c{i}",
         ]
         rows.append(
             f"struct({_lit(label)} AS genre, p{i} AS total_positive_cnt, n{i} AS total_negative_cnt, c{i} AS game_cnt)"
         )
-    return gi.agg(*aggs).select(_inline(rows))
+    # a projection of aggregate expressions is a global aggregate
+    return game_info.selectExpr(*aggs).selectExpr(_inline_sql(rows))
 
 
 def analytics_genre_comment_ratio_union(game_info: DataFrame, labels=None) -> DataFrame:
@@ -138,15 +138,14 @@ def analytics_genre_playtime(fact: DataFrame, labels=None, filter_first_label: b
     Single pass with conditional aggregates, as in the review-total model.
     """
     labels = _playtime_labels(labels, filter_first_label)
-    f = fact.select("genre", "count_game_id", "sum_total_playtime", "sum_last_two_weeks_playtime")
     aggs, rows = [], []
     for i, (label, match) in enumerate(labels):
         hit = _contains(match)
         aggs += [
-            F.expr(f"sum(CASE WHEN {hit} THEN sum_total_playtime END)").alias(f"t{i}"),
-            F.expr(f"sum(CASE WHEN {hit} THEN sum_last_two_weeks_playtime END)").alias(f"w{i}"),
-            F.expr(f"sum(CASE WHEN {hit} THEN count_game_id END)").alias(f"c{i}"),
-            F.expr(f"count(CASE WHEN {hit} THEN 1 END)").alias(f"g{i}"),
+            f"sum(CASE WHEN {hit} THEN sum_total_playtime END) AS t{i}",
+            f"sum(CASE WHEN {hit} THEN sum_last_two_weeks_playtime END) AS w{i}",
+            f"sum(CASE WHEN {hit} THEN count_game_id END) AS c{i}",
+            f"count(CASE WHEN {hit} THEN 1 END) AS g{i}",
         ]
         rows.append(
             f"struct({_lit(label)} AS gen, "
@@ -154,7 +153,7 @@ def analytics_genre_playtime(fact: DataFrame, labels=None, filter_first_label: b
             f"try_divide(CAST(w{i} AS DOUBLE), CAST(c{i} AS DOUBLE)) AS sum_last_two_weeks_playtime, "
             f"g{i} AS n_games)"
         )
-    return f.agg(*aggs).select(_inline(rows)).filter("n_games > 0").drop("n_games")
+    return fact.selectExpr(*aggs).selectExpr(_inline_sql(rows)).filter("n_games > 0").drop("n_games")
 
 
 def analytics_genre_playtime_union(fact: DataFrame, labels=None, filter_first_label: bool = False) -> DataFrame:

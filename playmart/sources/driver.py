@@ -38,6 +38,15 @@ def view_name(sf_dir: str, name: str) -> str:
     return f"driver_{digest}_{name}"
 
 
+def _registered(spark: SparkSession, view: str, build) -> DataFrame:
+    """The temp view ``view``, created from ``build()`` on first use."""
+    try:
+        return spark.table(view)
+    except AnalysisException:
+        build().createOrReplaceTempView(view)
+        return spark.table(view)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table, registered once per session as a temporary view.
 
@@ -45,15 +54,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     scan (declared schema, file listing done once) and later reads resolve
     the view by name, as reads of catalog tables do.
     """
-    view = view_name(sf_dir, name)
-    try:
-        return spark.table(view)
-    except AnalysisException:
-        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        schema = DRIVER_SCHEMAS.get(name)
-        df = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
-        df.createOrReplaceTempView(view)
-        return spark.table(view)
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = DRIVER_SCHEMAS.get(name)
+
+    def build() -> DataFrame:
+        return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
+
+    return _registered(spark, view_name(sf_dir, name), build)
 
 
 # Fixed values of the adapter (FIXTURES.md §3): genre words chosen by part
@@ -130,11 +137,17 @@ def review_counts(lineitem: DataFrame) -> DataFrame:
 
 
 def game_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # no explicit projection needed: Catalyst prunes both scans to the
-    # columns the expressions use
-    part = read_table(spark, sf_dir, "part")
-    counts = review_counts(read_table(spark, sf_dir, "lineitem"))
-    return game_info_from(part, counts)
+    """The catalogue view over part and lineitem (registered once per
+    session; a lazy view, Catalyst optimizes through it)."""
+
+    def build() -> DataFrame:
+        # no explicit projection needed: Catalyst prunes both scans to the
+        # columns the expressions use
+        part = read_table(spark, sf_dir, "part")
+        counts = review_counts(read_table(spark, sf_dir, "lineitem"))
+        return game_info_from(part, counts)
+
+    return _registered(spark, view_name(sf_dir, "game_info"), build)
 
 
 def game_info_from(part: DataFrame, counts: DataFrame) -> DataFrame:
@@ -144,7 +157,10 @@ def game_info_from(part: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def game_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return game_status_from(read_table(spark, sf_dir, "events"))
+    """The daily status view over events (registered once per session)."""
+    return _registered(
+        spark, view_name(sf_dir, "game_status"), lambda: game_status_from(read_table(spark, sf_dir, "events"))
+    )
 
 
 def game_status_from(events: DataFrame) -> DataFrame:
@@ -156,7 +172,10 @@ def game_status_from(events: DataFrame) -> DataFrame:
 
 
 def comment_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comment_data_from(read_table(spark, sf_dir, "lineitem"))
+    """The review view over lineitem (registered once per session)."""
+    return _registered(
+        spark, view_name(sf_dir, "comment_data"), lambda: comment_data_from(read_table(spark, sf_dir, "lineitem"))
+    )
 
 
 def comment_data_from(lineitem: DataFrame) -> DataFrame:
