@@ -34,6 +34,16 @@ def is_valid(parsed) -> F.Column:
     return parsed.isNotNull() & parsed[CORRUPT].isNull()
 
 
+# A schema with only the corrupt-record field: parsing with it checks that a
+# text is JSON without building any nested value.
+_JSON_CHECK = T.StructType([T.StructField(CORRUPT, T.StringType(), True)])
+
+
+def is_json(body) -> F.Column:
+    """True when ``body`` is a JSON object (the fetch did not fail)."""
+    return is_valid(F.from_json(body, _JSON_CHECK, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}))
+
+
 # --------------------------------------------------------------------------
 # Candidate ids = known ids + popular ids not yet known
 # --------------------------------------------------------------------------
@@ -183,19 +193,19 @@ def ingest_comment_data(game_ids: DataFrame, review_pages: DataFrame) -> DataFra
     """Review pages (game_id, language, page_no, body) -> one row per review.
 
     A game is skipped entirely if any of its pages is not JSON (its pages are
-    fetched together). The failing-game set is computed on small
-    (game, flag) rows; pages are filtered with an anti-join before they are
-    exploded, so the exploded reviews are never shuffled. Languages are
-    concatenated as a bag: a review on both pages yields two rows.
+    fetched together). That check only tokenizes the text (no values are
+    built) and yields small (game) rows; pages are filtered with an
+    anti-join before they are parsed and exploded, so exploded reviews are
+    never shuffled. A page that is JSON but not a review page contributes no
+    reviews. Languages are concatenated as a bag: a review on both pages
+    yields two rows.
     """
-    p = parse_struct(F.col("body"), schemas.REVIEW_PAGE_BODY)
-    pages = review_pages.join(game_ids.select("game_id"), "game_id", "left_semi").select(
-        "game_id", "language", p.alias("p")
-    )
-    bad_games = pages.filter(~is_valid(F.col("p"))).select("game_id").distinct()
+    pages = review_pages.join(game_ids.select("game_id"), "game_id", "left_semi")
+    bad_games = pages.filter(~is_json(F.col("body"))).select("game_id").distinct()
     good = pages.join(bad_games, "game_id", "left_anti")
+    reviews = F.from_json("body", schemas.REVIEW_PAGE_BODY)["reviews"]
     r = F.col("r")
-    return good.select("game_id", "language", F.explode("p.reviews").alias("r")).select(
+    return good.select("game_id", "language", F.explode(reviews).alias("r")).select(
         r["recommendationid"].alias("comment_id"),
         F.col("game_id").cast("bigint").alias("game_id"),
         r["author"]["steamid"].alias("user_id"),

@@ -150,10 +150,12 @@ def test_reviews_both_languages_bag_and_bad_page(spark):
             (2, "ENG", 0, review_page([("r9", "valid but dropped")])),
             (3, "KOR", 0, review_page([("r3", "kept")])),
             (4, "KOR", 0, review_page([("r4", "not a known game")])),
+            (5, "KOR", 0, '{"reviews": "not a list"}'),  # JSON, but no reviews: game kept
+            (5, "ENG", 0, review_page([("r5", "kept too")])),
         ],
         "game_id BIGINT, language STRING, page_no BIGINT, body STRING",
     )
-    ids = spark.createDataFrame([(1,), (2,), (3,)], "game_id BIGINT")
+    ids = spark.createDataFrame([(1,), (2,), (3,), (5,)], "game_id BIGINT")
     rows = ingest.ingest_comment_data(ids, pages).collect()
     got = sorted((r["comment_id"], r["language"], r["comment_content"]) for r in rows)
     assert got == [
@@ -161,6 +163,7 @@ def test_reviews_both_languages_bag_and_bad_page(spark):
         ("r1", "KOR", "좋아요  정말"),
         ("r2", "KOR", 'say "hi"\r'),
         ("r3", "KOR", "kept"),
+        ("r5", "ENG", "kept too"),
     ]
     r = [x for x in rows if x["comment_id"] == "r3"][0]
     assert (r["game_id"], r["user_id"], r["total_playtime"], r["last_two_weeks_playtime"]) == (3, "sr3", 100, 7)
