@@ -86,3 +86,40 @@ def test_streaming_status_loader(spark):
     q = status_loader.start_status_loader(spark, staged, table, checkpoint=ckpt)
     q.awaitTermination(120)
     assert sorted(map(tuple, warehouse.read_partitioned(spark, table, schemas.GAME_STATUS).collect())) == got
+
+
+def test_gate_stops_run_before_models(spark):
+    import json
+
+    import pytest
+
+    from playmart.operators import quality
+
+    landing_dir = tempfile.mkdtemp(prefix="run-landing-")
+    wh_dir = tempfile.mkdtemp(prefix="run-wh-")
+    prefix = "gate_" + wh_dir.rsplit("-", 1)[-1].lower() + "_"
+    day = "2024-02-01"
+
+    def details(gid):
+        data = {
+            "type": "game", "name": f"g{gid}", "is_free": True,
+            "release_date": {"coming_soon": False, "date": "2023년 1월"},
+            "capsule_image": "x", "genres": [{"id": "1", "description": "RPG"}],
+        }
+        return (gid, json.dumps({str(gid): {"success": True, "data": data}}, ensure_ascii=False))
+
+    docs = {
+        "app_details": spark.createDataFrame([details(1), details(2)], "game_id BIGINT, body STRING"),
+        # both summaries report id 1: the catalogue gets a duplicate id
+        "review_summary": spark.createDataFrame(
+            [(1, '{"appid": 1, "positive": 1, "negative": 0}'), (2, '{"appid": 1, "positive": 2, "negative": 0}')],
+            "game_id BIGINT, body STRING",
+        ),
+        "player_counts": spark.createDataFrame([(1, '{"response": {"player_count": 3}}')], "game_id BIGINT, body STRING"),
+        "review_pages": spark.createDataFrame([], "game_id BIGINT, language STRING, page_no BIGINT, body STRING"),
+        "popular": spark.createDataFrame([('{"1": {"appid": 1}, "2": {"appid": 2}}',)], "body STRING"),
+    }
+    pipeline.write_landed(docs, landing_dir, day)
+    with pytest.raises(quality.DataQualityError, match="unique_src_game_info_game_id"):
+        pipeline.run_pipeline(spark, landing_dir, wh_dir, day, prefix=prefix)
+    assert not spark.catalog.tableExists(prefix + "analytics_genre_comment_ratio")
