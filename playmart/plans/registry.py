@@ -55,27 +55,28 @@ def _dq_oracle(table: str, column: str, kind: str) -> str:
     return oracle.unique_sql(table, column) if kind == "unique" else oracle.not_null_sql(table, column)
 
 
-def _landed(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return landing.landed_from_driver(spark, sf)
+def _landed(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return landing.landed(spark, sf, name)
 
 
 def _candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest.game_candidates(driver.game_info(spark, sf).select("game_id"), _landed(spark, sf)["popular"])
+    return ingest.game_candidates(driver.game_info(spark, sf).select("game_id"), _landed(spark, sf, "popular"))
 
 
 def _parse_game_details(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _landed(spark, sf)
-    return ingest.ingest_game_info(_candidates(spark, sf), docs["app_details"], docs["review_summary"])
+    return ingest.ingest_game_info(
+        _candidates(spark, sf), _landed(spark, sf, "app_details"), _landed(spark, sf, "review_summary")
+    )
 
 
 def _status_batch(spark: SparkSession, sf: str) -> DataFrame:
     totals = ingest.game_review_totals(driver.game_info(spark, sf))
-    return ingest.ingest_game_status(totals, _landed(spark, sf)["player_counts"], AS_OF)
+    return ingest.ingest_game_status(totals, _landed(spark, sf, "player_counts"), AS_OF)
 
 
 def _parse_reviews(spark: SparkSession, sf: str) -> DataFrame:
     ids = driver.game_info(spark, sf).select("game_id")
-    return ingest.ingest_comment_data(ids, _landed(spark, sf)["review_pages"])
+    return ingest.ingest_comment_data(ids, _landed(spark, sf, "review_pages"))
 
 
 def _status_slice_replace(spark: SparkSession, sf: str) -> DataFrame:

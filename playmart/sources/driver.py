@@ -38,7 +38,7 @@ def view_name(sf_dir: str, name: str) -> str:
     return f"driver_{digest}_{name}"
 
 
-def _registered(spark: SparkSession, view: str, build) -> DataFrame:
+def registered_view(spark: SparkSession, view: str, build) -> DataFrame:
     """The temp view ``view``, created from ``build()`` on first use."""
     try:
         return spark.table(view)
@@ -60,7 +60,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     def build() -> DataFrame:
         return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
-    return _registered(spark, view_name(sf_dir, name), build)
+    return registered_view(spark, view_name(sf_dir, name), build)
 
 
 # Fixed values of the adapter (FIXTURES.md §3): genre words chosen by part
@@ -147,7 +147,7 @@ def game_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         counts = review_counts(read_table(spark, sf_dir, "lineitem"))
         return game_info_from(part, counts)
 
-    return _registered(spark, view_name(sf_dir, "game_info"), build)
+    return registered_view(spark, view_name(sf_dir, "game_info"), build)
 
 
 def game_info_from(part: DataFrame, counts: DataFrame) -> DataFrame:
@@ -158,7 +158,7 @@ def game_info_from(part: DataFrame, counts: DataFrame) -> DataFrame:
 
 def game_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily status view over events (registered once per session)."""
-    return _registered(
+    return registered_view(
         spark, view_name(sf_dir, "game_status"), lambda: game_status_from(read_table(spark, sf_dir, "events"))
     )
 
@@ -173,7 +173,7 @@ def game_status_from(events: DataFrame) -> DataFrame:
 
 def comment_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The review view over lineitem (registered once per session)."""
-    return _registered(
+    return registered_view(
         spark, view_name(sf_dir, "comment_data"), lambda: comment_data_from(read_table(spark, sf_dir, "lineitem"))
     )
 

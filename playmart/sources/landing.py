@@ -164,17 +164,27 @@ def popular_docs(events: DataFrame) -> DataFrame:
     return events.select(F.to_json(F.create_map(appid.cast("string"), info)).alias("body"))
 
 
+# Which builder makes each landed input, from which driver table.
+BUILDERS = {
+    "app_details": (app_details_docs, "part"),
+    "review_summary": (review_summary_docs, "lineitem"),
+    "player_counts": (player_count_docs, "events"),
+    "review_pages": (review_page_docs, "lineitem"),
+    "popular": (popular_docs, "events"),
+}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One landed input derived from the driver tables, registered once per
+    session as a lazy temporary view (like the adapter views)."""
+    build, table = BUILDERS[name]
+    return driver.registered_view(
+        spark, driver.view_name(sf_dir, f"landed_{name}"), lambda: build(driver.read_table(spark, sf_dir, table))
+    )
+
+
 def landed_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    part = driver.read_table(spark, sf_dir, "part")
-    lineitem = driver.read_table(spark, sf_dir, "lineitem")
-    events = driver.read_table(spark, sf_dir, "events")
-    return {
-        "app_details": app_details_docs(part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")),
-        "review_summary": review_summary_docs(lineitem.select("l_partkey", "l_returnflag")),
-        "player_counts": player_count_docs(events.select("user_id", "value")),
-        "review_pages": review_page_docs(lineitem),
-        "popular": popular_docs(events.select("user_id", "event_type")),
-    }
+    return {name: landed(spark, sf_dir, name) for name in BUILDERS}
 
 
 # --------------------------------------------------------------------------
