@@ -18,6 +18,8 @@ def test_no_python_evaluation(spark, name):
     plan = physical(entry.queries()[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
         assert node not in plan, f"{name} evaluates Python: {node}"
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan, f"{name} pairs rows without keys: {node}"
 
 
 def test_fact_scan_is_pruned(spark):
