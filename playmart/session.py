@@ -27,7 +27,6 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
