@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playmart import schemas
+from playmart.functions.sqltext import literal
 
 # --------------------------------------------------------------------------
 # M1-M3: source models, an explicit projection of each raw table
@@ -65,12 +66,8 @@ def fact_game_playtime(comment_data: DataFrame, game_info: DataFrame) -> DataFra
 # --------------------------------------------------------------------------
 
 
-def _lit(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _contains(match: str | None) -> str:
-    return "true" if match is None else f"contains(genre, {_lit(match)})"
+    return "true" if match is None else f"contains(genre, {literal(match)})"
 
 
 def _inline_sql(rows: list[str]) -> str:
@@ -96,7 +93,7 @@ def analytics_genre_comment_ratio(game_info: DataFrame, labels=None) -> DataFram
             f"count(CASE WHEN {hit} THEN 1 END) AS c{i}",
         ]
         rows.append(
-            f"struct({_lit(label)} AS genre, p{i} AS total_positive_cnt, n{i} AS total_negative_cnt, c{i} AS game_cnt)"
+            f"struct({literal(label)} AS genre, p{i} AS total_positive_cnt, n{i} AS total_negative_cnt, c{i} AS game_cnt)"
         )
     # a projection of aggregate expressions is a global aggregate
     return game_info.selectExpr(*aggs).selectExpr(_inline_sql(rows))
@@ -148,7 +145,7 @@ def analytics_genre_playtime(fact: DataFrame, labels=None, filter_first_label: b
             f"count(CASE WHEN {hit} THEN 1 END) AS g{i}",
         ]
         rows.append(
-            f"struct({_lit(label)} AS gen, "
+            f"struct({literal(label)} AS gen, "
             f"try_divide(CAST(t{i} AS DOUBLE), CAST(c{i} AS DOUBLE)) AS sum_total_playtime, "
             f"try_divide(CAST(w{i} AS DOUBLE), CAST(c{i} AS DOUBLE)) AS sum_last_two_weeks_playtime, "
             f"g{i} AS n_games)"

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playmart.functions.sqltext import literal
+
 
 @dataclass(frozen=True)
 class ColumnTest:
@@ -63,18 +65,35 @@ def failures(test: ColumnTest, tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def test_results(tables: dict[str, DataFrame], tests=SOURCE_TESTS) -> DataFrame:
-    """One row per test with its failing-row count (a distributed count per
-    test, unioned; nothing but the counts reaches the driver)."""
-    out = None
+    """One row per test with its failing-row count.
+
+    Tests on the same column share one pass: with a ``unique`` test the
+    column is counted per value once (partial counts before the shuffle);
+    the NULL value is its own group, which gives the ``not_null`` failures
+    too. A column with only ``not_null`` is a global count. Nothing but the
+    counts reaches the driver.
+    """
+    by_column: dict[tuple[str, str], list[ColumnTest]] = {}
     for t in tests:
-        counted = failures(t, tables).agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(t.name).alias("test_name"),
-            F.lit(t.kind).alias("test_kind"),
-            F.lit(t.model).alias("model"),
-            F.lit(t.column).alias("column_name"),
-            "failures",
+        by_column.setdefault((t.model, t.column), []).append(t)
+    out = None
+    for (model, column), col_tests in by_column.items():
+        df = tables[model].select(column)
+        if any(t.kind == "unique" for t in col_tests):
+            counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+            summary = counted.selectExpr(
+                f"coalesce(sum(CASE WHEN {column} IS NULL THEN n END), 0L) AS not_null",
+                f"count(CASE WHEN {column} IS NOT NULL AND n > 1 THEN 1 END) AS unique",
+            )
+        else:
+            summary = df.selectExpr(f"count(CASE WHEN {column} IS NULL THEN 1 END) AS not_null")
+        rows = ", ".join(
+            f"struct({literal(t.name)} AS test_name, {literal(t.kind)} AS test_kind, {literal(t.model)} AS model, "
+            f"{literal(t.column)} AS column_name, `{t.kind}` AS failures)"
+            for t in col_tests
         )
-        out = counted if out is None else out.unionByName(counted)
+        part = summary.selectExpr(f"inline(array({rows}))")
+        out = part if out is None else out.unionByName(part)
     return out
 
 

@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playmart.functions.sqltext import literal
+
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -81,14 +83,10 @@ NAME_SUFFIX_GENRE = [
 ]
 
 
-def _sql(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _case(subject_test: str, pairs, default: str) -> str:
     """CASE WHEN <test(key)> THEN 'value' ... ELSE 'default' END."""
-    whens = " ".join(f"WHEN {subject_test.format(key=_sql(k))} THEN {_sql(v)}" for k, v in pairs)
-    return f"CASE {whens} ELSE {_sql(default)} END"
+    whens = " ".join(f"WHEN {subject_test.format(key=literal(k))} THEN {literal(v)}" for k, v in pairs)
+    return f"CASE {whens} ELSE {literal(default)} END"
 
 
 # Column expressions of the adapter views, as SQL text: one parse in the
