@@ -56,15 +56,16 @@ def shared_dir(spark: SparkSession) -> str:
     On a cluster this setting names storage every executor can reach. Only
     when it is unset (local runs, tests) a scratch folder is created and set.
     """
-    sc = spark.sparkContext
-    configured = (
-        spark.conf.get("spark.checkpoint.dir", None)
-        or sc.getCheckpointDir()
-        or sc.getConf().get("spark.checkpoint.dir", None)
-    )
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext
+        sc = None
+    if sc is not None:
+        configured = configured or sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="playmart-ckpt-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
