@@ -53,10 +53,32 @@ def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> str
     return path
 
 
-def read_staged_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def read_staged_csv(
+    spark: SparkSession, path: str, schema: T.StructType, integers_as_decimals: bool = False
+) -> DataFrame:
     """Read staged CSV by position: the header line is skipped and its text
-    ignored; column names and types come from ``schema``."""
-    return spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(path)
+    ignored; column names and types come from ``schema``.
+
+    ``integers_as_decimals``: files written by a frame library that turned an
+    integer column with missing values into floats hold ``12000.0``, which an
+    integer schema reads as NULL. With this flag integral columns are read as
+    text and converted through DOUBLE (``12000.0`` -> 12000, empty -> NULL).
+    """
+    if not integers_as_decimals:
+        return spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(path)
+    as_text = T.StructType(
+        [T.StructField(f.name, T.StringType(), True) if isinstance(f.dataType, _INTEGRAL) else f for f in schema.fields]
+    )
+    exprs = [
+        f"try_cast(try_cast(`{f.name}` AS DOUBLE) AS {f.dataType.simpleString()}) AS `{f.name}`"
+        if isinstance(f.dataType, _INTEGRAL)
+        else f"`{f.name}`"
+        for f in schema.fields
+    ]
+    return spark.read.schema(as_text).options(**CSV_READ_OPTIONS).csv(path).selectExpr(*exprs)
 
 
 # --------------------------------------------------------------------------

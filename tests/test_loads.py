@@ -40,6 +40,23 @@ def test_csv_read_is_positional(spark):
     assert r["comment_content"] == "hello world" and r["game_id"] == 10
 
 
+def test_csv_integers_written_as_floats(spark):
+    path = tempfile.mkdtemp(prefix="run-csv-") + "/stage"
+    os.makedirs(path)
+    with open(f"{path}/part-0.csv", "w") as f:
+        f.write("game_id,game_name,price,discount_percentage,release_date,thumbnail_path,genre,negative_cnt,positive_cnt\n")
+        f.write("570,Game A,12000.0,20.0,2023-06,img/a.jpg,RPG,3,4\n")
+        f.write("571,,,,,,,5,6\n")  # coming soon: details missing
+    strict = {r["game_id"]: r for r in warehouse.read_staged_csv(spark, path, schemas.GAME_INFO).collect()}
+    assert strict[570]["price"] is None  # an integer schema cannot read 12000.0
+    rows = {
+        r["game_id"]: r
+        for r in warehouse.read_staged_csv(spark, path, schemas.GAME_INFO, integers_as_decimals=True).collect()
+    }
+    assert (rows[570]["price"], rows[570]["discount_percentage"], rows[570]["positive_cnt"]) == (12000, 20, 4)
+    assert rows[571]["price"] is None and rows[571]["game_name"] is None and rows[571]["negative_cnt"] == 5
+
+
 def status(spark, rows):
     return spark.createDataFrame(rows, schemas.GAME_STATUS)
 
