@@ -123,3 +123,35 @@ def test_gate_stops_run_before_models(spark):
     with pytest.raises(quality.DataQualityError, match="unique_src_game_info_game_id"):
         pipeline.run_pipeline(spark, landing_dir, wh_dir, day, prefix=prefix)
     assert not spark.catalog.tableExists(prefix + "analytics_genre_comment_ratio")
+
+
+def test_load_staged_csv_days(spark):
+    """Staged CSV batches under <folder>/<name>_<date>.csv, two days."""
+    from playmart.sources import driver
+
+    stage_dir = tempfile.mkdtemp(prefix="run-stage-")
+    wh_dir = tempfile.mkdtemp(prefix="run-wh-")
+    prefix = "csv_" + wh_dir.rsplit("-", 1)[-1].lower() + "_"
+    info = driver.game_info(spark, SF_SMALL)
+    comments = driver.comment_data(spark, SF_SMALL)
+    status = driver.game_status(spark, SF_SMALL)
+    for day in ("2024-01-10", "2024-01-11"):
+        warehouse.write_csv(info, pipeline.staged_csv_key(stage_dir, "game_info", day), schemas.COLUMNS["game_info"])
+        warehouse.write_csv(
+            comments, pipeline.staged_csv_key(stage_dir, "comment_data", day), schemas.COLUMNS["comment_data"]
+        )
+        warehouse.write_csv(
+            status.filter(F.col("create_dt") == day),
+            pipeline.staged_csv_key(stage_dir, "game_status", day),
+            schemas.COLUMNS["game_status"],
+        )
+        result = pipeline.load_staged_day(spark, stage_dir, wh_dir, day, prefix=prefix)
+    assert all(v == 0 for k, v in result.checks.items() if "unique" not in k)
+    tables = pipeline.latest_run_tables(spark, wh_dir, prefix)
+    assert tables["game_info"].count() == info.count()
+    assert tables["comment_data"].count() == comments.count()
+    expect = status.filter(F.col("create_dt").isin("2024-01-10", "2024-01-11"))
+    assert sorted(map(tuple, tables["game_status"].collect())) == sorted(map(tuple, expect.collect()))
+    assert tables["analytics_genre_comment_ratio"].count() == 10
+    # day 10 -> 11 pairs exist, so the movers table is not empty
+    assert tables["daily_user_login_cnt_diff_top15"].count() > 0
