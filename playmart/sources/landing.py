@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from playmart.sources import driver
 
-# Largest number of orders whose lines go to one review page, so one page
-# holds at most REVIEW_PAGE_ORDERS * 7 reviews whatever the data size.
+# Number of consecutive orders whose lines of one game and language form one
+# review page: a page holds at most REVIEW_PAGE_ORDERS times the lines of an
+# order (a property of the order table, not of its size), so pages stay
+# bounded at any scale and a game with many reviews gets many pages.
 REVIEW_PAGE_ORDERS = 1000
 
 # Genre descriptions as the store writes them (with spaces),
@@ -127,9 +129,10 @@ def player_count_docs(events: DataFrame) -> DataFrame:
 def review_page_docs(lineitem: DataFrame) -> DataFrame:
     """Review pages per (game, language, page): each line item is a review.
 
-    A page groups the lines of at most REVIEW_PAGE_ORDERS consecutive orders,
-    so its size is bounded however many reviews a game has. Review text
-    carries a newline or a comma between its two words.
+    A page groups the lines of a block of REVIEW_PAGE_ORDERS consecutive
+    orders, so its size does not grow with the data however many reviews a
+    game has (the group is bounded before collect_list). Review text carries
+    a newline or a comma between its two words.
     """
     li = lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus"
