@@ -185,6 +185,12 @@ def latest_run_tables(spark: SparkSession, warehouse_dir: str, prefix: str = "pm
 
 
 
+def register_warehouse_views(spark: SparkSession, warehouse_dir: str, prefix: str = "pm_", view_prefix: str = "") -> list[str]:
+    """Name the warehouse's current raw tables and every model as temporary
+    views for ``spark.sql`` (models are computed from the raw tables)."""
+    return catalog.register_views(spark, raw_tables(Warehouse(spark, warehouse_dir, prefix)), prefix=view_prefix)
+
+
 def main(argv: list[str] | None = None) -> None:
     """spark-submit entry: ``python -m playmart.plans.pipeline --landing L
     --warehouse W --as-of YYYY-MM-DD``. The session comes from the cluster

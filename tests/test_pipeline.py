@@ -58,6 +58,11 @@ def test_run_pipeline_two_days_and_rerun(spark):
     assert tables["daily_user_login_cnt_diff_top15"].filter(F.col("user_diff") != 0).count() == 0
     assert r2.tables["game_status"].endswith("game_status")
 
+    # the warehouse is queryable by name
+    pipeline.register_warehouse_views(spark, wh_dir, prefix, view_prefix="wh_")
+    assert spark.sql("SELECT count(*) FROM wh_analytics_genre_comment_ratio").first()[0] == 10
+    assert spark.sql("SELECT count(*) FROM wh_game_info").first()[0] == n_games
+
 
 def test_streaming_status_loader(spark):
     staged = tempfile.mkdtemp(prefix="run-staged-")
