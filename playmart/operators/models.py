@@ -327,6 +327,16 @@ def _mover_columns(metric: str) -> list[str]:
     return [metric if c is None else c for c in MOVER_COLUMNS]
 
 
+def _in_final_order(top: DataFrame, *cols: str) -> DataFrame:
+    """Total order of a top-k result: one partition, sorted.
+
+    The result holds at most k rows per day and direction, a size set by the
+    number of days, not by the data; sorting it in one partition gives the
+    same order as ``orderBy`` without its range-partition sampling job.
+    """
+    return top.repartition(1).sortWithinPartitions(*cols)
+
+
 def daily_user_login_cnt_diff_top15(game_status: DataFrame, game_info: DataFrame, k: int = schemas.DAILY_TOP_K) -> DataFrame:
     """Per start day, the k largest player-count drops (DECREASE) and rises
     (INCREASE) to the next day, ordered by (gubun, start_dt, rn)."""
@@ -335,10 +345,11 @@ def daily_user_login_cnt_diff_top15(game_status: DataFrame, game_info: DataFrame
     inc_pairs = next_day_pairs(game_status, game_info, "user_cnt", descending=True, k=k)
     decrease = top_k_per_day(dec_pairs, "user_diff", True, k).select(*cols, F.lit("DECREASE").alias("gubun"))
     increase = top_k_per_day(inc_pairs, "user_diff", False, k).select(*cols, F.lit("INCREASE").alias("gubun"))
-    return decrease.unionByName(increase).orderBy("gubun", "start_dt", "rn")
+    return _in_final_order(decrease.unionByName(increase), "gubun", "start_dt", "rn")
 
 
 def daily_user_review_cnt_diff_top15(game_status: DataFrame, game_info: DataFrame, k: int = schemas.DAILY_TOP_K) -> DataFrame:
     """Per start day, the k largest review-count rises to the next day."""
     pairs = next_day_pairs(game_status, game_info, "review_cnt", descending=True, k=k)
-    return top_k_per_day(pairs, "review_diff", False, k).select(*_mover_columns("review_diff")).orderBy("start_dt", "rn")
+    top = top_k_per_day(pairs, "review_diff", False, k).select(*_mover_columns("review_diff"))
+    return _in_final_order(top, "start_dt", "rn")
