@@ -17,11 +17,10 @@ from pyspark.sql import functions as F
 
 from playmart.sources import driver
 
-# Number of consecutive orders whose lines of one game and language form one
-# review page: a page holds at most REVIEW_PAGE_ORDERS times the lines of an
-# order (a property of the order table, not of its size), so pages stay
-# bounded at any scale and a game with many reviews gets many pages.
-REVIEW_PAGE_ORDERS = 1000
+# Largest number of reviews on one page: reviews of one game and language
+# among this many consecutive input rows form a page, so a page never holds
+# more, however many reviews (or copies of one review) a game has.
+REVIEW_PAGE_ROWS = 1000
 
 # Genre descriptions as the store writes them (with spaces),
 # by part type and by the last word of the part name.
@@ -129,10 +128,11 @@ def player_count_docs(events: DataFrame) -> DataFrame:
 def review_page_docs(lineitem: DataFrame) -> DataFrame:
     """Review pages per (game, language, page): each line item is a review.
 
-    A page groups the lines of a block of REVIEW_PAGE_ORDERS consecutive
-    orders, so its size does not grow with the data however many reviews a
-    game has (the group is bounded before collect_list). Review text carries
-    a newline or a comma between its two words.
+    A page groups the game's lines among a block of REVIEW_PAGE_ROWS
+    consecutive input rows (row ids are unique per input split and stable on
+    recomputation of a file scan), so no page exceeds REVIEW_PAGE_ROWS
+    reviews before collect_list, even when one review is copied many times.
+    Review text carries a newline or a comma between its two words.
     """
     li = lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus"
@@ -152,7 +152,7 @@ def review_page_docs(lineitem: DataFrame) -> DataFrame:
         li.groupBy(
             F.col("l_partkey").alias("game_id"),
             language.alias("language"),
-            F.floor(F.col("l_orderkey") / REVIEW_PAGE_ORDERS).alias("page_no"),
+            F.floor(F.monotonically_increasing_id() / REVIEW_PAGE_ROWS).alias("page_no"),
         )
         .agg(F.collect_list(review).alias("reviews"))
         .select("game_id", "language", "page_no", F.to_json(F.struct("reviews")).alias("body"))
