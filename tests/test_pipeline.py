@@ -160,3 +160,14 @@ def test_load_staged_csv_days(spark):
     assert tables["analytics_genre_comment_ratio"].count() == 10
     # day 10 -> 11 pairs exist, so the movers table is not empty
     assert tables["daily_user_login_cnt_diff_top15"].count() > 0
+
+
+def test_cli_entry(spark, capsys):
+    landing_dir = tempfile.mkdtemp(prefix="run-landing-")
+    wh_dir = tempfile.mkdtemp(prefix="run-wh-")
+    prefix = "cli_" + wh_dir.rsplit("-", 1)[-1].lower() + "_"
+    _land_day(spark, landing_dir, "2024-01-20")
+    pipeline.main(["--landing", landing_dir, "--warehouse", wh_dir, "--as-of", "2024-01-20", "--prefix", prefix])
+    printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert set(printed) == {"game_info", "game_status", "comment_data", *pipeline.ANALYTICS}
+    assert spark.table(prefix + "analytics_genre_comment_ratio").count() == 10
