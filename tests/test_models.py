@@ -250,3 +250,15 @@ def test_hot_repeated_snapshots_bounded_and_exact(spark):
     assert sorted([(r["start_dt"], r["game_id"], r["review_diff"]) for r in rev], key=repr) == _brute_top(
         full, "review_diff", ascending=False
     )
+
+
+def test_latest_rows_of_a_hot_game_are_all_kept(spark):
+    """One game holds most snapshot rows, thousands tied on its latest day:
+    all tied rows come back (results are never capped to escape skew)."""
+    hot = [(1, D(2024, 1, 2), i, 0) for i in range(3000)] + [(1, D(2024, 1, 1), 5, 0)] * 500
+    rest = [(g, D(2024, 1, 2), g, 0) for g in range(2, 50)]
+    status = status_rows(spark, hot + rest)
+    info = info_rows(spark, [gi(g, neg=1, pos=1) for g in range(1, 50)])
+    out = models.analytics_usercnt_price(info, status)
+    counts = {r["game_id"]: r["n"] for r in out.groupBy("game_id").count().withColumnRenamed("count", "n").collect()}
+    assert counts[1] == 3000 and all(counts[g] == 1 for g in range(2, 50))
