@@ -57,3 +57,72 @@ def test_single_pass_genre_models_equal_union(spark, rows):
         a = sorted(models.analytics_genre_playtime(fact, filter_first_label=flt).collect())
         b = sorted(models.analytics_genre_playtime_union(fact, filter_first_label=flt).collect())
         assert a == b
+
+
+status_row = st.tuples(
+    st.integers(1, 4),
+    st.one_of(st.none(), st.integers(1, 3)),
+    st.integers(0, 9),
+    st.integers(0, 9),
+)
+
+
+def _status(spark, rows):
+    return spark.createDataFrame(
+        [(g, None if d is None else D(2024, 1, d), u, r) for g, d, u, r in rows], schemas.GAME_STATUS
+    )
+
+
+@SETTINGS
+@given(st.lists(status_row, max_size=12), st.lists(status_row, max_size=6), st.integers(1, 3))
+def test_slice_replace_pure_and_storage_forms_agree(spark, existing, batch, day):
+    import tempfile
+
+    from playmart.sources import warehouse
+
+    as_of = f"2024-01-0{day}"
+    pure = warehouse.replace_slice(_status(spark, existing), _status(spark, batch), as_of)
+    path = tempfile.mkdtemp(prefix="run-prop-slice-") + "/t"
+    _status(spark, existing).write.partitionBy("create_dt").parquet(path)
+    staged = tempfile.mkdtemp(prefix="run-prop-batch-") + "/b"
+    _status(spark, batch).write.parquet(staged)
+    warehouse.write_slice(spark.read.schema(schemas.GAME_STATUS).parquet(staged), path, as_of)
+    stored = warehouse.read_partitioned(spark, path, schemas.GAME_STATUS)
+    key = lambda r: repr(tuple(r))
+    assert sorted(map(tuple, pure.collect()), key=key) == sorted(map(tuple, stored.collect()), key=key)
+
+
+page = st.tuples(
+    st.integers(1, 4),  # game
+    st.sampled_from(["KOR", "ENG"]),
+    st.one_of(st.just(None), st.lists(st.integers(0, 30), max_size=4)),  # None = not JSON
+)
+
+
+@SETTINGS
+@given(st.lists(page, max_size=10))
+def test_review_pages_bad_page_drops_game(spark, pages):
+    import json
+
+    from playmart.operators import ingest
+
+    rows = []
+    for i, (g, lang, reviews) in enumerate(pages):
+        if reviews is None:
+            body = "<html>"
+        else:
+            body = json.dumps(
+                {"reviews": [{"recommendationid": str(r), "author": {"steamid": "s"}, "review": "t"} for r in reviews]}
+            )
+        rows.append((g, lang, i, body))
+    df = spark.createDataFrame(rows, "game_id BIGINT, language STRING, page_no BIGINT, body STRING")
+    ids = spark.createDataFrame([(g,) for g in range(1, 4)], "game_id BIGINT")  # game 4 is unknown
+    got = sorted((r["game_id"], r["language"], r["comment_id"]) for r in ingest.ingest_comment_data(ids, df).collect())
+    bad = {g for g, _, reviews in pages if reviews is None}
+    expect = sorted(
+        (g, lang, str(r))
+        for g, lang, reviews in pages
+        if reviews is not None and g not in bad and g < 4
+        for r in reviews
+    )
+    assert got == expect
