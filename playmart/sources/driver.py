@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,11 +41,9 @@ def view_name(sf_dir: str, name: str) -> str:
 
 def registered_view(spark: SparkSession, view: str, build) -> DataFrame:
     """The temp view ``view``, created from ``build()`` on first use."""
-    try:
-        return spark.table(view)
-    except AnalysisException:
+    if not spark.catalog.tableExists(view):
         build().createOrReplaceTempView(view)
-        return spark.table(view)
+    return spark.table(view)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
