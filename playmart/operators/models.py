@@ -257,12 +257,31 @@ def _best_k(df: DataFrame, keys: str, order: str, k: int) -> DataFrame:
     return df.withColumn("_k", rank).filter(f"_k <= {int(k)}").drop("_k")
 
 
+def _mover_info(game_info: DataFrame) -> DataFrame:
+    return game_info.select("game_id", "game_name", "genre", "price", "discount_percentage", "thumbnail_path")
+
+
+def _pair_sides(game_status: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Start-day and end-day projections of the snapshots."""
+    a = game_status.selectExpr(
+        "game_id", "create_dt AS start_dt", "date_add(create_dt, 1) AS next_dt",
+        "user_cnt AS a_user_cnt", "review_cnt AS a_review_cnt",
+    )
+    b = game_status.selectExpr(
+        "game_id AS b_game_id", "create_dt AS end_dt", "user_cnt AS b_user_cnt", "review_cnt AS b_review_cnt"
+    )
+    return a, b
+
+
 def next_day_pairs(
     game_status: DataFrame,
     game_info: DataFrame,
     metric: str | None = None,
     descending: bool = True,
     k: int = schemas.DAILY_TOP_K,
+    *,
+    sides: tuple[DataFrame, DataFrame] | None = None,
+    info: DataFrame | None = None,
 ) -> DataFrame:
     """Snapshot pairs (day d, day d+1) of the same game, with game info.
 
@@ -279,20 +298,15 @@ def next_day_pairs(
     at most k * k pairs instead of N * N. The side limits partition by the
     join keys, so the join reuses their shuffles.
     """
-    a = game_status.selectExpr(
-        "game_id", "create_dt AS start_dt", "date_add(create_dt, 1) AS next_dt",
-        "user_cnt AS a_user_cnt", "review_cnt AS a_review_cnt",
-    )
-    b = game_status.selectExpr(
-        "game_id AS b_game_id", "create_dt AS end_dt", "user_cnt AS b_user_cnt", "review_cnt AS b_review_cnt"
-    )
+    a, b = sides or _pair_sides(game_status)
     if metric is not None:
         a_order = f"a_{metric} ASC NULLS FIRST" if descending else f"a_{metric} DESC NULLS LAST"
         b_order = f"b_{metric} DESC NULLS FIRST" if descending else f"b_{metric} ASC NULLS LAST"
         a = _best_k(a, "game_id, next_dt", a_order, k)
         b = _best_k(b, "b_game_id, end_dt", b_order, k)
     pairs = a.join(b, F.expr("game_id = b_game_id AND next_dt = end_dt"), "inner")
-    info = game_info.select("game_id", "game_name", "genre", "price", "discount_percentage", "thumbnail_path")
+    if info is None:
+        info = _mover_info(game_info)
     return pairs.join(info, "game_id", "inner").selectExpr(
         "game_id",
         "game_name",
@@ -341,8 +355,9 @@ def daily_user_login_cnt_diff_top15(game_status: DataFrame, game_info: DataFrame
     """Per start day, the k largest player-count drops (DECREASE) and rises
     (INCREASE) to the next day, ordered by (gubun, start_dt, rn)."""
     cols = _mover_columns("user_diff")
-    dec_pairs = next_day_pairs(game_status, game_info, "user_cnt", descending=False, k=k)
-    inc_pairs = next_day_pairs(game_status, game_info, "user_cnt", descending=True, k=k)
+    shared = {"sides": _pair_sides(game_status), "info": _mover_info(game_info)}
+    dec_pairs = next_day_pairs(game_status, game_info, "user_cnt", descending=False, k=k, **shared)
+    inc_pairs = next_day_pairs(game_status, game_info, "user_cnt", descending=True, k=k, **shared)
     decrease = top_k_per_day(dec_pairs, "user_diff", True, k).select(*cols, F.lit("DECREASE").alias("gubun"))
     increase = top_k_per_day(inc_pairs, "user_diff", False, k).select(*cols, F.lit("INCREASE").alias("gubun"))
     return _in_final_order(decrease.unionByName(increase), "gubun", "start_dt", "rn")
