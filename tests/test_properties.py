@@ -126,3 +126,55 @@ def test_review_pages_bad_page_drops_game(spark, pages):
         for r in reviews
     )
     assert got == expect
+
+
+price_doc = st.fixed_dictionaries(
+    {},
+    optional={
+        "is_free": st.booleans(),
+        "price_overview": st.fixed_dictionaries(
+            {},
+            optional={
+                "final_formatted": st.one_of(
+                    st.integers(0, 2_000_000).map(lambda v: f"₩ {v:,}"),
+                    st.integers(0, 99_999).map(lambda v: f"₩{v}"),
+                ),
+                "discount_percent": st.integers(0, 100),
+            },
+        ),
+    },
+)
+
+
+def expected_price(doc):
+    """The price rules, stated plainly: free -> (0, 0); a missing free flag,
+    price text or discount -> (-1, 0); else the number after the first
+    space without thousands separators (NULL if there is none), and the
+    discount."""
+    if doc.get("is_free") is True:
+        return 0, 0
+    po = doc.get("price_overview") or {}
+    if "is_free" not in doc or "final_formatted" not in po or "discount_percent" not in po:
+        return -1, 0
+    parts = po["final_formatted"].split(" ")
+    price = int(parts[1].replace(",", "")) if len(parts) > 1 else None
+    return price, po["discount_percent"]
+
+
+@SETTINGS
+@given(st.lists(price_doc, min_size=1, max_size=15))
+def test_price_rules(spark, docs):
+    import json
+
+    from playmart.operators import ingest
+
+    rows = []
+    for gid, d in enumerate(docs):
+        data = {
+            "type": "game", "name": "g", "release_date": {"coming_soon": False, "date": ""},
+            "capsule_image": "x", "genres": [], **d,
+        }
+        rows.append((gid, json.dumps({str(gid): {"success": True, "data": data}}, ensure_ascii=False)))
+    out = ingest.parse_app_details(spark.createDataFrame(rows, "game_id BIGINT, body STRING")).collect()
+    got = {r["game_id"]: (r["price"], r["discount_percentage"]) for r in out}
+    assert got == {gid: expected_price(d) for gid, d in enumerate(docs)}
