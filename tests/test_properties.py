@@ -178,3 +178,34 @@ def test_price_rules(spark, docs):
     out = ingest.parse_app_details(spark.createDataFrame(rows, "game_id BIGINT, body STRING")).collect()
     got = {r["game_id"]: (r["price"], r["discount_percentage"]) for r in out}
     assert got == {gid: expected_price(d) for gid, d in enumerate(docs)}
+
+
+date_text = st.one_of(
+    st.tuples(st.integers(1990, 2030), st.integers(1, 12), st.integers(1, 28), st.booleans()).map(
+        lambda t: f"{t[0]}년 {t[1]:02d}월 {t[2]:02d}일" if t[3] else f"{t[0]}년 {t[1]}월 {t[2]}일"
+    ),
+    st.tuples(st.integers(1990, 2030), st.integers(1, 12)).map(lambda t: f"{t[0]}년 {t[1]}월"),
+    st.sampled_from(["", "곧 출시", "2023년 13월", "2023", "Q3 2024"]),
+)
+
+
+def expected_month(text):
+    """Full date first, then year-month; anything else has no month."""
+    import datetime
+
+    for fmt in ("%Y년 %m월 %d일", "%Y년 %m월"):
+        try:
+            return datetime.datetime.strptime(text, fmt).strftime("%Y-%m")
+        except ValueError:
+            pass
+    return None
+
+
+@SETTINGS
+@given(st.lists(date_text, min_size=1, max_size=15))
+def test_release_month_rules(spark, texts):
+    from playmart.functions import scalars
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
+    got = {r["i"]: r["m"] for r in df.select("i", scalars.parse_release_month("t").alias("m")).collect()}
+    assert got == {i: expected_month(t) for i, t in enumerate(texts)}
