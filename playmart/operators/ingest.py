@@ -214,3 +214,77 @@ def ingest_comment_data(game_ids: DataFrame, review_pages: DataFrame) -> DataFra
         scalars.clean_review_text("r.review").alias("comment_content"),
         F.col("language"),
     )
+
+
+# --------------------------------------------------------------------------
+# Ingest report: counts of the documents each rule dropped or defaulted
+# (the fields that became NULL or 0 instead of failing the batch)
+# --------------------------------------------------------------------------
+
+
+def _metric_rows(source: str, counts: DataFrame, metrics: list[str]) -> DataFrame:
+    rows = ", ".join(f"struct('{source}' AS source, '{m}' AS metric, CAST({m} AS BIGINT) AS value)" for m in metrics)
+    return counts.selectExpr(f"inline(array({rows}))")
+
+
+def details_report(details_docs: DataFrame) -> DataFrame:
+    """App-details documents: total, not JSON, no entry under their own id,
+    rejected (not a successful game), coming soon (kept with id only),
+    dropped for a missing genres key, unparsable price, unparsable date."""
+    entry = F.from_json("body", schemas.APP_DETAILS_BODY)[F.col("game_id").cast("string")]
+    flags = details_docs.select(is_json(F.col("body")).alias("json"), entry.alias("e")).selectExpr(
+        "json",
+        "e IS NOT NULL AS has_entry",
+        "e IS NOT NULL AND coalesce(e.success, false) AND e.data.type = 'game' AS accepted",
+        "coalesce(e.data.release_date.coming_soon, false) AS coming_soon",
+        "e.data AS d",
+    )
+    kept = "accepted AND (coming_soon OR d.genres IS NOT NULL)"
+    priced = (
+        "NOT coalesce(d.is_free, false) AND d.is_free IS NOT NULL AND d.price_overview.final_formatted IS NOT NULL "
+        "AND d.price_overview.discount_percent IS NOT NULL"
+    )
+    counts = flags.selectExpr(
+        "count(1) AS documents",
+        "count_if(NOT json) AS not_json",
+        "count_if(json AND NOT has_entry) AS no_entry",
+        "count_if(has_entry AND NOT accepted) AS rejected",
+        "count_if(accepted AND coming_soon) AS coming_soon",
+        "count_if(accepted AND NOT coming_soon AND d.genres IS NULL) AS no_genres",
+        f"count_if({kept} AND NOT coming_soon AND {priced} "
+        f"AND {scalars.parse_price_sql('d.price_overview.final_formatted')} IS NULL) AS price_unparsed",
+        f"count_if({kept} AND NOT coming_soon AND coalesce(d.release_date.date, '') <> '' "
+        f"AND {scalars.parse_release_month_sql('d.release_date.date')} IS NULL) AS date_unparsed",
+    )
+    metrics = ["documents", "not_json", "no_entry", "rejected", "coming_soon", "no_genres", "price_unparsed", "date_unparsed"]
+    return _metric_rows("app_details", counts, metrics)
+
+
+def player_counts_report(count_docs: DataFrame) -> DataFrame:
+    """Player-count documents: total, not JSON, JSON without a count (both
+    give 0 players)."""
+    p = parse_struct(F.col("body"), schemas.PLAYER_COUNT_BODY)
+    counts = count_docs.select(is_valid(p).alias("ok"), p["response"]["player_count"].alias("n")).selectExpr(
+        "count(1) AS documents", "count_if(NOT ok) AS not_json", "count_if(ok AND n IS NULL) AS no_count"
+    )
+    return _metric_rows("player_counts", counts, ["documents", "not_json", "no_count"])
+
+
+def review_pages_report(review_pages: DataFrame) -> DataFrame:
+    """Review pages: games with pages, pages that are not JSON, and games
+    dropped for such a page (a partial count per game before the shuffle)."""
+    flags = review_pages.select("game_id", is_json(F.col("body")).alias("json"))
+    per_game = flags.groupBy("game_id").agg(F.expr("count_if(NOT json) AS bad"))
+    counts = per_game.selectExpr(
+        "count(1) AS games", "coalesce(sum(bad), 0) AS not_json", "count_if(bad > 0) AS games_dropped"
+    )
+    return _metric_rows("review_pages", counts, ["games", "not_json", "games_dropped"])
+
+
+def ingest_report(details_docs: DataFrame, count_docs: DataFrame, review_pages: DataFrame) -> DataFrame:
+    """(source, metric, value) rows for the three document sources."""
+    return (
+        details_report(details_docs)
+        .unionByName(player_counts_report(count_docs))
+        .unionByName(review_pages_report(review_pages))
+    )

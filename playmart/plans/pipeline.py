@@ -38,6 +38,7 @@ class RunResult:
     as_of: str
     tables: dict[str, str] = field(default_factory=dict)
     checks: dict[str, int] = field(default_factory=dict)
+    ingest_report: dict[str, int] = field(default_factory=dict)
 
 
 def _date_text(as_of) -> str:
@@ -138,6 +139,9 @@ def run_pipeline(spark: SparkSession, landing_dir: str, warehouse_dir: str, as_o
     result.tables["game_info"] = ingest_catalogue(wh, landed, run_id)
     result.tables["game_status"] = ingest_status(wh, landed, as_of)
     result.tables["comment_data"] = ingest_reviews(wh, landed, run_id)
+    # documents dropped or defaulted by the ingest rules (a few counts)
+    report = ingest.ingest_report(landed["app_details"], landed["player_counts"], landed["review_pages"])
+    result.ingest_report = {f"{r['source']}.{r['metric']}": r["value"] for r in report.collect()}
     return build_models(wh, result, run_id)
 
 

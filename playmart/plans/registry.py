@@ -160,6 +160,10 @@ QUERIES: dict[str, Query] = {
     "load_full_refresh": _load_full_refresh,
     # S8, S9
     "csv_round_trip": _csv_round_trip,
+    # Q12: counts of documents each ingest rule dropped or defaulted
+    "ingest_report": lambda spark, sf: ingest.ingest_report(
+        _landed(spark, sf, "app_details"), _landed(spark, sf, "player_counts"), _landed(spark, sf, "review_pages")
+    ),
 }
 
 ORACLE: dict[str, str] = {
@@ -190,4 +194,5 @@ ORACLE: dict[str, str] = {
     "status_slice_replace": oracle.status_slice_replace_sql(AS_OF),
     "load_full_refresh": oracle.PARSE_GAME_DETAILS_SQL,
     "csv_round_trip": oracle.src_sql("game_info"),
+    "ingest_report": oracle.INGEST_REPORT_SQL,
 }

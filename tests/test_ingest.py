@@ -167,3 +167,43 @@ def test_reviews_both_languages_bag_and_bad_page(spark):
     ]
     r = [x for x in rows if x["comment_id"] == "r3"][0]
     assert (r["game_id"], r["user_id"], r["total_playtime"], r["last_two_weeks_playtime"]) == (3, "sr3", 100, 7)
+
+
+def test_ingest_report_counts_rule_outcomes(spark):
+    docs = details(
+        spark,
+        [
+            details_doc(1),
+            details_doc(2, type="dlc"),
+            (3, "<html>"),
+            (4, json.dumps({"999": {"success": True, "data": {"type": "game"}}})),
+            details_doc(5, release_date={"coming_soon": True, "date": ""}),
+            details_doc(6, drop=["genres"]),
+            details_doc(7, price_overview={"final_formatted": "₩12,000", "discount_percent": 5}),
+            details_doc(8, release_date={"coming_soon": False, "date": "곧 출시"}),
+        ],
+    )
+    counts = spark.createDataFrame(
+        [(1, '{"response": {"player_count": 5}}'), (2, '{"response": {}}'), (3, "oops")], "game_id BIGINT, body STRING"
+    )
+    pages = spark.createDataFrame(
+        [(1, "KOR", 0, review_page([("r1", "a")])), (2, "KOR", 0, "<html>"), (2, "ENG", 0, review_page([]))],
+        "game_id BIGINT, language STRING, page_no BIGINT, body STRING",
+    )
+    got = {(r["source"], r["metric"]): r["value"] for r in ingest.ingest_report(docs, counts, pages).collect()}
+    assert got == {
+        ("app_details", "documents"): 8,
+        ("app_details", "not_json"): 1,
+        ("app_details", "no_entry"): 1,
+        ("app_details", "rejected"): 1,
+        ("app_details", "coming_soon"): 1,
+        ("app_details", "no_genres"): 1,
+        ("app_details", "price_unparsed"): 1,
+        ("app_details", "date_unparsed"): 1,
+        ("player_counts", "documents"): 3,
+        ("player_counts", "not_json"): 1,
+        ("player_counts", "no_count"): 1,
+        ("review_pages", "games"): 2,
+        ("review_pages", "not_json"): 1,
+        ("review_pages", "games_dropped"): 1,
+    }

@@ -28,6 +28,7 @@ def test_run_pipeline_two_days_and_rerun(spark):
 
     r1 = pipeline.run_pipeline(spark, landing_dir, wh_dir, "2024-01-14", prefix=prefix)
     assert all(v == 0 for v in r1.checks.values())
+    assert r1.ingest_report["app_details.documents"] > 0 and r1.ingest_report["review_pages.not_json"] == 0
     r2 = pipeline.run_pipeline(spark, landing_dir, wh_dir, "2024-01-15", prefix=prefix)
     tables = pipeline.latest_run_tables(spark, wh_dir, prefix)
     status1 = sorted(map(tuple, tables["game_status"].collect()))
