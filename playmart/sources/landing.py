@@ -159,12 +159,24 @@ def review_page_docs(lineitem: DataFrame) -> DataFrame:
     )
 
 
+# Entries on one popular-games list (the list of the most active apps).
+POPULAR_TOP = 100
+
+
 def popular_docs(events: DataFrame) -> DataFrame:
-    """One popular-games document per event: {"<id>": {"appid": id}} with
-    id = 17 * user id, so some ids are new to the catalogue."""
-    appid = F.col("user_id") * 17
-    info = F.struct(appid.alias("appid"), F.col("event_type").alias("name"))
-    return events.select(F.to_json(F.create_map(appid.cast("string"), info)).alias("body"))
+    """One popular-games document per day: the POPULAR_TOP most active apps
+    of that day (most events, then lowest id) as {"<id>": {"appid": id,
+    "name": ...}}, with id = 17 * user id, so some ids are new to the
+    catalogue. The per-day top list is a row_number() <= POPULAR_TOP filter
+    (partial and final group limits), and a document collects at most
+    POPULAR_TOP entries."""
+    per_app = events.groupBy(F.expr("CAST(ts AS DATE) AS day"), F.col("user_id")).agg(F.expr("count(1) AS n"))
+    rank = F.expr("row_number() OVER (PARTITION BY day ORDER BY n DESC, user_id ASC)")
+    top = per_app.withColumn("rk", rank).filter(f"rk <= {POPULAR_TOP}")
+    entry = F.expr("struct(CAST(user_id * 17 AS STRING) AS key, named_struct('appid', user_id * 17, 'name', concat('app ', CAST(user_id AS STRING))) AS value)")
+    return top.groupBy("day").agg(F.collect_list(entry).alias("entries")).select(
+        F.to_json(F.map_from_entries("entries")).alias("body")
+    )
 
 
 # Which builder makes each landed input, from which driver table.
