@@ -172,3 +172,34 @@ def test_cli_entry(spark, capsys):
     printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
     assert set(printed) == {"game_info", "game_status", "comment_data", *pipeline.ANALYTICS}
     assert spark.table(prefix + "analytics_genre_comment_ratio").count() == 10
+
+
+def test_streaming_status_ingest(spark):
+    """Landed player counts of two days, loaded by the stream into day
+    partitions; equal to the batch ingest of each day."""
+    from playmart.operators import ingest
+    from playmart.streaming import status_ingest
+
+    landing_dir = tempfile.mkdtemp(prefix="run-landing-")
+    wh_dir = tempfile.mkdtemp(prefix="run-wh-")
+    prefix = "st_" + wh_dir.rsplit("-", 1)[-1].lower() + "_"
+    wh = pipeline.Warehouse(spark, wh_dir, prefix)
+    docs = landing.landed_from_driver(spark, SF_SMALL)
+    wh.replace("game_info", ingest.ingest_game_info(
+        ingest.game_candidates(spark.createDataFrame([], "game_id BIGINT"), docs["popular"]),
+        docs["app_details"], docs["review_summary"]), "v1")
+    for day in ("2024-01-03", "2024-01-04"):
+        warehouse.land(docs["player_counts"], landing_dir, "player_counts", day)
+    ckpt = tempfile.mkdtemp(prefix="run-ckpt-")
+    q = status_ingest.start_status_ingest(spark, landing_dir, wh_dir, prefix=prefix, checkpoint=ckpt)
+    q.awaitTermination(180)
+    got = sorted(map(tuple, wh.status().collect()), key=repr)
+    totals = ingest.game_review_totals(wh.table("game_info"))
+    expect = []
+    for day in ("2024-01-03", "2024-01-04"):
+        expect += [tuple(r) for r in ingest.ingest_game_status(totals, docs["player_counts"], day).collect()]
+    assert got == sorted(expect, key=repr)
+    # nothing new landed: another run leaves the table as it is
+    q = status_ingest.start_status_ingest(spark, landing_dir, wh_dir, prefix=prefix, checkpoint=ckpt)
+    q.awaitTermination(180)
+    assert sorted(map(tuple, wh.status().collect()), key=repr) == got
