@@ -45,10 +45,10 @@ _DQ = {
 
 
 def _dq_query(table: str, column: str, kind: str) -> Query:
+    """Failing rows of one column test over one adapter view."""
+    test = quality.ColumnTest(f"{kind}_{table}_{column}", kind, table, column)
     reader = getattr(driver, table)
-    if kind == "unique":
-        return lambda spark, sf: quality.unique_failures(reader(spark, sf), column)
-    return lambda spark, sf: quality.not_null_failures(reader(spark, sf), column)
+    return lambda spark, sf: quality.failures(test, {table: reader(spark, sf)})
 
 
 def _dq_oracle(table: str, column: str, kind: str) -> str:
