@@ -124,6 +124,10 @@ QUERIES: dict[str, Query] = {
     "analytics_usercnt_price": lambda spark, sf: models.analytics_usercnt_price(
         driver.game_info(spark, sf), driver.game_status(spark, sf)
     ),
+    # Every snapshot row of each game's latest day (ties kept)
+    "latest_status_rows": lambda spark, sf: models.latest_status(driver.game_status(spark, sf)),
+    # All next-day pairs with both differences
+    "next_day_pairs": lambda spark, sf: models.next_day_pairs(driver.game_status(spark, sf), driver.game_info(spark, sf)),
     # M9, M10
     "daily_user_login_cnt_diff_top15": lambda spark, sf: models.daily_user_login_cnt_diff_top15(
         driver.game_status(spark, sf), driver.game_info(spark, sf)
@@ -178,6 +182,8 @@ ORACLE: dict[str, str] = {
     "analytics_genre_playtime_union": oracle.genre_playtime_sql(),
     "analytics_release_date": oracle.RELEASE_DATE_SQL,
     "analytics_usercnt_price": oracle.USERCNT_PRICE_SQL,
+    "latest_status_rows": oracle.LATEST_STATUS_SQL,
+    "next_day_pairs": oracle.with_views("SELECT * FROM pairs", "pairs"),
     "daily_user_login_cnt_diff_top15": oracle.LOGIN_DIFF_SQL,
     "daily_user_review_cnt_diff_top15": oracle.REVIEW_DIFF_SQL,
     **{name: _dq_oracle(*spec) for name, spec in _DQ.items()},
