@@ -152,6 +152,10 @@ QUERIES: dict[str, Query] = {
     ),
     # J6, U5, F10, K5
     "game_candidates": _candidates,
+    # Ids listed on the popular-games documents
+    "popular_ids": lambda spark, sf: ingest.popular_ids(_landed(spark, sf, "popular")),
+    # Review summaries
+    "review_summaries": lambda spark, sf: ingest.parse_review_summaries(_landed(spark, sf, "review_summary")),
     # I1 (S1, S2, F1-F4, F12, F13, X9, X11-X15, K1, K2, K4)
     "parse_game_details": _parse_game_details,
     # I2 (S3, J7, F11, P9)
@@ -194,6 +198,11 @@ ORACLE: dict[str, str] = {
     "game_review_totals": oracle.GAME_REVIEW_TOTALS_SQL,
     "clean_review_text": oracle.CLEAN_REVIEW_TEXT_SQL,
     "game_candidates": oracle.GAME_CANDIDATES_SQL,
+    "popular_ids": oracle.POPULAR_IDS_SQL,
+    "review_summaries": oracle.with_views(
+        "SELECT game_id AS requested_id, game_id, pos AS positive_cnt, neg AS negative_cnt FROM review_counts",
+        "review_counts",
+    ),
     "parse_game_details": oracle.PARSE_GAME_DETAILS_SQL,
     "parse_player_counts": oracle.parse_player_counts_sql(AS_OF),
     "parse_reviews": oracle.PARSE_REVIEWS_SQL,
