@@ -154,6 +154,8 @@ QUERIES: dict[str, Query] = {
     "game_candidates": _candidates,
     # Ids listed on the popular-games documents
     "popular_ids": lambda spark, sf: ingest.popular_ids(_landed(spark, sf, "popular")),
+    # App details alone
+    "app_details": lambda spark, sf: ingest.parse_app_details(_landed(spark, sf, "app_details")),
     # Review summaries
     "review_summaries": lambda spark, sf: ingest.parse_review_summaries(_landed(spark, sf, "review_summary")),
     # I1 (S1, S2, F1-F4, F12, F13, X9, X11-X15, K1, K2, K4)
@@ -199,6 +201,7 @@ ORACLE: dict[str, str] = {
     "clean_review_text": oracle.CLEAN_REVIEW_TEXT_SQL,
     "game_candidates": oracle.GAME_CANDIDATES_SQL,
     "popular_ids": oracle.POPULAR_IDS_SQL,
+    "app_details": oracle.APP_DETAILS_SQL,
     "review_summaries": oracle.with_views(
         "SELECT game_id AS requested_id, game_id, pos AS positive_cnt, neg AS negative_cnt FROM review_counts",
         "review_counts",
