@@ -156,6 +156,8 @@ QUERIES: dict[str, Query] = {
     "popular_ids": lambda spark, sf: ingest.popular_ids(_landed(spark, sf, "popular")),
     # App details alone
     "app_details": lambda spark, sf: ingest.parse_app_details(_landed(spark, sf, "app_details")),
+    # Current-player documents, a missing count read as 0
+    "player_counts": lambda spark, sf: ingest.parse_player_counts(_landed(spark, sf, "player_counts")),
     # Review summaries
     "review_summaries": lambda spark, sf: ingest.parse_review_summaries(_landed(spark, sf, "review_summary")),
     # I1 (S1, S2, F1-F4, F12, F13, X9, X11-X15, K1, K2, K4)
@@ -202,6 +204,8 @@ ORACLE: dict[str, str] = {
     "game_candidates": oracle.GAME_CANDIDATES_SQL,
     "popular_ids": oracle.POPULAR_IDS_SQL,
     "app_details": oracle.APP_DETAILS_SQL,
+    "player_counts": "WITH player_counts AS (" + oracle.PLAYER_COUNTS_VIEW + "\n)\n"
+    "SELECT game_id, coalesce(player_count, CAST(0 AS BIGINT)) AS player_count FROM player_counts",
     "review_summaries": oracle.with_views(
         "SELECT game_id AS requested_id, game_id, pos AS positive_cnt, neg AS negative_cnt FROM review_counts",
         "review_counts",
