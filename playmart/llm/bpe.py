@@ -3,11 +3,10 @@
 A pair of bytes that occurs inside no token of the vocabulary can never be
 merged across, so a cut between such bytes is certain. Two uses:
 
-1. A text is cut before white space that follows a character which is not
-   white space. The pairs involved are checked against the vocabulary; the
-   pre-tokenizer also always ends a piece there, so each fragment encodes on
-   its own as it does in the text. Fragments are looked up in a bounded
-   worker cache.
+1. A text is cut at the forced pairs before white space that follows a
+   character which is not white space. The pre-tokenizer also always ends a
+   piece there, so each fragment encodes on its own as it does in the text.
+   Fragments are looked up in a bounded worker cache.
 2. A fragment missing from the cache is split by the library's
    pre-tokenizer, and every pre-token is cut again at all of its forced byte
    pairs; each part goes through the vocabulary's BPE model alone.
@@ -34,7 +33,7 @@ from playmart.llm import common, vocab
 # ids: little-endian unsigned 32-bit integers, one after the other
 SCHEMA = "doc_id long, n_tokens long, ids binary, decoded string"
 SPACE = " \t\n\r\x0b\x0c"
-OTHER_SPACE = re.compile(r"[\x85\xa0  -     　]")
+OTHER_SPACE = re.compile(r"[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def inner_pairs(token_bytes: list[bytes]) -> bytearray:
@@ -54,42 +53,54 @@ class Codec:
         if self.words.suffix:
             raise ValueError("forced boundaries need a vocabulary without a word-end suffix")
         self.inner = inner_pairs(self.words.token_bytes)
-        # white space that no token holds behind another character
-        ends = [c for c in SPACE if not any(self.inner[x << 8 | ord(c)] for x in range(256) if chr(x) not in SPACE)]
-        cls = re.escape("".join(ends)) if ends else ""
-        self.fragments = re.compile(f"[{cls}]*[^{cls}]+|[{cls}]+").findall if len(ends) == len(SPACE) else None
-        self.parts: dict[bytes, list[int]] = {}
+        # pairs before white space that do occur inside a token: no cut there
+        self.unforced = [
+            bytes((x, ord(c))) for c in SPACE for x in range(256) if chr(x) not in SPACE and self.inner[x << 8 | ord(c)]
+        ]
+        self.fragments = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
+        self.pieces = vocab.Cache()
 
     def cut(self, piece: bytes) -> list[bytes]:
         """The parts of a pre-token between its forced boundaries."""
         at = [i for i in range(1, len(piece)) if not self.inner[piece[i - 1] << 8 | piece[i]]]
         return [piece[a:b] for a, b in zip([0, *at], [*at, len(piece)])]
 
+    def piece(self, token: str) -> bytes:
+        """Ids of a pre-token, part by part."""
+        ids = array("I")
+        for part in self.cut(token.encode("utf-8", "replace")):
+            ids.extend(self.words.merge(part))
+        return self.pieces.put(token, ids.tobytes())
+
     def fragment(self, text: str) -> bytes:
-        out = array("I")
-        for token in self.words.pre_tokens(text):
-            for part in self.cut(token.encode("utf-8", "replace")):
-                ids = self.parts.get(part)
-                if ids is None:
-                    if len(self.parts) >= vocab.CACHE_ENTRIES:
-                        self.parts.clear()
-                    ids = self.parts[part] = self.words.merge(part)
-                out.extend(ids)
-        return out.tobytes()
+        return b"".join([self.pieces.get(t) or self.piece(t) for t in self.words.pre_tokens(text)])
+
+    def split(self, text: str) -> list[str]:
+        """Fragments between certain cuts before white space."""
+        if OTHER_SPACE.search(text):
+            return [text]
+        found = self.fragments(text)
+        data = text.encode("utf-8", "replace") if self.unforced else b""
+        if any(pair in data for pair in self.unforced):
+            joined: list[str] = []
+            for f in found:
+                if joined and (joined[-1][-1] + f[0]).encode("utf-8", "replace")[-2:] in self.unforced:
+                    joined[-1] += f
+                else:
+                    joined.append(f)
+            return joined
+        return found
 
     def encode(self, text: str) -> bytes:
         if self.words.has_special(text):
             return array("I", self.words.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        if self.fragments is None or OTHER_SPACE.search(text):
-            return self.fragment(text)
-        pieces = self.fragments(text)
-        found = list(map(self.words.cache.get, pieces))
+        pieces, cache = self.split(text), self.words.cache
+        found = list(map(cache.new.get, pieces))
         if None in found:
             for i, ids in enumerate(found):
                 if ids is None:
-                    piece = pieces[i]
-                    ids = self.words.cache.get(piece)
-                    found[i] = self.words.remember(piece, self.fragment(piece)) if ids is None else ids
+                    ids = cache.get(pieces[i])
+                    found[i] = cache.put(pieces[i], self.fragment(pieces[i])) if ids is None else ids
         return b"".join(found)
 
     def decode(self, ids: bytes) -> str:

@@ -16,7 +16,6 @@ rows; extra columns are ignored; an empty table gives an empty table.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,33 +29,21 @@ SAMPLE_CHARS = 4_000
 TABLE_ENTRIES = 50_000
 SCHEMA = "doc_id long, n_bytes long, n_tokens long"
 
-# Fixed value: the split that the byte-level vocabulary applies before merging.
-PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Characters whose classes are the same in every Unicode version of the last
-# decade; a text with others is split by the tokenizer library itself.
-SETTLED = re.compile(r"[^\x00-ԯ‐-⁤₠-₿、-〿]")
-
 
 class Counting:
     """Splits texts into pre-tokens in this process."""
 
     def __init__(self, path: str):
-        import regex
-
         self.words = vocab.Vocabulary(path)
-        self.findall = regex.compile(PRE_TOKEN).findall
-
-    def pre_tokens(self, text: str) -> list[str]:
-        return self.words.pre_tokens(text) if SETTLED.search(text) else self.findall(text)
 
     def length(self, token: str) -> int:
         n = self.words.cache.get(token)
-        return n or self.words.remember(token, len(self.words.merge(token.encode("utf-8", "replace"))))
+        return n or self.words.cache.put(token, len(self.words.merge(token.encode("utf-8", "replace"))))
 
     def count(self, text: str, table: dict[str, int]) -> int:
         if self.words.has_special(text):
             return len(self.words.tokenizer.encode(text, add_special_tokens=False).ids)
-        tokens = self.pre_tokens(text)
+        tokens = self.words.pre_tokens(text)
         known = sum(filter(None, map(table.get, tokens)))
         return known + sum(map(self.length, [t for t in tokens if t not in table]))
 
@@ -73,7 +60,7 @@ def frequent_lengths(docs: DataFrame, path: str) -> dict[str, int]:
     counting = Counting(path)
     seen: Counter[str] = Counter()
     for row in sample:
-        seen.update(counting.pre_tokens(row.t))
+        seen.update(counting.words.pre_tokens(row.t))
     return {t: counting.length(t) for t, _ in seen.most_common(TABLE_ENTRIES)}
 
 
