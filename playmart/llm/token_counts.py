@@ -6,8 +6,8 @@ two is a bounded cache in each Python worker, filled by the vocabulary's own
 BPE model. Pre-tokens are never shuffled; a document is counted where it is
 read.
 
-The frequent pre-tokens come from a bounded sample (``SAMPLE_DOCS`` texts,
-the least by hash, ``SAMPLE_CHARS`` characters of each). The sample decides
+The frequent pre-tokens come from a bounded sample (about ``SAMPLE_DOCS``
+texts at random, ``SAMPLE_CHARS`` characters of each). The sample decides
 only which lookups are fast; every text is counted whole and exactly.
 
 Null text counts as empty: 0 bytes, 0 tokens. Repeated rows give repeated
@@ -50,13 +50,8 @@ class Counting:
 
 def frequent_lengths(docs: DataFrame, path: str) -> dict[str, int]:
     """Token lengths of the most frequent pre-tokens of a bounded sample."""
-    sample = (
-        docs.where("text is not null")
-        .select(F.substring("text", 1, SAMPLE_CHARS).alias("t"), F.xxhash64("text").alias("h"))
-        .orderBy("h")
-        .limit(SAMPLE_DOCS)
-        .collect()
-    )
+    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+    sample = docs.select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).where("t is not null").sample(share, seed=7).collect()
     counting = Counting(path)
     seen: Counter[str] = Counter()
     for row in sample:
