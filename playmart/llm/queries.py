@@ -11,13 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.llm import bpe, token_counts
-from playmart.llm.common import table
+from playmart.llm import bpe, line_dedup, lsh, ngram_join, packing, quality, token_counts, toxicity, url_filter, warc
+from playmart.llm.common import materialize, table
+from playmart.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Token limit of one training sequence for ``over_limit`` in op9.
 OVER_LIMIT = 1024
+# Id that ends every document in the packed sequences of op3.
+PACK_END_ID = 2
 
 
 def vocabulary(name: str) -> str:
@@ -26,6 +29,32 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_multiprobe_lsh(spark: SparkSession, sf: str) -> DataFrame:
+    return lsh.search(table(spark, sf, "embeddings"), k=20, every=20)
+
+
+def op2_compression_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
+def op3_cost_balanced_packing(spark: SparkSession, sf: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"), PACK_END_ID)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op4_url_automaton(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf, "pages"))
+
+
+def op5_robust_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judge(table(spark, sf, "documents")).drop("d2")
+
+
+def op6_partenum_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf, "documents"), size=3, num=90, den=100)
+
+
 def op7_forced_boundary_bpe(spark: SparkSession, sf: str) -> DataFrame:
     coded = bpe.encode_decode(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
     return coded.select(
@@ -36,14 +65,79 @@ def op7_forced_boundary_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.removed_lines(table(spark, sf, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > OVER_LIMIT)
 
 
+def op10_warc_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf, "pages"), path, revisit_from=0)
+    # the records without payloads are small; they are read several times
+    records = materialize(warc.read_archives(spark, path, payload=False), "warc-records")
+    rows = warc.assemble(records).select(
+        "capture_id",
+        F.expr("try_cast(element_at(metadata[0].fields, 'page-id') AS BIGINT)").alias("page_id"),
+        "capture.record_type",
+        F.col("capture.refers_to").alias("head_id"),
+        "capture.payload_digest",
+        "capture.payload_bytes",
+    )
+    heads = rows.where("record_type = 'response'").select(
+        F.col("capture_id").alias("head_id"),
+        F.col("page_id").alias("refers_to"),
+        F.col("payload_bytes").alias("head_bytes"),
+    )
+    return rows.join(heads, "head_id", "left").select(
+        "page_id",
+        F.coalesce("payload_bytes", "head_bytes").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_multiprobe_lsh": op1_multiprobe_lsh,
+    "op2_compression_toxicity": op2_compression_toxicity,
+    "op3_cost_balanced_packing": op3_cost_balanced_packing,
+    "op4_url_automaton": op4_url_automaton,
+    "op5_robust_outliers": op5_robust_outliers,
+    "op6_partenum_join": op6_partenum_join,
     "op7_forced_boundary_bpe": op7_forced_boundary_bpe,
+    "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_token_counts": op9_token_counts,
+    "op10_warc_transactions": op10_warc_transactions,
 }
 
-ORACLE: dict[str, str] = {}
+
+def _op4_sql() -> str:
+    ranked = sorted(url_filter.SITE_RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [
+        f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for _, h, p in ranked
+    ]
+    rule = " ".join(f"WHEN {fit} THEN '{h}{p}'" for fit, (_, h, p) in zip(fits, ranked))
+    verdict = " ".join(f"WHEN {fit} THEN '{v}'" for fit, (v, _, _) in zip(fits, ranked))
+    spam = " OR ".join(
+        f"contains({'host || path' if g.startswith('**') else 'host'}, '{g.strip('*').removesuffix('*/')}')"
+        + (" AND contains(path, '/')" if g.endswith("/**") and not g.startswith("**") else "")
+        for g in url_filter.BLOCK_GLOBS
+    )
+    return f"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest
+), parts AS (
+  SELECT page_id, path, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM split
+)
+SELECT page_id, host, path, CASE {rule} END AS rule,
+  CASE {verdict} WHEN {spam} THEN 'block' ELSE 'allow' END AS verdict
+FROM parts"""
+
+
+ORACLE: dict[str, str] = {"op4_url_automaton": _op4_sql()}

@@ -1,0 +1,221 @@
+"""Components, exact links, n-gram join and line dedup against brute force."""
+
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from playmart.llm import components, line_dedup, ngram_join, queries, setlinks
+from playmart.llm.common import table
+
+from .conftest import SF
+
+
+def roots_of(nodes, edges):
+    up = {n: n for n in nodes}
+
+    def find(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_components(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
+    edges += [(1000 + i, 1001 + i) for i in range(70)] + [(5000, 5001 + i) for i in range(200)] + [(7, 7)]
+    frame = spark.createDataFrame([*edges, (None, 3), *edges[:50]], "a long, b long")
+    expected = roots_of({x for e in edges for x in e}, edges)
+    got = {r.node: r.root for r in components.components(frame).collect()}
+    assert got == {n: r for n, r in expected.items() if n != r}
+    assert components.components(frame.limit(0)).count() == 0
+
+
+def similar(a, b, num, den):
+    return bool(a or b) and den * len(a & b) >= num * len(a | b)
+
+
+@pytest.mark.parametrize("num,den,edits", [(90, 100, 6), (80, 100, 14), (50, 100, 40)])
+def test_links_in_one_component(spark, num, den, edits):
+    """Near copies of one base: most pairs miss the threshold narrowly."""
+    rng = random.Random(num)
+    base = list(range(1, 121))
+    sets = {}
+    for i in range(140):
+        s = set(base[: rng.choice([100, 110, 120])])
+        for _ in range(rng.randrange(edits)):
+            s.discard(rng.choice(base))
+            s.add(rng.randrange(10_000, 10_000 + rng.choice([30, 100_000])))
+        sets[i] = frozenset(s)
+    sets = {i: s for i, s in sets.items() if s not in [sets[j] for j in range(i)]}
+    sets[900] = frozenset(range(500, 520))
+    sets[901] = frozenset(range(500, 521))
+    rows = [(1, i, sorted(s)) for i, s in sets.items()]
+    members = spark.createDataFrame(rows, "comp long, id long, elements array<long>")
+    found = [tuple(r) for r in setlinks.links(members, num, den).collect()]
+    ids = sorted(sets)
+    brute = [(a, b) for a in ids for b in ids if a < b and similar(sets[a], sets[b], num, den)]
+    assert {tuple(sorted(e)) for e in found} <= set(brute)
+    assert roots_of(ids, found) == roots_of(ids, brute)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(1, 400), st.integers(0, 60), st.sampled_from([(90, 100), (80, 100), (50, 100)]), st.integers(0, 10_000))
+def test_linked_sets_share_a_signature(size, edits, threshold, seed):
+    num, den = threshold
+    rng = np.random.default_rng(seed)
+    values = rng.integers(0, 1 << 64, size + 2 * edits + 1, dtype=np.uint64)
+    a, b = set(values[:size].tolist()), set(values[:size].tolist())
+    for i in range(edits):
+        side = a if rng.random() < 0.5 else b
+        if rng.random() < 0.5 and len(side) > 1:
+            side.remove(next(iter(side)))
+        else:
+            side.add(int(values[size + i]))
+    if a == b or not similar(a, b, num, den):
+        return
+    sa, sb = (ngram_join.signatures(np.array(sorted(x), np.uint64), num, den) for x in (a, b))
+    assert set(sa.tolist()) & set(sb.tolist())
+
+
+def words(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall("[^\x20\x09-\x0d]+", lower)
+
+
+def ngrams(text, n):
+    w = words(text)
+    return frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()
+
+
+def brute_classes(rows, n, num, den):
+    sets = [(k, ngrams(t, n)) for k, t in rows if k is not None]
+    holding, edges = defaultdict(list), []
+    for i, (_, s) in enumerate(sets):
+        for x in s:
+            holding[x].append(i)
+    pairs = {(i, j) for v in holding.values() for i in v for j in v if i < j}
+    for i, j in pairs:
+        if similar(sets[i][1], sets[j][1], num, den):
+            edges.append((sets[i][0], sets[j][0]))
+    return roots_of({k for k, _ in sets}, edges)
+
+
+def near_copies(rng, vocabulary):
+    texts = []
+    for group in range(6):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice([12, 40, 150]))]
+        for _ in range(rng.choice([2, 5, 25])):
+            w = list(base)
+            for _ in range(rng.randrange(6)):
+                w[rng.randrange(len(w))] = rng.choice(vocabulary)
+            texts.append(" ".join(w) if rng.random() < 0.8 else "\n".join(w).upper())
+    return texts
+
+
+@pytest.mark.parametrize("n,num", [(3, 90), (5, 80)])
+def test_classes(spark, docs_of, n, num):
+    rng = random.Random(n)
+    texts = near_copies(rng, [f"w{i}" for i in range(300)])
+    texts += ["", None, " \n", "a b", "A  B", "a\x1cb c\xa0d", "one", "É x", "é x", "long " * 3000] + ["copy of me and you"] * 40
+    texts += [" ".join(f"u{i}" for i in range(20)), " ".join(f"u{i}" for i in range(21))]
+    ids = list(range(100, 100 + len(texts)))
+    rng.shuffle(ids)
+    ids[3] = ids[4]  # one id, two texts
+    ids[5] = None
+    got = ngram_join.classes(docs_of(texts, ids=ids, parts=5), n, num, 100).collect()
+    expected = brute_classes(list(zip(ids, texts)), n, num, 100)
+    assert len(got) == len(texts)
+    assert sorted(r.n_shingles for r in got) == sorted(len(ngrams(t, n)) for t in texts)
+    assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == expected
+    assert [r.component_id for r in got if r.doc_id is None] == [None]
+    assert ngram_join.classes(docs_of([]), n, num, 100).count() == 0
+
+
+def test_query_op6(spark):
+    rows = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
+    got = queries.op6_partenum_join(spark, SF).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_classes(rows, 3, 90, 100)
+    assert {r.doc_id: r.n_shingles for r in got} == {k: len(ngrams(t, 3)) for k, t in rows}
+
+
+PIECES = re.compile(r"(?s)(?=(.{1,12}))(?:[!-~ -῿]{1,8}|[^ \t\n\x0b\f\r])")
+
+
+def brute_removed(rows):
+    """{(doc_id, text): removed positions} by comparing all pairs of lines."""
+    places = sorted(
+        {(k is None, k or 0, i, t, line) for k, t in rows if t for i, line in enumerate(t.split("\n")) if re.search(r"[^ \t\n\x0b\f\r]", line)}
+    )
+    lines = sorted({p[4] for p in places})
+    sets = {x: frozenset(PIECES.findall(x)) for x in lines}
+    holding = defaultdict(set)
+    for x in lines:
+        for s in sets[x]:
+            holding[s].add(x)
+    edges = {(x, y) for v in holding.values() for x in v for y in v if x < y and similar(sets[x], sets[y], 80, 100)}
+    root = roots_of(lines, edges)
+    seen, out = set(), defaultdict(list)
+    for none, k, i, t, line in places:
+        if root[line] in seen:
+            out[(None if none else k, t)].append(i)
+        seen.add(root[line])
+    return out
+
+
+def test_lines(docs_of):
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.choice([2, 5, 9, 14]))) for _ in range(200)]
+    stock = [" ".join(rng.choice(vocabulary) for _ in range(rng.choice([1, 4, 20, 60]))) for _ in range(40)]
+
+    def varied(line):
+        w = line.split(" ")
+        if rng.random() < 0.4:
+            w[rng.randrange(len(w))] = rng.choice(vocabulary)
+        return " ".join(w)
+
+    texts = ["\n".join(varied(rng.choice(stock)) for _ in range(rng.randrange(1, 9))) for _ in range(60)]
+    texts += ["", None, "\n\n  \n", "same line here\nsame line here\n\nother", "same line here", "日本語の長い文章です\n日本語の長い文節です", "x" * 9000, "x" * 9001]
+    texts += ["é 😀 b", "é 😀 b", "only copy", "only copy"]
+    ids = list(range(len(texts)))
+    ids[-1] = None
+    ids[-3] = ids[-4]  # a row repeated exactly
+    docs = docs_of(texts, ids=ids)
+    expected = brute_removed(list(zip(ids, texts)))
+    got = line_dedup.removed_lines(docs).collect()
+    assert len(got) == len(texts)
+    assert sorted(((r.doc_id, list(r.removed)) for r in got), key=str) == sorted(
+        ((k, expected.get((k, t), [])) for k, t in zip(ids, texts)), key=str
+    )
+    assert all(r.n_lines - r.n_kept == len(r.removed) == len(r.kept_docs) for r in got)
+    out = line_dedup.dedup(docs)
+    assert out.columns == docs.columns
+    left = []
+    for k, t in zip(ids, texts):
+        gone = set(expected.get((k, t), []))
+        new = t if not gone else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone)
+        if not gone or re.search(r"\S", new):
+            left.append((k, new, None if t is None else len(new)))
+    assert sorted(((r.doc_id, r.text, r.n_chars) for r in out.collect()), key=str) == sorted(left, key=str)
+    assert line_dedup.removed_lines(docs_of([])).count() == 0 and line_dedup.dedup(docs_of([])).count() == 0
+
+
+def test_query_op8(spark):
+    rows = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
+    expected = brute_removed(rows)
+    got = {r.doc_id: list(r.removed) for r in queries.op8_fuzzy_lines(spark, SF).collect()}
+    wanted = {k: expected.get((k, t), []) for k, t in rows}
+    assert sum(map(len, wanted.values())) > 50
+    # banding may miss a pair at the threshold, never add one
+    missed = sum(len(set(wanted[k]) - set(got[k])) for k in wanted)
+    assert missed <= 0.01 * sum(map(len, wanted.values()))
