@@ -99,22 +99,6 @@ def analytics_genre_comment_ratio(game_info: DataFrame, labels=None) -> DataFram
     return game_info.selectExpr(*aggs).selectExpr(_inline_sql(rows))
 
 
-def analytics_genre_comment_ratio_union(game_info: DataFrame, labels=None) -> DataFrame:
-    """The ten-branch UNION ALL form; same rows, one scan per label."""
-    labels = labels or schemas.REVIEW_GENRE_LABELS
-    gi = game_info.select("genre", "negative_cnt", "positive_cnt")
-    out = None
-    for label, match in labels:
-        branch = gi.filter(_contains(match)).agg(
-            F.lit(label).alias("genre"),
-            F.sum("positive_cnt").alias("total_positive_cnt"),
-            F.sum("negative_cnt").alias("total_negative_cnt"),
-            F.count(F.lit(1)).alias("game_cnt"),
-        )
-        out = branch if out is None else out.unionByName(branch)
-    return out
-
-
 # --------------------------------------------------------------------------
 # M6: mean playtime per review per genre label
 # --------------------------------------------------------------------------
@@ -153,25 +137,6 @@ def analytics_genre_playtime(fact: DataFrame, labels=None, filter_first_label: b
     return fact.selectExpr(*aggs).selectExpr(_inline_sql(rows)).filter("n_games > 0").drop("n_games")
 
 
-def analytics_genre_playtime_union(fact: DataFrame, labels=None, filter_first_label: bool = False) -> DataFrame:
-    """The ten-branch UNION ALL form grouped by the constant label."""
-    labels = _playtime_labels(labels, filter_first_label)
-    f = fact.select("genre", "count_game_id", "sum_total_playtime", "sum_last_two_weeks_playtime")
-    out = None
-    for label, match in labels:
-        src = f if match is None else f.filter(_contains(match))
-        branch = (
-            src.withColumn("gen", F.lit(label))
-            .groupBy("gen")
-            .agg(
-                _ratio(F.sum("sum_total_playtime"), F.sum("count_game_id")).alias("sum_total_playtime"),
-                _ratio(F.sum("sum_last_two_weeks_playtime"), F.sum("count_game_id")).alias("sum_last_two_weeks_playtime"),
-            )
-        )
-        out = branch if out is None else out.unionByName(branch)
-    return out
-
-
 # --------------------------------------------------------------------------
 # M7: popularity by release month (mean of per-game means)
 # --------------------------------------------------------------------------
@@ -246,68 +211,51 @@ def analytics_usercnt_price(game_info: DataFrame, game_status: DataFrame) -> Dat
 # --------------------------------------------------------------------------
 
 
-def _best_k(df: DataFrame, keys: str, order: str, k: int) -> DataFrame:
-    """The k first rows of each ``keys`` group under ``order``.
-
-    row_number() <= k plans as a partial group limit before the shuffle and
-    a final one after it, so a key holding a large share of the rows sends
-    at most k rows per map task.
-    """
-    rank = F.expr(f"row_number() OVER (PARTITION BY {keys} ORDER BY {order})")
-    return df.withColumn("_k", rank).filter(f"_k <= {int(k)}").drop("_k")
-
-
 def _mover_info(game_info: DataFrame) -> DataFrame:
     return game_info.select("game_id", "game_name", "genre", "price", "discount_percentage", "thumbnail_path")
 
 
-def _pair_sides(game_status: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Start-day and end-day projections of the snapshots."""
-    a = game_status.selectExpr(
-        "game_id", "create_dt AS start_dt", "date_add(create_dt, 1) AS next_dt",
-        "user_cnt AS a_user_cnt", "review_cnt AS a_review_cnt",
-    )
-    b = game_status.selectExpr(
-        "game_id AS b_game_id", "create_dt AS end_dt", "user_cnt AS b_user_cnt", "review_cnt AS b_review_cnt"
-    )
-    return a, b
+def _extremes(game_status: DataFrame, metric: str, k: int) -> DataFrame:
+    """Of the snapshots of each (game, day) the k lowest, k highest and k
+    without the metric: what a top-k difference in either direction can
+    use. All snapshots of a day that is not repeated stay.
+
+    Partitioned by (game, day), which the end side of the pairs joins on.
+    """
+    rank = f"row_number() OVER (PARTITION BY game_id, create_dt, {metric} IS NULL ORDER BY {metric} {{}})"
+    dated = game_status.filter("create_dt IS NOT NULL").repartition("game_id", "create_dt")
+    ranked = dated.selectExpr("*", f"{rank.format('ASC')} AS _low", f"{rank.format('DESC')} AS _high")
+    return ranked.filter(f"_low <= {int(k)} OR _high <= {int(k)}").drop("_low", "_high")
 
 
 def next_day_pairs(
     game_status: DataFrame,
     game_info: DataFrame,
     metric: str | None = None,
-    descending: bool = True,
     k: int = schemas.DAILY_TOP_K,
-    *,
-    sides: tuple[DataFrame, DataFrame] | None = None,
-    info: DataFrame | None = None,
 ) -> DataFrame:
     """Snapshot pairs (day d, day d+1) of the same game, with game info.
 
     An equi-join on (game_id, day + 1): a day without a snapshot yields no
-    pair, repeated snapshots multiply, as in the join form of the model.
-
-    With ``metric`` (``user_cnt`` or ``review_cnt``) the pairs are only those
-    that can reach the top k of that difference in the given direction: each
-    side keeps, per (game, day), its k best snapshots (for a descending
-    difference the smallest start values and largest end values, NULLs
-    first; the reverse, NULLs last, for ascending). Every dropped pair is
-    outranked or tied (with an identical output row) by k kept pairs, so the
-    top k per day is unchanged, while a (game, day) repeated N times yields
-    at most k * k pairs instead of N * N. The side limits partition by the
-    join keys, so the join reuses their shuffles.
+    pair. A (game, day) repeated N times before one repeated M times yields
+    N * M pairs, as in the join form of the model; so without ``metric`` the
+    result grows with the square of repetitions.
+
+    With ``metric`` (``user_cnt`` or ``review_cnt``) the pairs are those that
+    can reach the top k of its difference, in either direction: every pair
+    left out is outranked, or tied with an identical output row, by k pairs
+    kept. A repeated day then yields a bounded number of pairs.
     """
-    a, b = sides or _pair_sides(game_status)
-    if metric is not None:
-        a_order = f"a_{metric} ASC NULLS FIRST" if descending else f"a_{metric} DESC NULLS LAST"
-        b_order = f"b_{metric} DESC NULLS FIRST" if descending else f"b_{metric} ASC NULLS LAST"
-        a = _best_k(a, "game_id, next_dt", a_order, k)
-        b = _best_k(b, "b_game_id, end_dt", b_order, k)
+    status = game_status if metric is None else _extremes(game_status, metric, k)
+    a = status.selectExpr(
+        "game_id", "create_dt AS start_dt", "date_add(create_dt, 1) AS next_dt",
+        "user_cnt AS a_user_cnt", "review_cnt AS a_review_cnt",
+    )
+    b = status.selectExpr(
+        "game_id AS b_game_id", "create_dt AS end_dt", "user_cnt AS b_user_cnt", "review_cnt AS b_review_cnt"
+    )
     pairs = a.join(b, F.expr("game_id = b_game_id AND next_dt = end_dt"), "inner")
-    if info is None:
-        info = _mover_info(game_info)
-    return pairs.join(info, "game_id", "inner").selectExpr(
+    return pairs.join(_mover_info(game_info), "game_id", "inner").selectExpr(
         "game_id",
         "game_name",
         "start_dt",
@@ -341,30 +289,28 @@ def _mover_columns(metric: str) -> list[str]:
     return [metric if c is None else c for c in MOVER_COLUMNS]
 
 
-def _in_final_order(top: DataFrame, *cols: str) -> DataFrame:
-    """Total order of a top-k result: one partition, sorted.
-
-    The result holds at most k rows per day and direction, a size set by the
-    number of days, not by the data; sorting it in one partition gives the
-    same order as ``orderBy`` without its range-partition sampling job.
-    """
-    return top.repartition(1).sortWithinPartitions(*cols)
-
-
 def daily_user_login_cnt_diff_top15(game_status: DataFrame, game_info: DataFrame, k: int = schemas.DAILY_TOP_K) -> DataFrame:
     """Per start day, the k largest player-count drops (DECREASE) and rises
-    (INCREASE) to the next day, ordered by (gubun, start_dt, rn)."""
-    cols = _mover_columns("user_diff")
-    shared = {"sides": _pair_sides(game_status), "info": _mover_info(game_info)}
-    dec_pairs = next_day_pairs(game_status, game_info, "user_cnt", descending=False, k=k, **shared)
-    inc_pairs = next_day_pairs(game_status, game_info, "user_cnt", descending=True, k=k, **shared)
-    decrease = top_k_per_day(dec_pairs, "user_diff", True, k).select(*cols, F.lit("DECREASE").alias("gubun"))
-    increase = top_k_per_day(inc_pairs, "user_diff", False, k).select(*cols, F.lit("INCREASE").alias("gubun"))
-    return _in_final_order(decrease.unionByName(increase), "gubun", "start_dt", "rn")
+    (INCREASE) to the next day, ordered by (gubun, start_dt, rn).
+
+    The pairs are built once; each enters both directions, which are ranked
+    by one group-limited window.
+    """
+    pairs = next_day_pairs(game_status, game_info, "user_cnt", k=k)
+    # a NULL difference is the last decrease and the first increase
+    directions = pairs.selectExpr(
+        "*",
+        "inline(array("
+        "struct('DECREASE' AS gubun, int(user_diff IS NULL) AS _null, user_diff AS _order), "
+        "struct('INCREASE' AS gubun, int(user_diff IS NOT NULL) AS _null, -user_diff AS _order)))",
+    )
+    rank = F.expr("CAST(row_number() OVER (PARTITION BY gubun, start_dt ORDER BY _null, _order, game_id) AS BIGINT)")
+    top = directions.withColumn("rn", rank).filter(f"rn <= {int(k)}")
+    return top.select(*_mover_columns("user_diff"), "gubun").orderBy("gubun", "start_dt", "rn")
 
 
 def daily_user_review_cnt_diff_top15(game_status: DataFrame, game_info: DataFrame, k: int = schemas.DAILY_TOP_K) -> DataFrame:
     """Per start day, the k largest review-count rises to the next day."""
-    pairs = next_day_pairs(game_status, game_info, "review_cnt", descending=True, k=k)
+    pairs = next_day_pairs(game_status, game_info, "review_cnt", k=k)
     top = top_k_per_day(pairs, "review_diff", False, k).select(*_mover_columns("review_diff"))
-    return _in_final_order(top, "start_dt", "rn")
+    return top.orderBy("start_dt", "rn")

@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-WRITERS = {"load_full_refresh", "csv_round_trip"}
+WRITERS = {"load_full_refresh", "csv_round_trip", "status_slice_storage", "parse_reviews", "ingest_report"}
 
 
 def summarise(plan: str) -> dict[str, str]:
@@ -41,13 +41,13 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     from playmart.session import build_session
 
-    import __spark_entry__ as entry
+    from playmart.plans.registry import QUERIES
 
     spark = build_session()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     rows = []
-    for name, q in sorted(entry.queries().items()):
+    for name, q in sorted(QUERIES.items()):
         if name in WRITERS:
             continue
         plan = q(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from playmart import schemas
+import union_models
 from playmart.operators import models
 
 D = dt.date
@@ -43,7 +44,7 @@ def test_genre_comment_ratio_keeps_empty_label_and_multi_membership(spark):
 def test_genre_comment_ratio_single_pass_equals_union(spark):
     info = info_rows(spark, [gi(i, g) for i, g in enumerate(["액션 RPG", "인디", "전략 스포츠", None, "캐주얼"])])
     a = sorted(models.analytics_genre_comment_ratio(info).collect())
-    b = sorted(models.analytics_genre_comment_ratio_union(info).collect())
+    b = sorted(union_models.analytics_genre_comment_ratio_union(info).collect())
     assert a == b
 
 
@@ -62,7 +63,7 @@ def test_genre_playtime_first_label_unfiltered_and_empty_label_dropped(spark):
     assert out["RPG"]["sum_last_two_weeks_playtime"] == pytest.approx(10.0)
     filtered = {r["gen"] for r in models.analytics_genre_playtime(fact, filter_first_label=True).collect()}
     assert filtered == {"RPG"}
-    union = sorted(models.analytics_genre_playtime_union(fact).collect())
+    union = sorted(union_models.analytics_genre_playtime_union(fact).collect())
     assert union == sorted(models.analytics_genre_playtime(fact).collect())
 
 
@@ -228,19 +229,20 @@ def test_hot_repeated_snapshots_bounded_and_exact(spark):
 
     rnd = random.Random(7)
     rows = []
-    # game 1 repeats 60 times a day (a hot key); games 2..25 once a day
+    # game 1 repeats 200 times a day (a hot key); games 2..25 once a day
     for day in (1, 2, 3):
-        for _ in range(60):
+        for _ in range(200):
             rows.append((1, D(2024, 1, day), rnd.choice([None] + list(range(50))), rnd.randrange(100)))
         for g in range(2, 26):
             rows.append((g, D(2024, 1, day), rnd.randrange(60), rnd.randrange(100)))
     status = status_rows(spark, rows)
     info = info_rows(spark, [gi(g) for g in range(1, 26)])
     full = models.next_day_pairs(status, info).collect()
-    assert sum(1 for r in full if r["game_id"] == 1) == 2 * 60 * 60
-    for metric, desc in (("user_cnt", True), ("user_cnt", False), ("review_cnt", True)):
-        limited = models.next_day_pairs(status, info, metric, descending=desc)
-        assert limited.filter("game_id = 1").count() <= 2 * 15 * 15
+    assert sum(1 for r in full if r["game_id"] == 1) == 2 * 200 * 200
+    for metric in ("user_cnt", "review_cnt"):
+        limited = models.next_day_pairs(status, info, metric)
+        # the 15 lowest and highest, with and without the metric, on either side
+        assert limited.filter("game_id = 1").count() <= 2 * 60 * 60
     out = models.daily_user_login_cnt_diff_top15(status, info).collect()
     got_inc = sorted([(r["start_dt"], r["game_id"], r["user_diff"]) for r in out if r["gubun"] == "INCREASE"], key=repr)
     got_dec = sorted([(r["start_dt"], r["game_id"], r["user_diff"]) for r in out if r["gubun"] == "DECREASE"], key=repr)

@@ -5,15 +5,16 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from playmart.plans.registry import QUERIES
 
-WRITERS = {"load_full_refresh", "csv_round_trip"}  # these write on build
+WRITERS = {"load_full_refresh", "csv_round_trip", "status_slice_storage", "parse_reviews", "ingest_report"}  # these write on build
 
 
 def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITERS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITERS))
 def test_no_python_evaluation(spark, name):
     plan = physical(entry.queries()[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
@@ -35,11 +36,26 @@ def test_movers_use_group_limits(spark):
 
 
 def test_genre_models_scan_once(spark):
+    import union_models
+    from playmart.sources import driver
+
     single = physical(entry.queries()["analytics_genre_comment_ratio"](spark, SF_SMALL))
-    union = physical(entry.queries()["analytics_genre_comment_ratio_union"](spark, SF_SMALL))
+    union = physical(union_models.analytics_genre_comment_ratio_union(driver.game_info(spark, SF_SMALL)))
     assert single.count("FileScan parquet") < union.count("FileScan parquet")
 
 
+def test_documents_are_parsed_once(spark):
+    for name in ("app_details", "player_counts", "review_summaries", "popular_ids"):
+        plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1, name
+
+
+def test_movers_shuffle_little(spark):
+    for name, most in (("daily_user_login_cnt_diff_top15", 9), ("daily_user_review_cnt_diff_top15", 9)):
+        plan = physical(entry.queries()[name](spark, SF_SMALL))
+        assert plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") <= most, plan
+
+
 def test_release_month_filter_reaches_catalogue_scan(spark):
     from playmart.operators import models
     from playmart.sources import driver

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from playmart import schemas
 from playmart.operators import models
 
+import union_models
 from test_models import _brute_top, gi
 
 D = dt.date
@@ -30,7 +31,7 @@ def test_bounded_pairs_keep_top_k(spark, rows, k):
     info = spark.createDataFrame([gi(g) for g in range(1, 7)], schemas.GAME_INFO)
     full = models.next_day_pairs(status, info).collect()
     for metric, diff, desc in (("user_cnt", "user_diff", True), ("user_cnt", "user_diff", False), ("review_cnt", "review_diff", True)):
-        pairs = models.next_day_pairs(status, info, metric, descending=desc, k=k)
+        pairs = models.next_day_pairs(status, info, metric, k=k)
         got = models.top_k_per_day(pairs, diff, ascending=not desc, k=k).collect()
         got = sorted(((r["start_dt"], r["game_id"], r[diff]) for r in got), key=repr)
         assert got == _brute_top(full, diff, ascending=not desc, k=k)
@@ -47,7 +48,7 @@ def test_single_pass_genre_models_equal_union(spark, rows):
         [gi(i, g, neg=n, pos=p) for i, (g, n, p, _) in enumerate(rows)], schemas.GAME_INFO
     )
     assert sorted(models.analytics_genre_comment_ratio(info).collect()) == sorted(
-        models.analytics_genre_comment_ratio_union(info).collect()
+        union_models.analytics_genre_comment_ratio_union(info).collect()
     )
     fact = spark.createDataFrame(
         [(i, c, "n", p * c, n, float(p), float(n), g) for i, (g, n, p, c) in enumerate(rows)],
@@ -55,7 +56,7 @@ def test_single_pass_genre_models_equal_union(spark, rows):
     )
     for flt in (False, True):
         a = sorted(models.analytics_genre_playtime(fact, filter_first_label=flt).collect())
-        b = sorted(models.analytics_genre_playtime_union(fact, filter_first_label=flt).collect())
+        b = sorted(union_models.analytics_genre_playtime_union(fact, filter_first_label=flt).collect())
         assert a == b
 
 
@@ -117,8 +118,9 @@ def test_review_pages_bad_page_drops_game(spark, pages):
         rows.append((g, lang, i, body))
     df = spark.createDataFrame(rows, "game_id BIGINT, language STRING, page_no BIGINT, body STRING")
     ids = spark.createDataFrame([(g,) for g in range(1, 4)], "game_id BIGINT")  # game 4 is unknown
-    got = sorted((r["game_id"], r["language"], r["comment_id"]) for r in ingest.ingest_comment_data(ids, df).collect())
+    got = sorted((r["game_id"], r["language"], r["comment_id"]) for r in ingest.ingest_comment_data(ids, ingest.parse_review_pages(df)).collect())
     bad = {g for g, _, reviews in pages if reviews is None}
+    bad |= {g for g in range(1, 5) if {lang for h, lang, _ in pages if h == g} != {"KOR", "ENG"}}
     expect = sorted(
         (g, lang, str(r))
         for g, lang, reviews in pages
@@ -207,5 +209,5 @@ def test_release_month_rules(spark, texts):
     from playmart.functions import scalars
 
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
-    got = {r["i"]: r["m"] for r in df.select("i", scalars.parse_release_month("t").alias("m")).collect()}
+    got = {r["i"]: r["m"] for r in df.selectExpr("i", scalars.parse_release_month_sql("t") + " AS m").collect()}
     assert got == {i: expected_month(t) for i, t in enumerate(texts)}
