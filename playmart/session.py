@@ -53,8 +53,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names storage every executor can reach. Only
-    when it is unset (local runs, tests) a scratch folder is created and set.
+    On a cluster this setting names storage every executor can reach, and it
+    is an error to leave it unset. In a local session (tests, bench) a scratch
+    folder is created and set instead.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -64,6 +65,9 @@ def shared_dir(spark: SparkSession) -> str:
     if sc is not None:
         configured = configured or sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="playmart-ckpt-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)

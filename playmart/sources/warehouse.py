@@ -2,21 +2,25 @@
 refresh (S11), date-slice replace (S12) and staging (S13).
 
 All writes are Spark writers running on executors; the driver only plans
-them and, for the full refresh, moves a catalog pointer.
+them. Which version of a fully refreshed table is current is itself a small
+table under the table's folder, so it outlives the session.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from playmart.functions.scalars import integer_sql
+from playmart.functions.sqltext import date_text, literal
+
 # CSV options that keep text exactly as written: no trimming on write, quote
-# escaped by doubling, '\n' as the only line separator (so a '\r' inside a
-# value survives and files stay splittable).
+# escaped by doubling, quoted values may hold line breaks. A staged file is one
+# day's batch, so that reading it whole (multiLine) is bounded by the day.
 CSV_WRITE_OPTIONS = {
     "header": "true",
     "ignoreLeadingWhiteSpace": "false",
@@ -30,17 +34,11 @@ CSV_READ_OPTIONS = {
     "enforceSchema": "true",
     "quote": '"',
     "escape": '"',
-    "lineSep": "\n",
-    "mode": "PERMISSIVE",
+    "multiLine": "true",
+    "mode": "FAILFAST",
 }
 
 
-def _date_text(as_of) -> str:
-    if isinstance(as_of, (_dt.date, _dt.datetime)):
-        return as_of.strftime("%Y-%m-%d")
-    return str(as_of)
-
-
 # --------------------------------------------------------------------------
 # CSV staging by column position
 # --------------------------------------------------------------------------
@@ -56,28 +54,26 @@ def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> str
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def read_staged_csv(
-    spark: SparkSession, path: str, schema: T.StructType, integers_as_decimals: bool = False
-) -> DataFrame:
+def read_staged_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read staged CSV by position: the header line is skipped and its text
     ignored; column names and types come from ``schema``.
 
-    ``integers_as_decimals``: files written by a frame library that turned an
-    integer column with missing values into floats hold ``12000.0``, which an
-    integer schema reads as NULL. With this flag integral columns are read as
-    text and converted through DOUBLE (``12000.0`` -> 12000, empty -> NULL).
+    Integer columns may hold ``12000.0``: frame libraries turn an integer
+    column with missing values into floats. A row with another number of
+    columns, or text in an integer column, fails the read.
     """
-    if not integers_as_decimals:
-        return spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(path)
     as_text = T.StructType(
         [T.StructField(f.name, T.StringType(), True) if isinstance(f.dataType, _INTEGRAL) else f for f in schema.fields]
     )
-    exprs = [
-        f"try_cast(try_cast(`{f.name}` AS DOUBLE) AS {f.dataType.simpleString()}) AS `{f.name}`"
-        if isinstance(f.dataType, _INTEGRAL)
-        else f"`{f.name}`"
-        for f in schema.fields
-    ]
+    exprs = []
+    for f in schema.fields:
+        if isinstance(f.dataType, _INTEGRAL):
+            text = f"`{f.name}`"
+            bad = f"raise_error(concat({literal(f'staged CSV: no integer in {f.name}: ')}, {text}))"
+            value = integer_sql(text, f.dataType.simpleString())
+            exprs.append(f"CASE WHEN {text} IS NOT NULL THEN coalesce({value}, {bad}) END AS {text}")
+        else:
+            exprs.append(f"`{f.name}`")
     return spark.read.schema(as_text).options(**CSV_READ_OPTIONS).csv(path).selectExpr(*exprs)
 
 
@@ -87,7 +83,7 @@ def read_staged_csv(
 
 
 def landing_path(base: str, name: str, as_of) -> str:
-    return f"{base.rstrip('/')}/{name}/dt={_date_text(as_of)}"
+    return f"{base.rstrip('/')}/{name}/dt={date_text(as_of)}"
 
 
 def land(df: DataFrame, base: str, name: str, as_of, fmt: str = "parquet") -> str:
@@ -101,26 +97,55 @@ def land(df: DataFrame, base: str, name: str, as_of, fmt: str = "parquet") -> st
 
 
 # --------------------------------------------------------------------------
-# Full refresh through a new version path and a catalog pointer
+# Full refresh through a new version folder and a version log
 # --------------------------------------------------------------------------
 
+VERSION_LOG = "seq BIGINT, version STRING"
+
+
+def _table_folder(table_root: str, table: str) -> str:
+    return f"{table_root.rstrip('/')}/{table}"
+
+
+def versions(spark: SparkSession, table: str, table_root: str) -> list[tuple[int, str]]:
+    """(seq, version) of every full refresh of a table, oldest first; one row
+    per refresh, so a few rows a day at most."""
+    try:
+        log = spark.read.schema(VERSION_LOG).parquet(f"{_table_folder(table_root, table)}/log")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return [(r.seq, r.version) for r in log.orderBy("seq", "version").collect()]
+
+
+def current_path(spark: SparkSession, table: str, table_root: str) -> str | None:
+    """Folder of the current version, or None if the table was never loaded."""
+    found = versions(spark, table, table_root)
+    return f"{_table_folder(table_root, table)}/version={found[-1][1]}" if found else None
+
+
+def read_current(spark: SparkSession, table: str, table_root: str) -> DataFrame:
+    path = current_path(spark, table, table_root)
+    if path is None:
+        raise ValueError(f"table {table} has not been loaded under {table_root}")
+    return spark.read.parquet(path)
+
 
 def full_refresh(spark: SparkSession, batch: DataFrame, table: str, table_root: str, run_id: str | None = None) -> str:
     """Replace the whole content of ``table`` with ``batch``.
 
     The batch is written to a fresh version folder (never the folder being
-    read, so the batch may itself read the table), then the catalog table
-    is pointed at it in one metadata step. Readers see the old or the new
-    version, never a mix. Old versions stay until cleaned by retention.
+    read, so the batch may itself read the table). Last, one row is appended
+    to the table's version log, which makes that folder the current one for
+    every session. A run that fails before leaves the old version current.
     """
-    run_id = run_id or uuid.uuid4().hex
-    path = f"{table_root.rstrip('/')}/{table}/version={run_id}"
+    version = run_id or uuid.uuid4().hex
+    known = versions(spark, table, table_root)
+    path = f"{_table_folder(table_root, table)}/version={version}"
     batch.write.mode("errorifexists").parquet(path)
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.sql(f"REFRESH TABLE {table}")
-    else:
-        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+    entry = spark.createDataFrame([(known[-1][0] + 1 if known else 1, version)], VERSION_LOG)
+    entry.coalesce(1).write.mode("append").parquet(f"{_table_folder(table_root, table)}/log")
     return path
 
 
@@ -132,7 +157,7 @@ def full_refresh(spark: SparkSession, batch: DataFrame, table: str, table_root:
 def not_on_day(date_col: Column, as_of) -> Column:
     """Rows to keep when the slice of ``as_of`` is replaced: every other
     day, and rows whose date is NULL (a NULL never equals the run date)."""
-    return ~date_col.eqNullSafe(F.lit(_date_text(as_of)).cast("date"))
+    return ~date_col.eqNullSafe(F.lit(date_text(as_of)).cast("date"))
 
 
 def replace_slice(existing: DataFrame, batch: DataFrame, as_of, date_column: str = "create_dt") -> DataFrame:
@@ -141,34 +166,45 @@ def replace_slice(existing: DataFrame, batch: DataFrame, as_of, date_column: str
     return keep.unionByName(batch.select(*existing.columns))
 
 
+def write_days(rows: DataFrame, table_path: str, date_column: str = "create_dt") -> None:
+    """Replace the partition of every day in ``rows`` by its rows, in one
+    job: tasks write to a staging folder and the partitions are swapped at
+    job commit, so a failed job leaves the old days in place."""
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(date_column)
+        .parquet(table_path)
+    )
+
+
 def write_slice(batch: DataFrame, table_path: str, as_of, date_column: str = "create_dt") -> str:
     """Storage form over a table partitioned by day.
 
-    The day partition of ``as_of`` is replaced by the batch rows of that day
-    with a dynamic partition overwrite: tasks write to a staging folder and
-    the partition is swapped at job commit, so a failed job leaves the old
-    slice in place and a re-run of the day leaves the table unchanged. If
-    the batch has no row for the day, the day's old rows are still deleted.
-    Batch rows dated on another day, or NULL, are appended, as the insert of
-    the whole batch adds them. Other partitions are never touched.
+    The day partition of ``as_of`` is replaced by the batch rows of that day.
+    Batch rows dated on another day, or NULL, are added to what those days
+    hold, as the insert of the whole batch adds them. Both happen in one job:
+    the other days are rewritten with their old rows and the new ones. Days
+    the batch does not name are never touched. If the batch has no row for
+    the day, its old rows are deleted first.
 
-    ``batch`` is read twice (emptiness check, write); pass a staged batch.
+    ``batch`` is read several times; pass a staged batch.
     """
-    day = _date_text(as_of)
+    day = date_text(as_of)
     on_day = F.col(date_column).eqNullSafe(F.lit(day).cast("date"))
-    day_rows = batch.filter(on_day)
-    if day_rows.isEmpty():
-        empty = day_rows.drop(date_column).limit(0)
+    if batch.filter(on_day).isEmpty():
+        empty = batch.drop(date_column).limit(0)
         empty.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/{date_column}={day}")
-    else:
-        (
-            day_rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(date_column)
-            .parquet(table_path)
-        )
-    others = batch.filter(~on_day)
-    others.write.mode("append").partitionBy(date_column).parquet(table_path)
+    try:
+        existing = read_partitioned(batch.sparkSession, table_path, batch.schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        write_days(batch, table_path, date_column)
+        return table_path
+    others = batch.filter(~on_day).select(F.col(date_column).alias("other_day")).distinct()
+    kept = existing.join(others, F.col(date_column).eqNullSafe(F.col("other_day")), "left_semi")
+    write_days(batch.unionByName(kept.select(*batch.columns)), table_path, date_column)
     return table_path
 
 

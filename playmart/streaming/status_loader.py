@@ -1,10 +1,11 @@
 """Incremental load of staged daily status slices with Structured Streaming.
 
-Replaces polling for a landing file: a file-source stream picks up each
-staged slice once (tracked in its checkpoint), and each micro-batch replaces
-the day partitions it contains (dynamic partition overwrite). Replaying a
-micro-batch after a failure rewrites the same partitions, so the table ends
-the same as with one delivery.
+Replaces polling for a landing file: a file-source stream notices staged
+files once (tracked in its checkpoint). A micro-batch says which days have
+new files; each of those days is then rebuilt from all of its staged files
+and replaces the day's partition. So a day may come in any number of files,
+in any order and in any number of micro-batches, and replaying one changes
+nothing. A corrected slice is staged over the old one, under the same key.
 
 Run it with ``available_now=True`` from the daily schedule (process what has
 landed, then stop) or continuously with a processing-time trigger.
@@ -13,45 +14,43 @@ landed, then stop) or continuously with a processing-time trigger.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from playmart import schemas
-from playmart.session import shared_dir
-
-
-def replace_days(batch: DataFrame, table_path: str) -> None:
-    """Each day present in ``batch`` replaces that day's partition; other
-    days are untouched."""
-    (
-        batch.select(*schemas.GAME_STATUS.fieldNames())
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("create_dt")
-        .parquet(table_path)
-    )
+from playmart.sources.warehouse import write_days
+
+
+def staged_slices(spark: SparkSession, staged_dir: str) -> DataFrame:
+    """All staged status rows under a folder."""
+    return spark.read.schema(schemas.GAME_STATUS).option("recursiveFileLookup", "true").parquet(staged_dir)
 
 
-def _default_checkpoint(spark: SparkSession, table_path: str) -> str:
-    name = "".join(c if c.isalnum() else "_" for c in table_path.strip("/"))[-80:]
-    return f"{shared_dir(spark)}/status-loader-{name}"
+def replace_days(batch: DataFrame, staged_dir: str, table_path: str) -> None:
+    """Every day with a row in ``batch`` is replaced by all its staged rows;
+    other days are untouched."""
+    days = batch.select(F.col("create_dt").alias("day")).distinct()
+    whole = staged_slices(batch.sparkSession, staged_dir).join(days, F.col("create_dt").eqNullSafe(F.col("day")), "left_semi")
+    write_days(whole.select(*schemas.GAME_STATUS.fieldNames()), table_path)
 
 
 def start_status_loader(
     spark: SparkSession,
     staged_dir: str,
     table_path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     available_now: bool = True,
     interval: str = "10 minutes",
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
+    """``checkpoint``: a shared folder of this stream alone."""
     reader = spark.readStream.schema(schemas.GAME_STATUS).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     slices = reader.parquet(staged_dir)
     writer = (
-        slices.writeStream.foreachBatch(lambda df, _epoch: replace_days(df, table_path))
-        .option("checkpointLocation", checkpoint or _default_checkpoint(spark, table_path))
+        slices.writeStream.foreachBatch(lambda df, _epoch: replace_days(df, staged_dir, table_path))
+        .option("checkpointLocation", checkpoint)
         .queryName("status_slice_loader")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from playmart import schemas
@@ -47,16 +48,28 @@ def test_csv_integers_written_as_floats(spark):
         f.write("game_id,game_name,price,discount_percentage,release_date,thumbnail_path,genre,negative_cnt,positive_cnt\n")
         f.write("570,Game A,12000.0,20.0,2023-06,img/a.jpg,RPG,3,4\n")
         f.write("571,,,,,,,5,6\n")  # coming soon: details missing
-    strict = {r["game_id"]: r for r in warehouse.read_staged_csv(spark, path, schemas.GAME_INFO).collect()}
-    assert strict[570]["price"] is None  # an integer schema cannot read 12000.0
-    rows = {
-        r["game_id"]: r
-        for r in warehouse.read_staged_csv(spark, path, schemas.GAME_INFO, integers_as_decimals=True).collect()
-    }
+    rows = {r["game_id"]: r for r in warehouse.read_staged_csv(spark, path, schemas.GAME_INFO).collect()}
     assert (rows[570]["price"], rows[570]["discount_percentage"], rows[570]["positive_cnt"]) == (12000, 20, 4)
     assert rows[571]["price"] is None and rows[571]["game_name"] is None and rows[571]["negative_cnt"] == 5
 
 
+def test_csv_line_breaks_and_exact_integers(spark):
+    path = tempfile.mkdtemp(prefix="run-csv-") + "/stage"
+    rows = [(9007199254740993, "two\nlines", 1, 0, "a\r\nb", "x,\ny", '"q"\n', 0, 0), (2, "\rlead", 1, 0, None, "p", "g\n", 0, 0)]
+    warehouse.write_csv(spark.createDataFrame(rows, schemas.GAME_INFO), path, schemas.COLUMNS["game_info"])
+    assert sorted(map(tuple, warehouse.read_staged_csv(spark, path, schemas.GAME_INFO).collect())) == sorted(rows)
+
+
+@pytest.mark.parametrize("line", ["1,only,three", "x,name,1,0,2023-01,p,g,0,0", "1,name,abc,0,2023-01,p,g,0,0"])
+def test_malformed_csv_rows_fail(spark, line):
+    path = tempfile.mkdtemp(prefix="run-csv-") + "/stage"
+    os.makedirs(path)
+    with open(f"{path}/part-0.csv", "w") as f:
+        f.write(",".join(schemas.COLUMNS["game_info"]) + "\n" + line + "\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed|no integer"):
+        warehouse.read_staged_csv(spark, path, schemas.GAME_INFO).collect()
+
+
 def status(spark, rows):
     return spark.createDataFrame(rows, schemas.GAME_STATUS)
 
@@ -95,17 +108,47 @@ def test_write_slice_partition_replace(spark):
 
 def test_full_refresh_reads_own_table(spark):
     root = tempfile.mkdtemp(prefix="run-wh-")
-    table = "t_full_refresh_test"
+    assert warehouse.current_path(spark, "t", root) is None
+    with pytest.raises(ValueError, match="has not been loaded"):
+        warehouse.read_current(spark, "t", root)
     first = spark.createDataFrame([(1,), (2,)], "game_id BIGINT")
-    warehouse.full_refresh(spark, first, table, root, "v1")
+    warehouse.full_refresh(spark, first, "t", root, "v1")
     # the next batch reads the table it replaces
-    nxt = spark.table(table).withColumn("game_id", F.col("game_id") + 10)
-    warehouse.full_refresh(spark, nxt, table, root, "v2")
-    assert sorted(r[0] for r in spark.table(table).collect()) == [11, 12]
-    # same batch again: same content
-    again = spark.createDataFrame([(11,), (12,)], "game_id BIGINT")
-    warehouse.full_refresh(spark, again, table, root, "v3")
-    assert sorted(r[0] for r in spark.table(table).collect()) == [11, 12]
+    nxt = warehouse.read_current(spark, "t", root).withColumn("game_id", F.col("game_id") + 10)
+    warehouse.full_refresh(spark, nxt, "t", root, "v2")
+    assert sorted(r[0] for r in warehouse.read_current(spark, "t", root).collect()) == [11, 12]
+    # a refresh that fails leaves the current version
+    with pytest.raises(Exception):
+        warehouse.full_refresh(spark, first.select(F.raise_error(F.lit("stop")).alias("x")), "t", root, "v3")
+    assert sorted(r[0] for r in warehouse.read_current(spark, "t", root).collect()) == [11, 12]
+    assert [v for _, v in warehouse.versions(spark, "t", root)] == ["v1", "v2"]
+
+
+def test_current_version_outlives_the_session(spark):
+    """Another process over the same warehouse sees the loaded tables."""
+    import subprocess
+    import sys
+
+    root = tempfile.mkdtemp(prefix="run-wh-")
+    warehouse.full_refresh(spark, spark.createDataFrame([(1,), (2,)], "game_id BIGINT"), "t", root)
+    code = (
+        "from playmart.session import build_session; from playmart.sources import warehouse\n"
+        f"s = build_session(master='local[1]'); print('ROWS', warehouse.read_current(s, 't', {root!r}).count())"
+    )
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=here, capture_output=True, text=True, timeout=300)
+    assert "ROWS 2" in out.stdout, out.stderr[-2000:]
+
+
+def test_scratch_folder_must_be_shared_on_a_cluster():
+    from types import SimpleNamespace
+
+    from playmart.session import shared_dir
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: conf)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(conf=conf, sparkContext=sc))
 
 
 def test_landing_path_is_dated(spark):
