@@ -1,8 +1,7 @@
 """Column-level functions of the ingest (all built-in, JVM-side).
 
-Each function is written once as SQL text over an input expression
-(``*_sql``), so it can sit inside a ``selectExpr``; the ``Column`` form is
-``F.expr`` of the same text.
+Each function is written as SQL text over an input expression (``*_sql``),
+so it can sit inside a ``selectExpr``.
 """
 
 from __future__ import annotations
@@ -46,21 +45,11 @@ def fold_genres_sql(genres: str) -> str:
     return f"array_join(transform({genres}, g -> replace(g.description, ' ', '')), ' ')"
 
 
-def clean_game_name(name: str) -> Column:
-    return F.expr(clean_game_name_sql(name))
+def integer_sql(text: str, kind: str = "BIGINT") -> str:
+    """SQL reading an integer written as ``12000`` or ``12000.0`` exactly, up
+    to 64 bits; NULL where the text is NULL or is no such number."""
+    return f"coalesce(try_cast({text} AS {kind}), try_cast(try_cast({text} AS DECIMAL(38,6)) AS {kind}))"
 
 
 def clean_review_text(text: str) -> Column:
     return F.expr(clean_review_text_sql(text))
-
-
-def parse_price(formatted: str) -> Column:
-    return F.expr(parse_price_sql(formatted))
-
-
-def parse_release_month(date_text: str) -> Column:
-    return F.expr(parse_release_month_sql(date_text))
-
-
-def fold_genres(genres: str) -> Column:
-    return F.expr(fold_genres_sql(genres))

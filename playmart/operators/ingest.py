@@ -1,47 +1,48 @@
 """Ingest operators: landed JSON documents -> typed raw-table batches.
 
 Every landed input is a table of (game_id, ..., body STRING). Bodies are
-parsed with ``from_json`` and an explicit schema; records are flattened with
-built-in functions. A body that is not JSON parses to NULL (or sets the
-corrupt-record column) and is dropped as a fetch error.
+parsed once with ``from_json`` and an explicit schema, inside a generator, so
+that later rules work on the parsed value; records are flattened with
+built-in functions. A body that is not exactly one JSON document counts as a
+fetch error.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playmart import schemas
 from playmart.functions import scalars
-
-CORRUPT = "_corrupt_record"
+from playmart.functions.sqltext import date_text
 
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+def document_sql(schema: T.DataType) -> str:
+    """SQL of an array: the parsed ``body``, or empty if the body is not
+    exactly one JSON document (also when text follows a valid one).
 
-
-def parse_struct(body, schema: T.StructType):
-    """from_json in permissive mode; the corrupt-record field is set when
-    the text is not valid JSON for the schema."""
-    return F.from_json(body, _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
+    Wrapped in brackets, a body must parse as an array of one element.
+    """
+    parsed = f"from_json(concat('[', body, ']'), 'array<{schema.simpleString()}>')"
+    return f"flatten(filter(array({parsed}), a -> size(a) = 1 AND a[0] IS NOT NULL))"
 
 
-def is_valid(parsed) -> F.Column:
-    return parsed.isNotNull() & parsed[CORRUPT].isNull()
+def documents(docs: DataFrame, schema: T.DataType, *columns: str) -> DataFrame:
+    """``columns`` and the parsed ``doc`` of the valid documents."""
+    return docs.select(*columns, F.explode(F.expr(document_sql(schema))).alias("doc"))
 
 
-# A schema with only the corrupt-record field: parsing with it checks that a
-# text is JSON without building any nested value.
-_JSON_CHECK = T.StructType([T.StructField(CORRUPT, T.StringType(), True)])
+def checked_documents(docs: DataFrame, schema: T.DataType, *columns: str) -> DataFrame:
+    """``columns``, whether the body is ``valid``, and the parsed ``doc``
+    (NULL if it is not); one row per document."""
+    row = f"transform(array({document_sql(schema)}), a -> struct(size(a) = 1 AS valid, get(a, 0) AS doc))"
+    return docs.select(*columns, F.explode(F.expr(row)).alias("r")).select(*columns, "r.valid", "r.doc")
 
 
-def is_json(body) -> F.Column:
-    """True when ``body`` is a JSON object (the fetch did not fail)."""
-    return is_valid(F.from_json(body, _JSON_CHECK, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}))
+def integer(text: Column | str) -> Column:
+    """BIGINT of a JSON number or of a JSON string holding one."""
+    return F.expr(scalars.integer_sql(text))
 
 
 # --------------------------------------------------------------------------
@@ -55,13 +56,8 @@ def popular_ids(popular_docs: DataFrame) -> DataFrame:
     Keys and ``appid`` values may be strings or numbers in the source; both
     are normalised to BIGINT so the anti-join compares like with like.
     """
-    m = F.from_json("body", schemas.POPULAR_BODY)
-    return (
-        popular_docs.select(F.explode(F.map_values(m)).alias("info"))
-        .select(F.col("info.appid").cast("bigint").alias("game_id"))
-        .filter(F.col("game_id").isNotNull())
-        .distinct()
-    )
+    infos = documents(popular_docs, schemas.POPULAR_BODY).select(F.explode(F.map_values("doc")).alias("info"))
+    return infos.select(integer("info.appid").alias("game_id")).filter(F.col("game_id").isNotNull()).distinct()
 
 
 def game_candidates(known_ids: DataFrame, popular_docs: DataFrame) -> DataFrame:
@@ -88,19 +84,16 @@ def parse_review_summaries(summary_docs: DataFrame) -> DataFrame:
     """(game_id, body) -> (requested_id, game_id, positive_cnt, negative_cnt).
 
     ``requested_id`` is the id the document was fetched for; ``game_id`` is
-    the id the summary reports, which is the id the catalogue record gets.
+    the id the summary reports, which is the id the catalogue record gets. A
+    summary without an id is dropped.
     """
-    s = parse_struct(F.col("body"), schemas.REVIEW_SUMMARY_BODY)
-    return (
-        summary_docs.select(F.col("game_id").alias("requested_id"), s.alias("s"))
-        .filter(is_valid(F.col("s")))
-        .select(
-            "requested_id",
-            F.col("s.appid").alias("game_id"),
-            F.col("s.positive").alias("positive_cnt"),
-            F.col("s.negative").alias("negative_cnt"),
-        )
-    )
+    found = documents(summary_docs, schemas.REVIEW_SUMMARY_BODY, "game_id")
+    return found.select(
+        F.col("game_id").alias("requested_id"),
+        integer("doc.appid").alias("game_id"),
+        integer("doc.positive").alias("positive_cnt"),
+        integer("doc.negative").alias("negative_cnt"),
+    ).filter(F.col("game_id").isNotNull())
 
 
 def parse_app_details(details_docs: DataFrame) -> DataFrame:
@@ -112,9 +105,10 @@ def parse_app_details(details_docs: DataFrame) -> DataFrame:
     key is dropped; an empty list gives ''. Price: free -> 0/0; missing
     price or discount -> -1/0; otherwise the parsed price and the discount.
     """
-    entry = F.from_json("body", schemas.APP_DETAILS_BODY)[F.col("game_id").cast("string")]
     recs = (
-        details_docs.select("game_id", entry.alias("e"))
+        documents(details_docs, schemas.APP_DETAILS_BODY, "game_id")
+        .select("game_id", F.explode("doc").alias("key", "e"))
+        .filter("key = CAST(game_id AS STRING)")
         .selectExpr(
             "game_id",
             "e.data AS d",
@@ -129,7 +123,9 @@ def parse_app_details(details_docs: DataFrame) -> DataFrame:
         f"CASE WHEN {free} THEN 0 WHEN {missing} THEN -1 "
         f"ELSE {scalars.parse_price_sql('d.price_overview.final_formatted')} END"
     )
-    discount = f"CASE WHEN {free} OR {missing} THEN 0 ELSE d.price_overview.discount_percent END"
+    discount = (
+        f"CASE WHEN {free} OR {missing} THEN 0 ELSE {scalars.integer_sql('d.price_overview.discount_percent', 'INT')} END"
+    )
 
     def detail(expr: str, name: str) -> str:
         return f"CASE WHEN coming_soon THEN NULL ELSE {expr} END AS {name}"
@@ -162,57 +158,80 @@ def ingest_game_info(candidates: DataFrame, details_docs: DataFrame, summary_doc
 # --------------------------------------------------------------------------
 
 
-def parse_player_counts(count_docs: DataFrame) -> DataFrame:
-    """(game_id, body) -> (game_id, player_count); a document without the
-    count (or not JSON) reports 0."""
-    p = parse_struct(F.col("body"), schemas.PLAYER_COUNT_BODY)
-    count = F.when(is_valid(p), p["response"]["player_count"])
-    return count_docs.select("game_id", F.coalesce(count, F.lit(0).cast("bigint")).alias("player_count"))
+def parse_player_counts(count_docs: DataFrame, *keys: str) -> DataFrame:
+    """(game_id, body) -> (game_id, player_count), one row per game (and
+    further ``keys``): the largest count of its documents. A game whose
+    documents lack the count, or are not JSON, reports 0; documents without
+    a game id are dropped."""
+    found = checked_documents(count_docs, schemas.PLAYER_COUNT_BODY, "game_id", *keys).filter("game_id IS NOT NULL")
+    count = integer("doc.response.player_count")
+    return found.groupBy("game_id", *keys).agg(F.coalesce(F.max(count), F.lit(0).cast("bigint")).alias("player_count"))
 
 
-def ingest_game_status(review_totals: DataFrame, count_docs: DataFrame, as_of) -> DataFrame:
-    """Every known game gets a row for ``as_of``; a game without a player
-    count document gets 0 (left join, default 0)."""
-    if isinstance(as_of, (_dt.date, _dt.datetime)):
-        as_of = as_of.strftime("%Y-%m-%d")
-    counts = parse_player_counts(count_docs)
-    return review_totals.join(counts, "game_id", "left").select(
+def _status_rows(games: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
+    return games.join(counts, keys, "left").select(
         "game_id",
-        F.lit(as_of).cast("date").alias("create_dt"),
+        "create_dt",
         F.coalesce("player_count", F.lit(0).cast("bigint")).alias("user_cnt"),
         F.col("review_cnt").cast("bigint").alias("review_cnt"),
     )
 
 
+def ingest_game_status(review_totals: DataFrame, count_docs: DataFrame, as_of) -> DataFrame:
+    """Every known game gets a row for ``as_of``; a game without a player
+    count document gets 0 (left join, default 0)."""
+    games = review_totals.withColumn("create_dt", F.lit(date_text(as_of)).cast("date"))
+    return _status_rows(games, parse_player_counts(count_docs), ["game_id"])
+
+
+def ingest_status_days(review_totals: DataFrame, count_docs: DataFrame, days: list[str]) -> DataFrame:
+    """The slices of several days at once, from documents dated ``dt``."""
+    every_day = F.array(*[F.lit(d).cast("date") for d in days])
+    games = review_totals.withColumn("create_dt", F.explode(every_day))
+    counts = parse_player_counts(count_docs, "dt").withColumnRenamed("dt", "create_dt")
+    return _status_rows(games, counts, ["game_id", "create_dt"])
+
+
 # --------------------------------------------------------------------------
 # comment_data batch from review pages
 # --------------------------------------------------------------------------
 
 
-def ingest_comment_data(game_ids: DataFrame, review_pages: DataFrame) -> DataFrame:
-    """Review pages (game_id, language, page_no, body) -> one row per review.
+def parse_review_pages(review_pages: DataFrame) -> DataFrame:
+    """(game_id, language, valid, reviews) of every page, parsed once."""
+    parsed = checked_documents(review_pages, schemas.REVIEW_PAGE_BODY, "game_id", "language")
+    return parsed.select("game_id", "language", "valid", F.col("doc.reviews").alias("reviews"))
+
+
+def usable_games(parsed_pages: DataFrame) -> DataFrame:
+    """Games whose pages are all valid and which have pages in every fetched
+    language; one partial count per game before the shuffle."""
+    every = " AND ".join(f"bool_or(language = '{code}')" for code in schemas.LANGUAGES)
+    per_game = parsed_pages.groupBy("game_id").agg(F.expr(f"bool_and(valid) AND {every}").alias("usable"))
+    return per_game.filter("usable").select("game_id")
 
-    A game is skipped entirely if any of its pages is not JSON (its pages are
-    fetched together). That check only tokenizes the text (no values are
-    built) and yields small (game) rows; pages are filtered with an
-    anti-join before they are parsed and exploded, so exploded reviews are
-    never shuffled. A page that is JSON but not a review page contributes no
-    reviews. Languages are concatenated as a bag: a review on both pages
-    yields two rows.
+
+def ingest_comment_data(game_ids: DataFrame, parsed_pages: DataFrame) -> DataFrame:
+    """Pages of ``parse_review_pages`` -> one row per review.
+
+    The pages of a game are fetched together: a game is skipped entirely if
+    one of its pages is not JSON or a language has no page. The check reads
+    two small columns, so pass pages that were written once (the pipeline
+    stages them); pages are filtered before they are exploded, so exploded
+    reviews are never shuffled. A page that is JSON but not a review page
+    contributes no reviews. Languages are concatenated as a bag: a review on
+    both pages yields two rows.
     """
-    pages = review_pages.join(game_ids.select("game_id"), "game_id", "left_semi")
-    bad_games = pages.filter(~is_json(F.col("body"))).select("game_id").distinct()
-    good = pages.join(bad_games, "game_id", "left_anti")
-    reviews = F.from_json("body", schemas.REVIEW_PAGE_BODY)["reviews"]
-    r = F.col("r")
-    return good.select("game_id", "language", F.explode(reviews).alias("r")).select(
-        r["recommendationid"].alias("comment_id"),
+    pages = parsed_pages.join(game_ids.select("game_id"), "game_id", "left_semi")
+    good = pages.join(usable_games(pages.select("game_id", "language", "valid")), "game_id", "left_semi")
+    return good.select("game_id", "language", F.explode("reviews").alias("r")).select(
+        F.col("r.recommendationid").alias("comment_id"),
         F.col("game_id").cast("bigint").alias("game_id"),
-        r["author"]["steamid"].alias("user_id"),
-        r["author"]["playtime_forever"].alias("total_playtime"),
-        r["author"]["playtime_last_two_weeks"].alias("last_two_weeks_playtime"),
+        F.col("r.author.steamid").alias("user_id"),
+        integer("r.author.playtime_forever").alias("total_playtime"),
+        integer("r.author.playtime_last_two_weeks").alias("last_two_weeks_playtime"),
         scalars.clean_review_text("r.review").alias("comment_content"),
-        F.col("language"),
+        "language",
     )
 
 
@@ -231,11 +250,11 @@ def details_report(details_docs: DataFrame) -> DataFrame:
     """App-details documents: total, not JSON, no entry under their own id,
     rejected (not a successful game), coming soon (kept with id only),
     dropped for a missing genres key, unparsable price, unparsable date."""
-    entry = F.from_json("body", schemas.APP_DETAILS_BODY)[F.col("game_id").cast("string")]
-    flags = details_docs.select(is_json(F.col("body")).alias("json"), entry.alias("e")).selectExpr(
+    parsed = checked_documents(details_docs, schemas.APP_DETAILS_BODY, "game_id")
+    flags = parsed.selectExpr("valid AS json", "doc[CAST(game_id AS STRING)] AS e").selectExpr(
         "json",
         "e IS NOT NULL AS has_entry",
-        "e IS NOT NULL AND coalesce(e.success, false) AND e.data.type = 'game' AS accepted",
+        "e IS NOT NULL AND coalesce(e.success, false) AND coalesce(e.data.type = 'game', false) AS accepted",
         "coalesce(e.data.release_date.coming_soon, false) AS coming_soon",
         "e.data AS d",
     )
@@ -263,28 +282,31 @@ def details_report(details_docs: DataFrame) -> DataFrame:
 def player_counts_report(count_docs: DataFrame) -> DataFrame:
     """Player-count documents: total, not JSON, JSON without a count (both
     give 0 players)."""
-    p = parse_struct(F.col("body"), schemas.PLAYER_COUNT_BODY)
-    counts = count_docs.select(is_valid(p).alias("ok"), p["response"]["player_count"].alias("n")).selectExpr(
+    parsed = checked_documents(count_docs, schemas.PLAYER_COUNT_BODY, "game_id")
+    counts = parsed.select(F.col("valid").alias("ok"), integer("doc.response.player_count").alias("n")).selectExpr(
         "count(1) AS documents", "count_if(NOT ok) AS not_json", "count_if(ok AND n IS NULL) AS no_count"
     )
     return _metric_rows("player_counts", counts, ["documents", "not_json", "no_count"])
 
 
-def review_pages_report(review_pages: DataFrame) -> DataFrame:
-    """Review pages: games with pages, pages that are not JSON, and games
-    dropped for such a page (a partial count per game before the shuffle)."""
-    flags = review_pages.select("game_id", is_json(F.col("body")).alias("json"))
-    per_game = flags.groupBy("game_id").agg(F.expr("count_if(NOT json) AS bad"))
+def review_pages_report(parsed_pages: DataFrame) -> DataFrame:
+    """Parsed review pages: games with pages, pages that are not JSON, and
+    games dropped for such a page or for a language without a page (a partial
+    count per game before the shuffle)."""
+    every = " AND ".join(f"bool_or(language = '{code}')" for code in schemas.LANGUAGES)
+    per_game = parsed_pages.groupBy("game_id").agg(
+        F.expr("count_if(NOT valid)").alias("bad"), F.expr(f"bool_and(valid) AND {every}").alias("usable")
+    )
     counts = per_game.selectExpr(
-        "count(1) AS games", "coalesce(sum(bad), 0) AS not_json", "count_if(bad > 0) AS games_dropped"
+        "count(1) AS games", "coalesce(sum(bad), 0) AS not_json", "count_if(NOT usable) AS games_dropped"
     )
     return _metric_rows("review_pages", counts, ["games", "not_json", "games_dropped"])
 
 
-def ingest_report(details_docs: DataFrame, count_docs: DataFrame, review_pages: DataFrame) -> DataFrame:
+def ingest_report(details_docs: DataFrame, count_docs: DataFrame, parsed_pages: DataFrame) -> DataFrame:
     """(source, metric, value) rows for the three document sources."""
     return (
         details_report(details_docs)
         .unionByName(player_counts_report(count_docs))
-        .unionByName(review_pages_report(review_pages))
+        .unionByName(review_pages_report(parsed_pages))
     )

@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from playmart import schemas
+from playmart.functions.sqltext import date_text
 from playmart.operators import ingest, quality
 from playmart.plans import catalog
 from playmart.sources import warehouse
@@ -41,10 +42,6 @@ class RunResult:
     ingest_report: dict[str, int] = field(default_factory=dict)
 
 
-def _date_text(as_of) -> str:
-    return as_of.strftime("%Y-%m-%d") if isinstance(as_of, (_dt.date, _dt.datetime)) else str(as_of)
-
-
 def write_landed(docs: dict[str, DataFrame], landing_dir: str, as_of) -> dict[str, str]:
     """Store landed documents under their dated keys."""
     return {name: warehouse.land(df, landing_dir, name, as_of) for name, df in docs.items()}
@@ -56,8 +53,8 @@ def read_landed(spark: SparkSession, landing_dir: str, as_of) -> dict[str, DataF
 
 class Warehouse:
     """Table locations of one warehouse folder. Full-refresh tables are
-    catalog tables pointing at a version folder; the status table is a
-    folder partitioned by day."""
+    version folders with a log of which is current; the status table is a
+    folder partitioned by day. Nothing depends on the session's catalog."""
 
     def __init__(self, spark: SparkSession, root: str, prefix: str = "pm_"):
         self.spark = spark
@@ -68,10 +65,10 @@ class Warehouse:
         return f"{self.prefix}{table}"
 
     def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(self.name(table))
+        return warehouse.current_path(self.spark, self.name(table), f"{self.root}/tables") is not None
 
     def table(self, table: str) -> DataFrame:
-        return self.spark.table(self.name(table))
+        return warehouse.read_current(self.spark, self.name(table), f"{self.root}/tables")
 
     def replace(self, table: str, df: DataFrame, run_id: str) -> str:
         return warehouse.full_refresh(self.spark, df, self.name(table), f"{self.root}/tables", run_id)
@@ -104,9 +101,15 @@ def ingest_status(wh: Warehouse, landed: dict[str, DataFrame], as_of: str) -> st
     return warehouse.write_slice(staged_batch, wh.status_path, as_of)
 
 
-def ingest_reviews(wh: Warehouse, landed: dict[str, DataFrame], run_id: str) -> str:
+def stage_review_pages(wh: Warehouse, landed: dict[str, DataFrame], as_of: str) -> DataFrame:
+    """The day's review pages, parsed once and staged under their dated key."""
+    path = warehouse.land(ingest.parse_review_pages(landed["review_pages"]), f"{wh.root}/staging", "review_pages", as_of)
+    return wh.spark.read.parquet(path)
+
+
+def ingest_reviews(wh: Warehouse, parsed_pages: DataFrame, run_id: str) -> str:
     ids = wh.table("game_info").select("game_id")
-    return wh.replace("comment_data", ingest.ingest_comment_data(ids, landed["review_pages"]), run_id)
+    return wh.replace("comment_data", ingest.ingest_comment_data(ids, parsed_pages), run_id)
 
 
 def raw_tables(wh: Warehouse) -> dict[str, DataFrame]:
@@ -130,7 +133,7 @@ def build_models(wh: Warehouse, result: RunResult, run_id: str) -> RunResult:
 
 
 def run_pipeline(spark: SparkSession, landing_dir: str, warehouse_dir: str, as_of, prefix: str = "pm_") -> RunResult:
-    as_of = _date_text(as_of)
+    as_of = date_text(as_of)
     run_id = _run_id(as_of)
     wh = Warehouse(spark, warehouse_dir, prefix)
     landed = read_landed(spark, landing_dir, as_of)
@@ -138,9 +141,10 @@ def run_pipeline(spark: SparkSession, landing_dir: str, warehouse_dir: str, as_o
 
     result.tables["game_info"] = ingest_catalogue(wh, landed, run_id)
     result.tables["game_status"] = ingest_status(wh, landed, as_of)
-    result.tables["comment_data"] = ingest_reviews(wh, landed, run_id)
+    pages = stage_review_pages(wh, landed, as_of)
+    result.tables["comment_data"] = ingest_reviews(wh, pages, run_id)
     # documents dropped or defaulted by the ingest rules (a few counts)
-    report = ingest.ingest_report(landed["app_details"], landed["player_counts"], landed["review_pages"])
+    report = ingest.ingest_report(landed["app_details"], landed["player_counts"], pages)
     result.ingest_report = {f"{r['source']}.{r['metric']}": r["value"] for r in report.collect()}
     return build_models(wh, result, run_id)
 
@@ -158,22 +162,31 @@ _TABLE_SCHEMAS = {"game_info": schemas.GAME_INFO, "game_status": schemas.GAME_ST
 
 def staged_csv_key(stage_dir: str, table: str, as_of) -> str:
     folder, name = STAGED_CSV[table]
-    return f"{stage_dir.rstrip('/')}/{folder}/{name}_{_date_text(as_of)}.csv"
+    return f"{stage_dir.rstrip('/')}/{folder}/{name}_{date_text(as_of)}.csv"
+
+
+def write_staged_day(tables: dict[str, DataFrame], stage_dir: str, as_of) -> dict[str, str]:
+    """Stage one day's batches as CSV under their dated keys, columns in
+    table order; a re-run of the day replaces them."""
+    return {
+        name: warehouse.write_csv(df, staged_csv_key(stage_dir, name, as_of), schemas.COLUMNS[name])
+        for name, df in tables.items()
+    }
 
 
 def load_staged_day(spark: SparkSession, stage_dir: str, warehouse_dir: str, as_of, prefix: str = "pm_") -> RunResult:
-    """Load one day's staged CSV batches (read by column position, integer
-    columns written as floats accepted): catalogue and reviews by full
+    """Load one day's staged CSV batches (read by column position, integers
+    written as floats accepted): catalogue and reviews by full
     refresh, the status slice by date-slice replace; then the gate and the
     models, as in ``run_pipeline``."""
-    as_of = _date_text(as_of)
+    as_of = date_text(as_of)
     run_id = _run_id(as_of)
     wh = Warehouse(spark, warehouse_dir, prefix)
     result = RunResult(as_of)
 
     def staged(table: str) -> DataFrame:
         path = staged_csv_key(stage_dir, table, as_of)
-        return warehouse.read_staged_csv(spark, path, _TABLE_SCHEMAS[table], integers_as_decimals=True)
+        return warehouse.read_staged_csv(spark, path, _TABLE_SCHEMAS[table])
 
     result.tables["game_info"] = wh.replace("game_info", staged("game_info"), run_id)
     result.tables["game_status"] = warehouse.write_slice(staged("game_status"), wh.status_path, as_of)

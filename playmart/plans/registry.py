@@ -8,11 +8,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from playmart import schemas
 from playmart.functions import scalars
 from playmart.operators import dashboard, ingest, models, quality
-from playmart.plans import oracle
+from playmart.plans import oracle, pipeline
 from playmart.session import scratch_path
 from playmart.sources import driver, landing, warehouse
 
@@ -20,6 +21,12 @@ from playmart.sources import driver, landing, warehouse
 # inside the span of the driver's event table).
 AS_OF = "2024-01-15"
 
+# Names with line breaks, quotes and commas for the CSV round trip.
+CSV_NAME = (
+    "CASE game_id % 4 WHEN 0 THEN game_name WHEN 1 THEN concat(game_name, '\\n', 'two') "
+    "WHEN 2 THEN concat(game_name, '\\r', ', \"b\"') ELSE concat('\\r\\n', game_name, ' ') END"
+)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -74,9 +81,16 @@ def _status_batch(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.ingest_game_status(totals, _landed(spark, sf, "player_counts"), AS_OF)
 
 
+def _parsed_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Review pages landed and parsed once, as the pipeline stages them."""
+    path = scratch_path(spark, "review-pages")
+    ingest.parse_review_pages(_landed(spark, sf, "review_pages")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _parse_reviews(spark: SparkSession, sf: str) -> DataFrame:
     ids = driver.game_info(spark, sf).select("game_id")
-    return ingest.ingest_comment_data(ids, _landed(spark, sf, "review_pages"))
+    return ingest.ingest_comment_data(ids, _parsed_pages(spark, sf))
 
 
 def _status_slice_replace(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,18 +98,31 @@ def _status_slice_replace(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _load_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    """I1 batch -> new version folder -> catalog pointer -> read back."""
+    """Two full refreshes, the second from the table itself -> read back."""
     root = scratch_path(spark, "warehouse")
-    table = "game_info_" + root.rsplit("-", 1)[-1]
-    warehouse.full_refresh(spark, _parse_game_details(spark, sf), table, root)
-    return spark.table(table)
+    warehouse.full_refresh(spark, _parse_game_details(spark, sf), "game_info", root)
+    warehouse.full_refresh(spark, warehouse.read_current(spark, "game_info", root), "game_info", root)
+    return warehouse.read_current(spark, "game_info", root)
+
+
+def _status_slice_storage(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored table: all days, then the day's slice loaded twice."""
+    path = scratch_path(spark, "game_status")
+    warehouse.write_days(driver.game_status(spark, sf), path)
+    staged = scratch_path(spark, "slice")
+    _status_batch(spark, sf).write.parquet(staged)
+    for _ in range(2):
+        warehouse.write_slice(spark.read.schema(schemas.GAME_STATUS).parquet(staged), path, AS_OF)
+    return warehouse.read_partitioned(spark, path, schemas.GAME_STATUS)
 
 
 def _csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    """game_info -> staged CSV (header, chosen order) -> read by position."""
-    path = scratch_path(spark, "stage-game_info")
-    warehouse.write_csv(driver.game_info(spark, sf), path, schemas.COLUMNS["game_info"])
-    return warehouse.read_staged_csv(spark, path, schemas.GAME_INFO)
+    """game_info, with line breaks in names -> the day's staged CSV key ->
+    read by position."""
+    stage = scratch_path(spark, "stage")
+    names = driver.game_info(spark, sf).withColumn("game_name", F.expr(CSV_NAME))
+    pipeline.write_staged_day({"game_info": names}, stage, AS_OF)
+    return warehouse.read_staged_csv(spark, pipeline.staged_csv_key(stage, "game_info", AS_OF), schemas.GAME_INFO)
 
 
 QUERIES: dict[str, Query] = {
@@ -107,15 +134,11 @@ QUERIES: dict[str, Query] = {
     "fact_game_playtime": _fact,
     # M5
     "analytics_genre_comment_ratio": _genre_ratio,
-    "analytics_genre_comment_ratio_union": lambda spark, sf: models.analytics_genre_comment_ratio_union(
-        driver.game_info(spark, sf)
-    ),
     # M6
     "analytics_genre_playtime": lambda spark, sf: models.analytics_genre_playtime(_fact(spark, sf)),
     "analytics_genre_playtime_filtered": lambda spark, sf: models.analytics_genre_playtime(
         _fact(spark, sf), filter_first_label=True
     ),
-    "analytics_genre_playtime_union": lambda spark, sf: models.analytics_genre_playtime_union(_fact(spark, sf)),
     # M7
     "analytics_release_date": lambda spark, sf: models.analytics_release_date(
         driver.game_info(spark, sf), driver.comment_data(spark, sf), driver.game_status(spark, sf)
@@ -168,13 +191,14 @@ QUERIES: dict[str, Query] = {
     "parse_reviews": _parse_reviews,
     # S12, F9
     "status_slice_replace": _status_slice_replace,
+    "status_slice_storage": _status_slice_storage,
     # S11, S13
     "load_full_refresh": _load_full_refresh,
     # S8, S9
     "csv_round_trip": _csv_round_trip,
     # Q12: counts of documents each ingest rule dropped or defaulted
     "ingest_report": lambda spark, sf: ingest.ingest_report(
-        _landed(spark, sf, "app_details"), _landed(spark, sf, "player_counts"), _landed(spark, sf, "review_pages")
+        _landed(spark, sf, "app_details"), _landed(spark, sf, "player_counts"), _parsed_pages(spark, sf)
     ),
 }
 
@@ -184,10 +208,8 @@ ORACLE: dict[str, str] = {
     "src_comment_data": oracle.src_sql("comment_data"),
     "fact_game_playtime": oracle.with_views("SELECT * FROM fact", "fact"),
     "analytics_genre_comment_ratio": oracle.genre_comment_ratio_sql(),
-    "analytics_genre_comment_ratio_union": oracle.genre_comment_ratio_sql(),
     "analytics_genre_playtime": oracle.genre_playtime_sql(),
     "analytics_genre_playtime_filtered": oracle.genre_playtime_sql(filter_first_label=True),
-    "analytics_genre_playtime_union": oracle.genre_playtime_sql(),
     "analytics_release_date": oracle.RELEASE_DATE_SQL,
     "analytics_usercnt_price": oracle.USERCNT_PRICE_SQL,
     "latest_status_rows": oracle.LATEST_STATUS_SQL,
@@ -204,17 +226,16 @@ ORACLE: dict[str, str] = {
     "game_candidates": oracle.GAME_CANDIDATES_SQL,
     "popular_ids": oracle.POPULAR_IDS_SQL,
     "app_details": oracle.APP_DETAILS_SQL,
-    "player_counts": "WITH player_counts AS (" + oracle.PLAYER_COUNTS_VIEW + "\n)\n"
-    "SELECT game_id, coalesce(player_count, CAST(0 AS BIGINT)) AS player_count FROM player_counts",
-    "review_summaries": oracle.with_views(
-        "SELECT game_id AS requested_id, game_id, pos AS positive_cnt, neg AS negative_cnt FROM review_counts",
-        "review_counts",
-    ),
+    "player_counts": "WITH player_counts AS ("
+    + oracle.PLAYER_COUNTS_VIEW
+    + "\n)\nSELECT game_id, CAST(player_count AS BIGINT) AS player_count FROM player_counts",
+    "review_summaries": oracle.REVIEW_SUMMARIES_SQL,
     "parse_game_details": oracle.PARSE_GAME_DETAILS_SQL,
     "parse_player_counts": oracle.parse_player_counts_sql(AS_OF),
     "parse_reviews": oracle.PARSE_REVIEWS_SQL,
     "status_slice_replace": oracle.status_slice_replace_sql(AS_OF),
+    "status_slice_storage": oracle.status_slice_replace_sql(AS_OF),
     "load_full_refresh": oracle.PARSE_GAME_DETAILS_SQL,
-    "csv_round_trip": oracle.src_sql("game_info"),
+    "csv_round_trip": oracle.CSV_ROUND_TRIP_SQL,
     "ingest_report": oracle.INGEST_REPORT_SQL,
 }

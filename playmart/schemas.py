@@ -70,7 +70,8 @@ COLUMNS = {
 # Landed documents: every landed input is a table (game_id, ..., body STRING)
 # whose body is parsed with one of these schemas.
 # The JSON field names below are those of the source
-# documents and must match them exactly.
+# documents and must match them exactly. Numbers are declared STRING and cast
+# afterwards: the source writes some of them as JSON strings.
 # --------------------------------------------------------------------------
 
 APP_DETAILS_ENTRY = T.StructType(
@@ -88,7 +89,7 @@ APP_DETAILS_ENTRY = T.StructType(
                         T.StructType(
                             [
                                 T.StructField("final_formatted", T.StringType(), True),
-                                T.StructField("discount_percent", T.IntegerType(), True),
+                                T.StructField("discount_percent", T.StringType(), True),
                             ]
                         ),
                         True,
@@ -128,9 +129,9 @@ APP_DETAILS_BODY = T.MapType(T.StringType(), APP_DETAILS_ENTRY)
 
 REVIEW_SUMMARY_BODY = T.StructType(
     [
-        T.StructField("appid", T.LongType(), True),
-        T.StructField("positive", T.LongType(), True),
-        T.StructField("negative", T.LongType(), True),
+        T.StructField("appid", T.StringType(), True),
+        T.StructField("positive", T.StringType(), True),
+        T.StructField("negative", T.StringType(), True),
     ]
 )
 
@@ -138,7 +139,7 @@ PLAYER_COUNT_BODY = T.StructType(
     [
         T.StructField(
             "response",
-            T.StructType([T.StructField("player_count", T.LongType(), True)]),
+            T.StructType([T.StructField("player_count", T.StringType(), True)]),
             True,
         )
     ]
@@ -157,8 +158,8 @@ REVIEW_PAGE_BODY = T.StructType(
                             T.StructType(
                                 [
                                     T.StructField("steamid", T.StringType(), True),
-                                    T.StructField("playtime_forever", T.LongType(), True),
-                                    T.StructField("playtime_last_two_weeks", T.LongType(), True),
+                                    T.StructField("playtime_forever", T.StringType(), True),
+                                    T.StructField("playtime_last_two_weeks", T.StringType(), True),
                                 ]
                             ),
                             True,
@@ -175,7 +176,7 @@ REVIEW_PAGE_BODY = T.StructType(
 # The popular-ids document maps an id (string key) to an info struct.
 POPULAR_BODY = T.MapType(
     T.StringType(),
-    T.StructType([T.StructField("appid", T.LongType(), True), T.StructField("name", T.StringType(), True)]),
+    T.StructType([T.StructField("appid", T.StringType(), True), T.StructField("name", T.StringType(), True)]),
 )
 
 # --------------------------------------------------------------------------

@@ -7,8 +7,6 @@ selected, so the parquet scans read just those (``ReadSchema`` in the plan).
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,32 +32,12 @@ DRIVER_SCHEMAS = {
 }
 
 
-def view_name(sf_dir: str, name: str) -> str:
-    digest = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    return f"driver_{digest}_{name}"
-
-
-def registered_view(spark: SparkSession, view: str, build) -> DataFrame:
-    """The temp view ``view``, created from ``build()`` on first use."""
-    if not spark.catalog.tableExists(view):
-        build().createOrReplaceTempView(view)
-    return spark.table(view)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, registered once per session as a temporary view.
-
-    The driver tables are immutable inputs, so the first read registers the
-    scan (declared schema, file listing done once) and later reads resolve
-    the view by name, as reads of catalog tables do.
-    """
+    """A driver table, with its declared schema where there is one. Files are
+    listed by every call, so a query sees what is under the path now."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     schema = DRIVER_SCHEMAS.get(name)
-
-    def build() -> DataFrame:
-        return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
-
-    return registered_view(spark, view_name(sf_dir, name), build)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 # Fixed values of the adapter (FIXTURES.md §3): genre words chosen by part
@@ -93,7 +71,8 @@ GAME_INFO_EXPRS = [
     "p_name AS game_name",
     "CASE WHEN p_partkey % 37 = 0 THEN -1 WHEN p_partkey % 11 = 0 THEN 0 "
     "ELSE CAST(floor(p_retailprice) AS INT) * 10 END AS price",
-    "CASE WHEN p_partkey % 37 = 0 OR p_partkey % 11 = 0 THEN 0 ELSE CAST((p_partkey % 5) * 15 AS INT) END "
+    "CASE WHEN p_partkey % 37 = 0 OR p_partkey % 11 = 0 THEN 0 WHEN p_partkey % 83 = 0 THEN 100 "
+    "ELSE CAST((p_partkey % 5) * 15 AS INT) END "
     "AS discount_percentage",
     "CASE WHEN p_partkey % 23 = 0 THEN CAST(NULL AS STRING) WHEN p_partkey % 29 = 0 THEN '2023' "
     "ELSE concat('20', lpad(CAST(10 + p_partkey % 14 AS STRING), 2, '0'), '-', "
@@ -132,17 +111,10 @@ def review_counts(lineitem: DataFrame) -> DataFrame:
 
 
 def game_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalogue view over part and lineitem (registered once per
-    session; a lazy view, Catalyst optimizes through it)."""
-
-    def build() -> DataFrame:
-        # no explicit projection needed: Catalyst prunes both scans to the
-        # columns the expressions use
-        part = read_table(spark, sf_dir, "part")
-        counts = review_counts(read_table(spark, sf_dir, "lineitem"))
-        return game_info_from(part, counts)
-
-    return registered_view(spark, view_name(sf_dir, "game_info"), build)
+    """The catalogue view over part and lineitem."""
+    # no explicit projection needed: Catalyst prunes both scans to the
+    # columns the expressions use
+    return game_info_from(read_table(spark, sf_dir, "part"), review_counts(read_table(spark, sf_dir, "lineitem")))
 
 
 def game_info_from(part: DataFrame, counts: DataFrame) -> DataFrame:
@@ -152,25 +124,31 @@ def game_info_from(part: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def game_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily status view over events (registered once per session)."""
-    return registered_view(
-        spark, view_name(sf_dir, "game_status"), lambda: game_status_from(read_table(spark, sf_dir, "events"))
-    )
+    """The daily status view over events."""
+    return game_status_from(read_table(spark, sf_dir, "events"))
 
 
 def game_status_from(events: DataFrame) -> DataFrame:
-    """One snapshot per (game, day): players = sum of whole event values."""
-    return events.groupBy(F.expr("user_id AS game_id"), F.expr("CAST(ts AS DATE) AS create_dt")).agg(
-        F.expr("sum(CAST(floor(value) AS BIGINT))").alias("user_cnt"),
+    """One snapshot per (game, day): players = sum of whole event values.
+
+    Some games have each snapshot twice, with one player more (repeated and
+    tied days); some have no date on the first of a month.
+    """
+    per_day = events.groupBy(F.expr("user_id AS game_id"), F.expr("CAST(ts AS DATE) AS day")).agg(
+        F.expr("sum(CAST(floor(value) AS BIGINT))").alias("players"),
         F.expr("count(1)").alias("review_cnt"),
     )
+    return per_day.selectExpr(
+        "game_id",
+        "CASE WHEN game_id % 97 = 0 AND day(day) = 1 THEN CAST(NULL AS DATE) ELSE day END AS create_dt",
+        "explode(CASE WHEN game_id % 89 = 0 THEN array(players, players + 1) ELSE array(players) END) AS user_cnt",
+        "review_cnt",
+    )
 
 
 def comment_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The review view over lineitem (registered once per session)."""
-    return registered_view(
-        spark, view_name(sf_dir, "comment_data"), lambda: comment_data_from(read_table(spark, sf_dir, "lineitem"))
-    )
+    """The review view over lineitem."""
+    return comment_data_from(read_table(spark, sf_dir, "lineitem"))
 
 
 def comment_data_from(lineitem: DataFrame) -> DataFrame:

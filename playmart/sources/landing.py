@@ -6,6 +6,10 @@ parse inputs whose size grows with the data. Each builder emits one bounded
 document per key (a game, or a bounded page of a game's reviews), never a
 whole group in one row.
 
+Games of chosen id residues get the documents the ingest rules are about:
+bodies that are not JSON, text after a valid document, entries under another
+id, missing pages, a second count document, numbers written as strings.
+
 Readers for landed documents written by someone else are at the bottom:
 they expect a parquet or JSON-lines table with a ``body`` string column.
 """
@@ -17,11 +21,14 @@ from pyspark.sql import functions as F
 
 from playmart.sources import driver
 
-# Largest number of reviews on one page: reviews of one game and language
-# among this many consecutive input rows form a page, so a page never holds
-# more, however many reviews (or copies of one review) a game has.
+# Reviews on one page, on average, of a game and language with more of them.
 REVIEW_PAGE_ROWS = 1000
 
+# Apps on one popular-games document, at most.
+POPULAR_PAGE_IDS = 500
+
+NOT_JSON = "<html>busy</html>"
+
 # Genre descriptions as the store writes them (with spaces),
 # by part type and by the last word of the part name.
 TYPE_GENRE_DESCRIPTION = [
@@ -72,7 +79,10 @@ def app_details_docs(part: DataFrame) -> DataFrame:
     price_overview = F.when(pk % 37 == 0, F.lit(None)).otherwise(
         F.struct(
             formatted.alias("final_formatted"),
-            F.when(pk % 31 == 0, F.lit(None).cast("int")).otherwise(((pk % 5) * 15).cast("int")).alias("discount_percent"),
+            F.when(pk % 31 == 0, F.lit(None).cast("string"))
+            .when(pk % 83 == 0, F.lit("100"))
+            .otherwise(((pk % 5) * 15).cast("string"))
+            .alias("discount_percent"),
         )
     )
     first = _case(TYPE_GENRE_DESCRIPTION, lambda t: F.col("p_type") == t, TYPE_GENRE_DESCRIPTION_DEFAULT)
@@ -97,85 +107,110 @@ def app_details_docs(part: DataFrame) -> DataFrame:
         genres.alias("genres"),
     )
     entry = F.struct((pk % 53 != 0).alias("success"), data.alias("data"))
-    return part.select(pk.alias("game_id"), F.to_json(F.create_map(pk.cast("string"), entry)).alias("body"))
+    key = F.when(pk % 73 == 0, (pk + 1).cast("string")).otherwise(pk.cast("string"))
+    text = F.to_json(F.create_map(key, entry))
+    # two of three documents write the discount as a number
+    number = F.regexp_replace(text, r'"discount_percent":"(\d+)"', r'"discount_percent":$1')
+    body = (
+        F.when(pk % 67 == 0, F.lit(NOT_JSON))
+        .when(pk % 71 == 0, F.concat(text, F.lit(" <html>")))
+        .when(pk % 3 == 0, text)
+        .otherwise(number)
+    )
+    return part.select(pk.alias("game_id"), body.alias("body"))
 
 
 def review_summary_docs(lineitem: DataFrame) -> DataFrame:
-    """One review-summary document per part with line counts."""
+    """One review-summary document per part with line counts. Some write the
+    counts as strings, some lack the id."""
     counts = driver.review_counts(lineitem)
-    return counts.select(
-        "game_id",
-        F.to_json(
-            F.struct(F.col("game_id").alias("appid"), F.col("pos").alias("positive"), F.col("neg").alias("negative"))
-        ).alias("body"),
+    summary = F.struct(
+        F.when(F.col("game_id") % 101 != 0, F.col("game_id")).alias("appid"),
+        F.col("pos").cast("string").alias("positive"),
+        F.col("neg").alias("negative"),
     )
+    return counts.select("game_id", F.to_json(summary).alias("body"))
 
 
 def player_count_docs(events: DataFrame) -> DataFrame:
-    """One current-player document per game: the sum of whole event values.
+    """Current-player documents: the sum of whole event values of a game.
 
-    Games whose id is a multiple of 7 answer without a count.
+    Some games answer without a count, some with text that is not JSON, and
+    some have a second document with one player less.
     """
-    per_game = events.groupBy(F.col("user_id").alias("game_id")).agg(
-        F.sum(F.floor("value").cast("bigint")).alias("player_count")
+    per_game = events.filter("user_id IS NOT NULL").groupBy(F.col("user_id").alias("game_id")).agg(
+        F.sum(F.floor("value").cast("bigint")).alias("n")
     )
     # a NULL field is left out of the JSON text: {"response": {}}
-    count = F.when(F.col("game_id") % 7 != 0, F.col("player_count"))
-    response = F.struct(count.alias("player_count"))
-    return per_game.select("game_id", F.to_json(F.struct(response.alias("response"))).alias("body"))
+    document = "to_json(struct(struct(CASE WHEN game_id % 7 <> 0 THEN {n} END AS player_count) AS response))"
+    first = f"CASE WHEN game_id % 13 = 0 THEN '{NOT_JSON}' ELSE {document.format(n='n')} END"
+    second = document.format(n="CAST(n - 1 AS STRING)")
+    return per_game.selectExpr(
+        "game_id", f"explode(CASE WHEN game_id % 9 = 0 THEN array({first}, {second}) ELSE array({first}) END) AS body"
+    )
 
 
 def review_page_docs(lineitem: DataFrame) -> DataFrame:
     """Review pages per (game, language, page): each line item is a review.
 
-    A page groups the game's lines among a block of REVIEW_PAGE_ROWS
-    consecutive input rows (row ids are unique per input split and stable on
-    recomputation of a file scan), so no page exceeds REVIEW_PAGE_ROWS
-    reviews before collect_list, even when one review is copied many times.
-    Review text carries a newline or a comma between its two words.
+    A game's reviews in a language are dealt over as many pages as they fill,
+    by a hash of the review and its row (stable on recomputation of a file
+    scan), so a page stays bounded, however many reviews or copies of one
+    review a game has. A language without reviews has an empty page, except
+    for games that lack their English pages altogether; some games have a
+    page that is not JSON or has text after its document. Review text
+    carries a newline or a comma between its two words.
     """
     li = lineitem.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus"
-    )
+        F.col("l_partkey").alias("game_id"),
+        F.expr("CASE WHEN l_linestatus = 'O' THEN 'KOR' ELSE 'ENG' END").alias("language"),
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus",
+        F.xxhash64("l_orderkey", "l_linenumber", F.monotonically_increasing_id()).alias("deal"),
+    )
+    sizes = li.groupBy("game_id", "language").agg(F.expr(f"ceil(count(1) / {REVIEW_PAGE_ROWS})").alias("pages"))
     sep = F.when(F.col("l_linenumber") % 2 == 0, F.lit("\n")).otherwise(F.lit(","))
     review = F.struct(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("recommendationid"),
         F.struct(
             F.col("l_suppkey").cast("string").alias("steamid"),
-            F.floor("l_extendedprice").cast("bigint").alias("playtime_forever"),
+            F.floor("l_extendedprice").cast("string").alias("playtime_forever"),
             F.floor("l_quantity").cast("bigint").alias("playtime_last_two_weeks"),
         ).alias("author"),
         F.concat(F.col("l_returnflag"), sep, F.col("l_linestatus")).alias("review"),
     )
-    language = F.when(F.col("l_linestatus") == "O", F.lit("KOR")).otherwise(F.lit("ENG"))
-    return (
-        li.groupBy(
-            F.col("l_partkey").alias("game_id"),
-            language.alias("language"),
-            F.floor(F.monotonically_increasing_id() / REVIEW_PAGE_ROWS).alias("page_no"),
-        )
+    pages = (
+        li.join(sizes, ["game_id", "language"])
+        .groupBy("game_id", "language", F.pmod("deal", "pages").alias("page_no"))
         .agg(F.collect_list(review).alias("reviews"))
         .select("game_id", "language", "page_no", F.to_json(F.struct("reviews")).alias("body"))
     )
-
-
-# Entries on one popular-games list (the list of the most active apps).
-POPULAR_TOP = 100
+    empty = '{"reviews":[]}'
+    extra = sizes.groupBy("game_id").agg(F.collect_set("language").alias("have"))  # at most both languages
+    extra = extra.selectExpr(
+        "game_id",
+        "inline(concat("
+        f"transform(array_except(array('KOR', 'ENG'), have), l -> struct(l AS language, -1L AS page_no, '{empty}' AS body)), "
+        f"CASE WHEN game_id % 71 = 0 THEN array(struct('KOR' AS language, -2L AS page_no, '{NOT_JSON}' AS body)) ELSE array() END, "
+        f"CASE WHEN game_id % 73 = 0 THEN array(struct('ENG' AS language, -2L AS page_no, '{empty} <html>' AS body)) ELSE array() END))",
+    )
+    return pages.unionByName(extra).filter("NOT (game_id % 67 = 0 AND language = 'ENG')")
 
 
 def popular_docs(events: DataFrame) -> DataFrame:
-    """One popular-games document per day: the POPULAR_TOP most active apps
-    of that day (most events, then lowest id) as {"<id>": {"appid": id,
-    "name": ...}}, with id = 17 * user id, so some ids are new to the
-    catalogue. The per-day top list is a row_number() <= POPULAR_TOP filter
-    (partial and final group limits), and a document collects at most
-    POPULAR_TOP entries."""
-    per_app = events.groupBy(F.expr("CAST(ts AS DATE) AS day"), F.col("user_id")).agg(F.expr("count(1) AS n"))
-    rank = F.expr("row_number() OVER (PARTITION BY day ORDER BY n DESC, user_id ASC)")
-    top = per_app.withColumn("rk", rank).filter(f"rk <= {POPULAR_TOP}")
-    entry = F.expr("struct(CAST(user_id * 17 AS STRING) AS key, named_struct('appid', user_id * 17, 'name', concat('app ', CAST(user_id AS STRING))) AS value)")
-    return top.groupBy("day").agg(F.collect_list(entry).alias("entries")).select(
-        F.to_json(F.map_from_entries("entries")).alias("body")
+    """Popular-games documents: every app active on a day, as {"<id>":
+    {"appid": id, "name": ...}}, with id = 17 * user id, so some ids are new
+    to the catalogue. A day's apps are cut into documents of at most
+    POPULAR_PAGE_IDS entries by their ids. Odd ids are written as strings."""
+    per_app = events.filter("user_id IS NOT NULL").select(F.expr("CAST(ts AS DATE) AS day"), "user_id").distinct()
+    entry = F.expr(
+        "struct(CAST(user_id * 17 AS STRING) AS key, named_struct('appid', CAST(user_id * 17 AS STRING), "
+        "'name', concat('app ', CAST(user_id AS STRING))) AS value)"
+    )
+    text = F.to_json(F.map_from_entries("entries"))
+    return (
+        per_app.groupBy("day", F.expr(f"user_id DIV {POPULAR_PAGE_IDS}").alias("page"))
+        .agg(F.collect_list(entry).alias("entries"))
+        .select(F.regexp_replace(text, r'"appid":"(\d*[02468])"', r'"appid":$1').alias("body"))
     )
 
 
@@ -190,12 +225,9 @@ BUILDERS = {
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One landed input derived from the driver tables, registered once per
-    session as a lazy temporary view (like the adapter views)."""
+    """One landed input derived from the driver tables."""
     build, table = BUILDERS[name]
-    return driver.registered_view(
-        spark, driver.view_name(sf_dir, f"landed_{name}"), lambda: build(driver.read_table(spark, sf_dir, table))
-    )
+    return build(driver.read_table(spark, sf_dir, table))
 
 
 def landed_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -108,10 +108,44 @@ def test_catalogue_id_comes_from_summary(spark):
 def test_candidates_normalise_string_and_numeric_ids(spark):
     known = spark.createDataFrame([(570,), (10,)], "game_id BIGINT")
     popular = spark.createDataFrame(
-        [('{"570": {"appid": "570"}, "730": {"appid": 730}}',), ('{"570": {"appid": 570}}',)], "body STRING"
+        [
+            ('{"570": {"appid": "570"}, "730": {"appid": 730}, "440": {"appid": "440"}}',),
+            ('{"570": {"appid": 570}, "9007199254740993": {"appid": "9007199254740993"}}',),
+            ('{"1": {"appid": 1}} <html>',),
+            ('{"2": {"name": "no id"}}',),
+        ],
+        "body STRING",
     )
     ids = sorted(r["game_id"] for r in ingest.game_candidates(known, popular).collect())
-    assert ids == [10, 570, 730]
+    assert ids == [10, 440, 570, 730, 9007199254740993]
+
+
+def test_numbers_written_as_strings(spark):
+    out = parsed(
+        spark,
+        [
+            details_doc(1, price_overview={"final_formatted": "₩ 12,000", "discount_percent": "20"}),
+            details_doc(2, price_overview={"final_formatted": "₩ 12,000", "discount_percent": "100"}),
+        ],
+    )
+    assert [(out[i]["price"], out[i]["discount_percentage"]) for i in (1, 2)] == [(12000, 20), (12000, 100)]
+    summ = spark.createDataFrame(
+        [(1, '{"appid": "1", "positive": "7", "negative": 2}'), (2, '{"positive": 7, "negative": 2}')], "game_id BIGINT, body STRING"
+    )
+    assert [tuple(r) for r in ingest.parse_review_summaries(summ).collect()] == [(1, 1, 7, 2)]
+
+
+def test_text_after_a_document_is_not_json(spark):
+    gid, body = details_doc(1)
+    assert parsed(spark, [(1, body + " <html>"), (2, details_doc(2)[1] + "," + details_doc(2)[1]), (3, ""), (4, None), (5, "3")]) == {}
+
+
+def test_player_counts_one_row_per_game(spark):
+    docs = spark.createDataFrame(
+        [(1, '{"response": {"player_count": 5}}'), (1, '{"response": {"player_count": "9"}}'), (1, "oops"), (None, "{}"), (2, "oops")],
+        "game_id BIGINT, body STRING",
+    )
+    assert sorted(tuple(r) for r in ingest.parse_player_counts(docs).collect()) == [(1, 9), (2, 0)]
 
 
 def test_player_counts_default_zero(spark):
@@ -149,14 +183,16 @@ def test_reviews_both_languages_bag_and_bad_page(spark):
             (2, "KOR", 0, "<html>"),
             (2, "ENG", 0, review_page([("r9", "valid but dropped")])),
             (3, "KOR", 0, review_page([("r3", "kept")])),
+            (3, "ENG", 0, review_page([])),
+            (6, "KOR", 0, review_page([("r6", "no English page: dropped")])),
             (4, "KOR", 0, review_page([("r4", "not a known game")])),
             (5, "KOR", 0, '{"reviews": "not a list"}'),  # JSON, but no reviews: game kept
             (5, "ENG", 0, review_page([("r5", "kept too")])),
         ],
         "game_id BIGINT, language STRING, page_no BIGINT, body STRING",
     )
-    ids = spark.createDataFrame([(1,), (2,), (3,), (5,)], "game_id BIGINT")
-    rows = ingest.ingest_comment_data(ids, pages).collect()
+    ids = spark.createDataFrame([(1,), (2,), (3,), (5,), (6,)], "game_id BIGINT")
+    rows = ingest.ingest_comment_data(ids, ingest.parse_review_pages(pages)).collect()
     got = sorted((r["comment_id"], r["language"], r["comment_content"]) for r in rows)
     assert got == [
         ("r1", "ENG", "fine"),
@@ -190,7 +226,7 @@ def test_ingest_report_counts_rule_outcomes(spark):
         [(1, "KOR", 0, review_page([("r1", "a")])), (2, "KOR", 0, "<html>"), (2, "ENG", 0, review_page([]))],
         "game_id BIGINT, language STRING, page_no BIGINT, body STRING",
     )
-    got = {(r["source"], r["metric"]): r["value"] for r in ingest.ingest_report(docs, counts, pages).collect()}
+    got = {(r["source"], r["metric"]): r["value"] for r in ingest.ingest_report(docs, counts, ingest.parse_review_pages(pages)).collect()}
     assert got == {
         ("app_details", "documents"): 8,
         ("app_details", "not_json"): 1,
@@ -205,5 +241,5 @@ def test_ingest_report_counts_rule_outcomes(spark):
         ("player_counts", "no_count"): 1,
         ("review_pages", "games"): 2,
         ("review_pages", "not_json"): 1,
-        ("review_pages", "games_dropped"): 1,
+        ("review_pages", "games_dropped"): 2,  # a bad page; no English page
     }
