@@ -325,7 +325,7 @@ def scan(rows: DataFrame, k: int) -> DataFrame:
 def everywhere_rows(entries: DataFrame, groups: int) -> DataFrame:
     """Query rows that visit every bucket of every group."""
     return entries.select(
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).cast("long").alias("p"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("p"),
         F.size("vec").alias("dim"),
         F.lit(1).alias("kind"),
         "h",
