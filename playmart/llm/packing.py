@@ -39,48 +39,42 @@ PIECES = "doc_id long, start long, doc_tokens long, ids binary, shard long"
 # ids: little-endian unsigned 32-bit integers
 PACKED = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
-# Latin words with closing marks: normal form, case and split are plain.
-PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)").fullmatch
+# In texts of ASCII and Latin-1 letters without apostrophes normal form, case and
+# split are plain: runs of letters and of other characters are pre-tokens
+# (or several of them) whatever stands around them. Finds what other texts hold.
+ODD_TEXT = re.compile(r"[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]|'")
+RUNS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[^ \na-z\u00df-\u00f6\u00f8-\u00ff]+").findall
 BLANKS = str.maketrans("\n\t\r", "   ")
 
 
 class WordCoder:
-    """Encodes white-space separated words through a bounded cache.
+    """Encodes words through a bounded cache.
 
-    For vocabularies that split at white space and drop it, a word's ids do
-    not depend on its neighbours.
+    For vocabularies that split at white space and drop it, the ids of a
+    word, or of a run of letters, do not depend on its neighbours.
     """
 
     def __init__(self, path: str):
         self.words = vocab.Vocabulary(path)
-        self.parts = vocab.Cache()
         self.code = "H" if len(self.words.token_bytes) <= 65_536 else "I"
 
-    def part(self, text: str, plain: bool) -> list[int]:
-        ids = self.parts.get(text)
-        if ids is None:
-            ids = self.parts.put(text, self.words.merge(text.encode()) if plain else self.library(text))
-        return ids
-
-    def library(self, text: str) -> list[int]:
-        return self.words.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def word(self, word: str) -> bytes:
-        m = PLAIN(word)
-        if not m:
-            return array(self.code, self.library(word)).tobytes()
-        ids = self.part(m[1].lower(), True)
-        return array(self.code, [*ids, *self.part(m[2], False)] if m[2] else ids).tobytes()
+    def word(self, word: str, plain: bool) -> bytes:
+        if plain and word.isalpha():
+            ids = self.words.merge(word.encode())
+        else:
+            ids = self.words.tokenizer.encode(word, add_special_tokens=False).ids
+        return array(self.code, ids).tobytes()
 
     def encode(self, text: str) -> bytes:
-        words = text.translate(BLANKS).split(" ") if not text.isascii() else text.replace("\n", " ").split(" ")
+        plain = not ODD_TEXT.search(text) and not self.words.has_special(text)
+        words = RUNS(text.lower()) if plain else text.translate(BLANKS).split(" ")
         cache = self.words.cache
         found = list(map(cache.new.get, words))
         if None in found:
             for i, ids in enumerate(found):
                 if ids is None:
                     ids = cache.get(words[i])
-                    found[i] = cache.put(words[i], self.word(words[i])) if ids is None else ids
+                    found[i] = cache.put(words[i], self.word(words[i], plain)) if ids is None else ids
         return b"".join(found)
 
 
