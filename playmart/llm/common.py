@@ -7,6 +7,7 @@ import types
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from playmart.session import scratch_path
 
@@ -28,6 +29,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Residues of ``likely``; their table, 16 bytes each, is what is broadcast.
+RESIDUES = 1 << 18
+
+
+def likely(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
+    """The rows whose key may be among the wanted keys: those with the hash
+    residue of one. Goes before a join that would shuffle long rows; it keeps
+    every wanted row, and the broadcast is bounded by the number of residues.
+    """
+    residue = lambda c: F.pmod(F.xxhash64(c), F.lit(RESIDUES))
+    some = wanted.select(residue(F.col(wanted_key)).alias("wanted_residue")).distinct()
+    return rows.join(F.broadcast(some), residue(rows[key]) == some["wanted_residue"], "left_semi")
+
+
 def worker_state(name: str, build: Callable[[], object]):
     """An object kept for the life of a Python worker process, by name."""
     holder = sys.modules.setdefault("_playmart_llm_worker_state", types.ModuleType("_playmart_llm_worker_state"))

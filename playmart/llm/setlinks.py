@@ -9,8 +9,8 @@ distance of two members is |D(A)| + |D(B)| - 2 |D(A) n D(B)|:
 * members linked to P are connected through it;
 * any other link has a member A that is not linked to P. Then D(A) and D(B)
   must share at least t elements, t following from the sizes, and a prefix
-  join on the elements of D (those outside P first, which are rare) with
-  size and position filters finds every such pair. Each is verified.
+  join on the elements of D, rare ones first, with size and position filters
+  finds every such pair. Each is verified.
 
 The links returned connect exactly the members that all links connect.
 """
@@ -23,6 +23,31 @@ from pyspark.sql import functions as F
 from playmart.llm.common import materialize
 
 
+def prefixes(delta: DataFrame, num: int, den: int) -> DataFrame:
+    """(comp, id, n, k, far, i, e): for each difference the elements ``e`` of
+    its prefix that others of the component have too, with their places ``i``.
+
+    The order is by how often an element occurs in the component's
+    differences. Elements of one difference alone come first and need not be
+    listed; each difference meets its own recurring elements only.
+    """
+    elements = delta.select("comp", "id", F.explode("d").alias("e"))
+    counts = elements.groupBy("comp", "e").agg(F.count("*").alias("c")).where("c > 1")
+    recurring = elements.join(counts, ["comp", "e"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("c", "e"))).alias("r"))
+    # a partner has at most n * den / num elements, so at most n * less / num
+    # differ and at least this many are shared
+    shared = F.greatest(F.lit(1), F.expr(f"k - floor(n * {den - num} / {num})"))
+    alone = F.col("k") - F.size("r")
+    listed = delta.select("comp", "id", "n", "k", "far").join(recurring, "id").select(
+        "comp", "id", "n", "k", "far", "r", alone.alias("alone"), (F.col("k") - shared + 1 - alone).cast("int").alias("take")
+    )
+    return (
+        listed.where("take > 0")
+        .select("comp", "id", "n", "k", "far", "alone", F.posexplode(F.slice("r", F.lit(1), F.col("take"))).alias("i", "r"))
+        .select("comp", "id", "n", "k", "far", (F.col("alone") + F.col("i")).alias("i"), "r.e")
+    )
+
+
 def links(members: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b) edges for ``members`` (comp, id, elements): the ids of distinct
     sets, given as arrays of distinct longs, of Jaccard similarity at least
@@ -40,9 +65,7 @@ def links(members: DataFrame, num: int, den: int) -> DataFrame:
         "pivot",
         "n",
         "p_n",
-        F.concat(
-            F.sort_array(F.array_except("elements", "p_elements")), F.sort_array(F.array_except("p_elements", "elements"))
-        ).alias("d"),
+        F.concat(F.array_except("elements", "p_elements"), F.array_except("p_elements", "elements")).alias("d"),
     )
     delta = materialize(
         delta.select("*", F.size("d").cast("long").alias("k")).withColumn(
@@ -52,14 +75,9 @@ def links(members: DataFrame, num: int, den: int) -> DataFrame:
     )
     to_pivot = delta.where("not far and id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
 
-    # a partner has at most n * den / num elements, so at most n * less / num differ
-    shared = F.greatest(F.lit(1), F.expr(f"k - floor(n * {less} / {num})"))
     open_comps = delta.where("far").select(F.col("comp").alias("o_comp")).distinct()
-    prefix = (
-        delta.join(open_comps, F.col("comp") == F.col("o_comp"), "left_semi")
-        .where("k > 0")
-        .select("comp", "id", "n", "k", "far", F.posexplode(F.slice("d", F.lit(1), (F.col("k") - shared + 1).cast("int"))).alias("i", "e"))
-    )
+    opened = delta.join(open_comps, F.col("comp") == F.col("o_comp"), "left_semi").where("k > 0")
+    prefix = prefixes(opened, num, den)
     a = prefix.where("far").select(*[F.col(c).alias(f"a_{c}") for c in ("comp", "id", "n", "k", "i", "e")])
     b = prefix.select(*[F.col(c).alias(f"b_{c}") for c in ("comp", "id", "n", "k", "i", "e", "far")])
     need = f"ceil((a_k + b_k - (a_n + b_n) * {less} / {more}) / 2)"
