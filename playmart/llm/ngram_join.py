@@ -34,6 +34,10 @@ from playmart.llm import common, components, setlinks, vocab
 SIGNED = "doc_id long, n_shingles long, key1 long, key2 long, signatures array<long>, near array<long>"
 MEMBERS = "key1 long, elements array<long>"
 SECOND_LEVEL = 3
+# With this many first-level partitions, subsets without elements do not sign:
+# they would join all sets of a band, while two linked sets agree in several
+# partitions and have elements in some of them (but for about one pair in 10^7).
+EMPTY_SIGNS_BELOW = 8
 
 
 def mixed(x, seed: int):
@@ -109,7 +113,8 @@ def signatures(elements, num: int, den: int):
         sums = sums.reshape(n1, n2)
         subset = sums.sum(axis=1, dtype=np.uint64)[:, None] - sums  # all second-level cells but one
         tag = mixed(np.arange(n1 * n2, dtype=np.uint64), 5_000 + band).reshape(n1, n2)
-        out.append(mixed(subset ^ tag, 2).ravel())
+        sign = mixed(subset ^ tag, 2).ravel()
+        out.append(sign if n1 < EMPTY_SIGNS_BELOW else sign[subset.ravel() != 0])
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -223,7 +228,8 @@ def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100) -> Da
     several = reps.groupBy("comp").agg(F.count("*").alias("c")).where("c > 1").select(F.col("comp").alias("several"))
     reps = reps.join(several, F.col("comp") == F.col("several"), "left_semi")
     wanted = reps.select("rep").distinct()
-    found = element_sets(docs.join(wanted, docs.doc_id == wanted.rep, "left_semi"), size)
+    texts = common.likely(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", wanted, "rep")
+    found = element_sets(texts.join(wanted, texts["doc_id"] == wanted["rep"], "left_semi"), size)
     members = found.join(reps, "key1").select("comp", F.col("key1").alias("id"), "elements").dropDuplicates(["id"])
     linked = setlinks.links(common.materialize(members, "members"), num, den)
     ids = reps.select("key1", "rep")
