@@ -92,12 +92,11 @@ def op10_warc_transactions(spark: SparkSession, sf: str) -> DataFrame:
         F.col("page_id").alias("refers_to"),
         F.col("payload_bytes").alias("head_bytes"),
     )
-    return rows.join(heads, "head_id", "left").select(
-        "page_id",
-        F.coalesce("payload_bytes", "head_bytes").alias("payload_bytes"),
-        "payload_digest",
-        "record_type",
-        "refers_to",
+    # only revisits look for their response; the others have no key to meet on
+    revisits = rows.where("head_id is not null").join(heads, "head_id", "left")
+    others = rows.where("head_id is null").withColumn("refers_to", F.lit(None).cast("long"))
+    return revisits.withColumn("payload_bytes", F.col("head_bytes")).unionByName(others, allowMissingColumns=True).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 
 
