@@ -7,7 +7,8 @@ of ``m`` Gaussian projections cut into cells of width W. A query visits, in
 each table, its own bucket and perturbed ones in the order of their estimated
 success: the sum of squared distances from the query to the cell borders that
 are crossed. The candidates of all tables are ranked by their exact inner
-products in double precision.
+products in double precision; what is below a query's k-th best score in the
+sample is not sent on.
 
 Cell width and projections follow the data: ``m`` grows with the logarithm
 of the number of vectors, so buckets do not; the number of probes is fitted
@@ -46,7 +47,7 @@ BLOCK = 8_192
 GROUP = 4_096  # indexed vectors of one group of buckets, on average
 CHUNK = 512  # queries scored together
 
-ROWS = "p long, dim int, kind int, h long, first long, bucket long, probes array<long>, vec array<double>"
+ROWS = "p long, dim int, kind int, h long, first long, floor double, bucket long, probes array<long>, vec array<double>"
 FOUND = "q long, h long, first long, score double"
 
 
@@ -181,14 +182,29 @@ def matrices(batch):
         yield int(dim), at, values.reshape(len(at), int(dim))
 
 
-def hashed_rows(entries: DataFrame, index: Index, query: bool) -> DataFrame:
-    """Index rows (one per table) or query rows (one per group visited)."""
+def least_scores(queries, sample, k: int):
+    """The k-th best inner product of each query in the sample: since the
+    sample is part of the data, nothing below can be among its k nearest.
+    Rounding leaves a little room."""
+    import numpy as np
+
+    if len(sample) < k or sample.shape[1] != queries.shape[1]:
+        return np.full(len(queries), -np.inf)
+    score = queries @ sample.T
+    floor = np.partition(score, len(sample) - k, axis=1)[:, len(sample) - k]
+    return floor - 1e-9 * (1 + np.abs(floor))
+
+
+def hashed_rows(entries: DataFrame, index: Index, query: bool, sample=None, k: int = 0) -> DataFrame:
+    """Index rows (one per table) or query rows (one per group visited). The
+    sample, a broadcast matrix, gives queries the score that is worth finding."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64())]
+        longs, doubles = pa.list_(pa.int64()), pa.list_(pa.float64())
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), longs, doubles]
         names = [c.split()[0] for c in ROWS.split(", ")]
         made: dict = {}
         for batch in batches:
@@ -199,6 +215,7 @@ def hashed_rows(entries: DataFrame, index: Index, query: bool) -> DataFrame:
                 hashing = made[dim]
                 for a in range(0, len(x), CHUNK):
                     part, own = x[a : a + CHUNK], at[a : a + CHUNK]
+                    floor = least_scores(part, sample.value, k) if query else np.zeros(len(part))
                     visits: list[tuple] = []  # (group, row, bucket)
                     for t in range(index.tables):
                         c, place = cells(index, part, query, t, hashing)
@@ -228,7 +245,8 @@ def hashed_rows(entries: DataFrame, index: Index, query: bool) -> DataFrame:
                     else:
                         lists, bucket = [None] * len(p), key.view(np.int64)
                     n = len(p)
-                    values = [p, np.full(n, dim), np.full(n, int(query)), h[own[row]], first[own[row]], bucket, lists, list(part[row])]
+                    same = [np.full(n, dim), np.full(n, int(query))]
+                    values = [p, *same, h[own[row]], first[own[row]], floor[row], bucket, lists, list(part[row])]
                     yield pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(values, kinds)], names)
 
     return entries.mapInArrow(run, ROWS)
@@ -256,7 +274,7 @@ def scan(rows: DataFrame, k: int) -> DataFrame:
         import numpy as np
 
         bucket, h, first, x = members
-        q, y, probes, owner = queries
+        q, y, floor, probes, owner = queries
         names, starts = np.unique(bucket, return_index=True)
         ends = np.r_[starts[1:], len(bucket)]
         everywhere = np.setdiff1d(np.arange(len(q)), owner)  # queries that visit all buckets
@@ -273,16 +291,14 @@ def scan(rows: DataFrame, k: int) -> DataFrame:
             s, e = starts[at[a]], ends[at[a]]
             who = owner[a:b]
             score = y[who] @ x[s:e].T
+            edge = floor[who]
             if e - s > k:
                 # equal scores at the edge are settled by id: keep all that reach the k-th
-                edge = np.partition(score, e - s - k, axis=1)[:, e - s - k]
-                i, j = np.nonzero(score >= edge[:, None])
-            else:
-                i, j = np.divmod(np.arange(score.size), e - s)
+                edge = np.maximum(edge, np.partition(score, e - s - k, axis=1)[:, e - s - k])
+            i, j = np.nonzero(score >= edge[:, None])
             out.append((q[who[i]], h[s + j], first[s + j], score[i, j]))
-        if not out:
-            return None
-        return best(*(np.concatenate(v) for v in zip(*out)))
+        joined = [np.concatenate(v) for v in zip(*out)]
+        return best(*joined) if joined and len(joined[0]) else None
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -297,7 +313,7 @@ def scan(rows: DataFrame, k: int) -> DataFrame:
                     group, held, members = (p[a], dim[a]), [], None
                 part = batch.slice(a, b - a)
                 x = part.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(b - a, -1)
-                h, first = part.column("h").to_numpy(), part.column("first").to_numpy()
+                h, first, floor = (part.column(c).to_numpy() for c in ("h", "first", "floor"))
                 if kind[a] == 0:
                     held.append((part.column("bucket").to_numpy(), h, first, x))
                     continue
@@ -314,7 +330,7 @@ def scan(rows: DataFrame, k: int) -> DataFrame:
                 for s in range(0, b - a, CHUNK):
                     own = (owner >= s) & (owner < s + CHUNK)
                     e = s + CHUNK
-                    got = match(members, (h[s:e], x[s:e], probes[own], owner[own] - s))
+                    got = match(members, (h[s:e], x[s:e], floor[s:e], probes[own], owner[own] - s))
                     if got is not None:
                         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
                         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(got, kinds)], ["q", "h", "first", "score"])
@@ -330,6 +346,7 @@ def everywhere_rows(entries: DataFrame, groups: int) -> DataFrame:
         F.lit(1).alias("kind"),
         "h",
         "first",
+        F.lit(float("-inf")).alias("floor"),
         F.lit(None).cast("long").alias("bucket"),
         F.expr("cast(array() AS array<bigint>)").alias("probes"),
         "vec",
@@ -384,7 +401,10 @@ def search(table: DataFrame, k: int = 20, every: int = 20, id_column: str = "vec
         found = found.withColumn("r", F.row_number().over(top)).where(F.col("r") <= k + 1)
         return materialize(found.select("q", "h"), name)
 
-    found = nearest(hashed_rows(query_entries, index, True), "found")
+    # a quarter of the data at most, or the floor alone would settle the answer
+    some = sample[:: max(1, -(-4 * len(sample) // sizes.n))]
+    shared = table.sparkSession.sparkContext.broadcast(np.array(some))
+    found = nearest(hashed_rows(query_entries, index, True, shared, k + 1), "found")
     # queries whose buckets hold too few entries are compared with all
     there = entries.groupBy(F.size("vec").alias("dim")).agg(F.least(F.count("*"), F.lit(k + 1)).alias("wanted"))
     have = found.groupBy("q").agg(F.count("*").alias("have"))
