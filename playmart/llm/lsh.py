@@ -128,7 +128,8 @@ def probe_order(place, table: int, hashing, count: int):
 
 
 def fit(sample, count: int, norm2: float, k: int) -> Index:
-    """Width, projections and probes from sample vectors of one length."""
+    """Width, projections and probes from sample vectors of one length: the
+    most projections (smallest buckets) that reach ``FIT_RECALL``."""
     import math
 
     import numpy as np
@@ -137,28 +138,32 @@ def fit(sample, count: int, norm2: float, k: int) -> Index:
     # cut into cells, a normal variable holds about ln(sqrt(2 pi e) / CELL) nats
     nats = math.log(math.sqrt(2 * math.pi * math.e) / CELL)
     m = max(2, min(24, round(math.log(max(count, 2) / OCCUPANCY) / nats)))
-    index = Index(TABLES, m, 1.0, norm2, 1, 1, {})
-    a, *_ = projections(x.shape[1], TABLES, m)
-    index.width = CELL * float((lengthened(x, norm2, False) @ a[0].T).std(axis=0).mean() or 1.0)
-    hashing = projections(x.shape[1], TABLES, m)
-    q = x[:: max(1, len(x) // FIT_QUERIES)][:FIT_QUERIES]
+    asked = np.arange(0, len(x), max(1, len(x) // FIT_QUERIES))[:FIT_QUERIES]
+    q = x[asked]
     score = q @ x.T
-    score[np.arange(len(q)), np.arange(len(x))[:: max(1, len(x) // FIT_QUERIES)][: len(q)]] = -np.inf
+    score[np.arange(len(q)), asked] = -np.inf
     near = np.argsort(-score, axis=1)[:, : min(k, len(x) - 1)]
-    rank = np.full(near.shape, MOST_PROBES)
-    for t in range(TABLES):
-        cq, place = cells(index, q, True, t, hashing)
-        cx, _ = cells(index, x, False, t, hashing)
-        _, costs = probe_order(place, t, hashing, MOST_PROBES)
-        step = cx[near] - cq[:, None, :]
-        f = place[:, None, :]
-        border = np.where(step > 0, step - f, np.where(step < 0, -step - 1 + f, 0.0))
-        total = np.where((np.abs(step) <= REACH).all(axis=2), (border**2).sum(axis=2), np.inf)
-        for i in range(len(q)):
-            rank[i] = np.minimum(rank[i], np.searchsorted(costs[i], total[i] - 1e-9))
-    found = np.sort(rank.ravel())
-    index.probes = int(min(MOST_PROBES, found[int(FIT_RECALL * (len(found) - 1))] + 1)) if len(found) else 1
-    return index
+    while True:
+        index = Index(TABLES, m, 1.0, norm2, 1, 1, {})
+        hashing = projections(x.shape[1], TABLES, m)
+        index.width = CELL * float((lengthened(x, norm2, False) @ hashing[0][0].T).std(axis=0).mean() or 1.0)
+        rank = np.full(near.shape, MOST_PROBES)  # probes until a table holds the neighbour
+        for t in range(TABLES):
+            cq, place = cells(index, q, True, t, hashing)
+            cx, _ = cells(index, x, False, t, hashing)
+            _, costs = probe_order(place, t, hashing, MOST_PROBES)
+            step = cx[near] - cq[:, None, :]
+            f = place[:, None, :]
+            border = np.where(step > 0, step - f, np.where(step < 0, -step - 1 + f, 0.0))
+            total = np.where((np.abs(step) <= REACH).all(axis=2), (border**2).sum(axis=2), np.inf)
+            for i in range(len(q)):
+                rank[i] = np.minimum(rank[i], np.searchsorted(costs[i], total[i] - 1e-9))
+        found = np.sort(rank.ravel())
+        last = int(found[int(FIT_RECALL * (len(found) - 1))]) if len(found) else 0
+        if last < MOST_PROBES or m == 2:
+            index.probes = min(MOST_PROBES, last + 1)
+            return index
+        m -= 1
 
 
 def group_of(bucket, block, groups: int):
