@@ -1,9 +1,10 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained from labelled texts: the ordinary one
-holds the most common words of ordinary texts, the toxic one the words whose
-document frequency is significantly higher in toxic texts, followed by the
-same common words. A text is compressed in windows of ``WINDOW_WORDS`` words
+holds the most common words of ordinary texts that are not toxic words, the
+toxic one the words whose document frequency is significantly higher in toxic texts, after the same common
+words. Both have the same length, so the common words cost the same in
+either, and tables and search depth are sized to the content. A text is compressed in windows of ``WINDOW_WORDS`` words
 with either dictionary; where the toxic one gives shorter windows, the text
 says what toxic texts say. The lengths saved are summed up per text, and a
 logistic calibration fitted on labelled texts outside the dictionaries' part
@@ -38,6 +39,11 @@ TOXIC_WORDS = 4_000
 LONGEST_WORD = 40
 # Least log-likelihood ratio of a toxic word's document counts.
 LEAST_EVIDENCE = 16.0
+# Never in UTF-8: evens out the lengths of the dictionaries.
+FILLER = b"\xff"
+# Follows each window, as zstandard does not look for matches in the last eight
+# bytes; words hold no line feeds.
+TAIL = b"\n" * 8
 
 SCORES = "doc_id long, held_out boolean, score double, predicted int"
 
@@ -59,18 +65,20 @@ class Model:
 
 
 def compressor(content: bytes):
-    """Small-window compressor that starts from raw dictionary content."""
+    """Small-window compressor that starts from raw dictionary content, with
+    a search tree that has room for every byte of it."""
     import zstandard as zs
 
+    size = max(10, len(content).bit_length())
     params = zs.ZstdCompressionParameters(
         format=zs.FORMAT_ZSTD1_MAGICLESS,
-        window_log=19,
-        hash_log=17,
-        chain_log=17,
-        search_log=4,
+        window_log=max(19, size),
+        hash_log=size,
+        chain_log=size + 1,
+        search_log=7,
         min_match=4,
         target_length=32,
-        strategy=zs.STRATEGY_LAZY,
+        strategy=zs.STRATEGY_BTLAZY2,
         write_content_size=0,
         write_checksum=0,
         write_dict_id=0,
@@ -92,7 +100,7 @@ class Scorer:
         a, b, k = self.ordinary.compress, self.toxic.compress, WINDOW_WORDS
         out = []
         for i in range(0, len(words) or 1, k):
-            window = f" {' '.join(words[i : i + k])} ".encode("utf-8", "replace")
+            window = f" {' '.join(words[i : i + k])} ".encode("utf-8", "replace") + TAIL
             out.append(len(a(window)) - len(b(window)))
         return out
 
@@ -166,16 +174,17 @@ def dictionaries(sample: DataFrame) -> tuple[bytes, bytes]:
     part = lambda x, e: f"(CASE WHEN {x} > 0 THEN {x} * ln({x} / {e}) ELSE 0D END)"
     others = f"((t + o) * {ordinary} / {toxic + ordinary})"
     words = words.withColumn("evidence", F.expr(f"2 * ({part('t', expected)} + {part('o', others)})"))
-    told = words.where(f"t > {expected} * 3").where(F.col("evidence") >= LEAST_EVIDENCE)
+    toxic_word = F.expr(f"t > {expected} * 3") & (F.col("evidence") >= LEAST_EVIDENCE)
+    told, common_only = words.where(toxic_word), words.where(~toxic_word & F.expr("o > 0"))
 
     def top(found: DataFrame, order: str, n: int) -> list[str]:
         best = common.materialize(found.orderBy(F.desc(order), "word").limit(n).select("word", order), "toxicity-top")
         return [r.word for r in sorted(best.collect(), key=lambda r: (r[order], r.word))]
 
     # the strongest words last, where matches are cheapest
-    common_words = f" {' '.join(top(words.where('o > 0'), 'o', ORDINARY_WORDS))} ".encode()
+    common_words = f" {' '.join(top(common_only, 'o', ORDINARY_WORDS))} ".encode()
     toxic_words = f" {' '.join(top(told, 'evidence', TOXIC_WORDS))} ".encode()
-    return common_words, toxic_words + common_words
+    return common_words + FILLER * len(toxic_words), common_words + toxic_words
 
 
 def scored(rows: DataFrame, shared, schema: str, columns: list[str], make) -> DataFrame:

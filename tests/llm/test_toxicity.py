@@ -47,3 +47,44 @@ def test_learns_from_windows(spark, docs_of):
     assert sum(r.predicted == (r.doc_id % 4 == 0) for r in got) >= 396
     few = toxicity.fit(docs, labels, rows=200)
     assert sum(r.predicted == (r.doc_id % 4 == 0) for r in toxicity.score(docs, few).collect()) >= 380
+
+
+def test_every_toxic_word_is_found(spark):
+    """Each toxic dictionary word saves bytes as the only one among ordinary words."""
+    sample = toxicity.labelled_sample(table(spark, SF_FIT, "documents"), table(spark, SF_FIT, "labels"), toxicity.FIT_ROWS)
+    ordinary, toxic = toxicity.dictionaries(sample)
+    assert len(ordinary) == len(toxic) > 300_000
+    common = ordinary.rstrip(toxicity.FILLER)
+    words = toxic[len(common) :].decode().split()
+    assert toxic.startswith(common) and len(words) > 50 and not set(words) & set(common.decode().split())
+    scorer = toxicity.Scorer(toxicity.Model(ordinary, toxic))
+    plain = common.decode().split()
+    for w in words:
+        saved = []
+        for i in range(5, 39_000, 2_600):
+            few = plain[i : i + 8]
+            saved += [scorer.saved(" ".join([*few[:4], w, *few[4:]]))[0], scorer.saved(" ".join([*few, w]))[0]]
+        # beside a few neighbours the parse happens to save nothing
+        assert sum(saved) > 0 and sum(x > 0 for x in saved) > len(saved) / 3, (w, saved)
+
+
+def test_large_dictionaries_are_reachable():
+    """Words at the front of megabytes of content are met as well as the last."""
+    import random
+
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(24)) for _ in range(60_000)]
+    content = f" {' '.join(words)} ".encode()
+    without, known = toxicity.compressor(toxicity.FILLER * len(content)), toxicity.compressor(content)
+    for w in words[::997]:
+        text = f" {w} ".encode() + toxicity.TAIL
+        assert len(without.compress(text)) - len(known.compress(text)) >= 8
+
+
+def test_held_out_recall(spark):
+    got = {r.doc_id: r for r in queries.op2_compression_toxicity(spark, SF_FIT).collect()}
+    held = [(got[r.doc_id].predicted, r.toxic) for r in table(spark, SF_FIT, "labels").collect() if got[r.doc_id].held_out]
+    toxic, clean = [p for p, y in held if y == 1], [p for p, y in held if y == 0]
+    print("held-out recall", sum(toxic), len(toxic), "false alarms", sum(clean), len(clean))
+    assert sum(toxic) / len(toxic) >= 0.6
+    assert sum(clean) / len(clean) <= 0.02
