@@ -7,7 +7,10 @@ source) group gets a minimum-covariance-determinant estimate of the
 transformed statistics: from the medians and median deviations, concentration
 steps keep the ``CORE`` share of documents nearest by Mahalanobis distance
 and re-estimate mean and covariance from them. A document whose distance to
-its group's estimate passes ``CUTOFF`` is rejected.
+its group's estimate passes ``CUTOFF`` is rejected. A group with fewer than
+``MIN_GROUP`` documents is judged by the estimate of its language, computed in
+the same way from all documents of the language, and a language with fewer by
+that of all documents.
 
 Statistics enter as logarithms rounded to 1/``GRID``; medians and the core's
 quantile are exact over these bounded grids and moments are exact decimal
@@ -15,14 +18,16 @@ sums, so verdicts do not depend on the order of rows. ``FLOORS`` keeps a
 statistic that hardly varies in a group from rejecting small deviations.
 
 Defined cases: null or empty text has no words and fails the base rule; null
-language or source is a group of its own; a group with fewer than
-``MIN_GROUP`` documents rejects nothing by distance; repeated rows are judged
+language or source is a group of its own; with fewer than ``MIN_GROUP``
+documents in all nothing is rejected by distance; repeated rows are judged
 alike; extra columns are ignored; an empty table gives an empty table.
 Windows and words are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +57,9 @@ STATISTICS = {
     "lines": ("ln(1.0D + 100.0D * n_dup_lines / n_words)", 0.5),
     "repeats": ("ln(1.0D + 100.0D * n_repeat_words / n_words)", 0.5),
 }
+# What an estimate is of: 0 a group, 1 a language (source null), 2 all documents.
+LEVELS = ["struct(0 AS level, lang, source)", "struct(1 AS level, lang, NULL AS source)", "struct(2 AS level, NULL AS lang, NULL AS source)"]
+KEY = ["level", "lang", "source"]
 NAMES = list(STATISTICS)
 P = len(NAMES)
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
@@ -136,27 +144,56 @@ def with_factor(moments: DataFrame, scale: float) -> DataFrame:
             value = value - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
         value = F.sqrt(F.greatest(value, F.lit(floors[i] / 4))) if i == j else value / F.col(f"l_{j}_{j}")
         out = out.withColumn(f"l_{i}_{j}", value)
-    return out.select("lang", "source", "n", *[f"m_{i}" for i in range(P)], *[f"l_{i}_{j}" for i, j in PAIRS])
+    return out.select(*KEY, "n", *[f"m_{i}" for i in range(P)], *[f"l_{i}_{j}" for i, j in PAIRS])
 
 
-def with_distance(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Squared Mahalanobis distance ``d2`` to the row's group; null where the
-    group has no estimate."""
-    g = groups.withColumnsRenamed({"lang": "g_lang", "source": "g_source"})
-    out = rows.join(g, F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")), "left")
+def with_levels(rows: DataFrame) -> DataFrame:
+    """``rows`` once for each level, with the key of the estimate there."""
+    others = [c for c in rows.columns if c not in KEY]
+    return rows.select(*others, F.explode(F.expr(f"array({', '.join(LEVELS)})")).alias("k")).select(*others, "k.*")
+
+
+def same_group(names: list[str] = KEY):
+    """Join condition with a table of groups whose key is ``g_...``."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"g_{c}")) for c in names])
+
+
+def distances(out: DataFrame) -> DataFrame:
+    """``d2`` of rows that carry the mean ``m_i`` and the factor ``l_i_j``."""
     for i, name in enumerate(NAMES):  # forward substitution
         value = F.col(f"x_{name}") / F.lit(float(GRID)) - F.col(f"m_{i}")
         for k in range(i):
             value = value - F.col(f"l_{i}_{k}") * F.col(f"y_{k}")
         out = out.withColumn(f"y_{i}", value / F.col(f"l_{i}_{i}"))
     d2 = sum((F.col(f"y_{i}") * F.col(f"y_{i}") for i in range(1, P)), F.col("y_0") * F.col("y_0"))
-    return out.withColumn("d2", d2).select(*rows.columns, "d2")
+    return out.withColumn("d2", d2)
+
+
+def with_distance(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Squared Mahalanobis distance ``d2`` to the estimate of the row's group
+    and level; null where there is none."""
+    g = groups.withColumnsRenamed({c: f"g_{c}" for c in KEY})
+    return distances(rows.join(g, same_group(), "left")).select(*rows.columns, "d2")
+
+
+def with_verdict(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``d2`` by the finest level that has an estimate; null without any."""
+    g = groups.withColumnsRenamed({"lang": "g_lang", "source": "g_source"})
+    names = [c for c in groups.columns if c not in KEY]
+    found, finest = rows, []
+    for level, key in enumerate([["lang", "source"], ["lang"], []]):
+        own = g.where(F.col("level") == level).select(*[f"g_{c}" for c in key], F.struct(*names).alias(f"e_{level}"))
+        found = found.join(own if key else F.broadcast(own), same_group(key) if key else F.lit(True), "left")
+        found = found.drop(*[f"g_{c}" for c in key])
+        finest.append(F.col(f"e_{level}"))
+    found = found.select(*rows.columns, F.coalesce(*finest).alias("e")).select(*rows.columns, *[F.col("e")[c].alias(c) for c in names])
+    return distances(found).select(*rows.columns, "d2")
 
 
 def moments(rows: DataFrame) -> DataFrame:
     """Mean and covariance of each group from exact sums."""
     x = [F.col(f"x_{n}") for n in NAMES]
-    sums = rows.groupBy("lang", "source").agg(
+    sums = rows.groupBy(*KEY).agg(
         F.count("*").alias("n"),
         *[F.sum(x[i].cast("decimal(18,0)")).alias(f"s_{i}") for i in range(P)],
         *[F.sum((x[i] * x[j]).cast("decimal(18,0)")).alias(f"p_{i}_{j}") for i, j in PAIRS],
@@ -164,8 +201,7 @@ def moments(rows: DataFrame) -> DataFrame:
     n = F.col("n").cast("double")
     mean = [F.col(f"s_{i}").cast("double") / n / GRID for i in range(P)]
     return sums.select(
-        "lang",
-        "source",
+        *KEY,
         "n",
         *[mean[i].alias(f"m_{i}") for i in range(P)],
         *[
@@ -177,14 +213,12 @@ def moments(rows: DataFrame) -> DataFrame:
 
 def first_estimate(rows: DataFrame) -> DataFrame:
     """Diagonal start: medians and median absolute deviations."""
-    key = ["lang", "source"]
-    centre = rows.groupBy(*key).agg(
+    centre = rows.groupBy(*KEY).agg(
         F.count("*").alias("n"), *[F.expr(f"percentile(x_{n}, 0.5)").alias(f"v_{i}") for i, n in enumerate(NAMES)]
     )
     centre = materialize(centre.where(F.col("n") >= MIN_GROUP), "quality-centre")
-    c = centre.withColumnsRenamed({"lang": "g_lang", "source": "g_source"})
-    near = rows.join(c, F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")))
-    spread = near.groupBy(*key).agg(
+    near = rows.join(centre.withColumnsRenamed({c: f"g_{c}" for c in KEY}), same_group())
+    spread = near.groupBy(*KEY).agg(
         F.first("n").alias("n"),
         *[F.first(f"v_{i}").alias(f"v_{i}") for i in range(P)],
         *[F.expr(f"percentile(abs(x_{n} - v_{i}), 0.5)").alias(f"d_{i}") for i, n in enumerate(NAMES)],
@@ -192,7 +226,7 @@ def first_estimate(rows: DataFrame) -> DataFrame:
     # 1.4826: the median absolute deviation of a normal variable in standard deviations
     var = lambda i: (F.col(f"d_{i}") * 1.4826 / GRID) * (F.col(f"d_{i}") * 1.4826 / GRID)
     return spread.select(
-        *key,
+        *KEY,
         "n",
         *[(F.col(f"v_{i}") / GRID).alias(f"m_{i}") for i in range(P)],
         *[(var(i) if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i, j in PAIRS],
@@ -200,19 +234,18 @@ def first_estimate(rows: DataFrame) -> DataFrame:
 
 
 def group_estimates(rows: DataFrame) -> DataFrame:
-    """Minimum-covariance-determinant estimate of each group with at least
-    ``MIN_GROUP`` documents that pass the base rule. One small table per
+    """Minimum-covariance-determinant estimate of each group, language and
+    all documents with at least ``MIN_GROUP`` that pass the base rule. One small table per
     concentration step is written to the shared folder."""
-    good = rows.where(~F.col("failed"))
+    good = with_levels(rows.where(~F.col("failed")))
     groups = materialize(with_factor(first_estimate(good), 1.0), "quality-groups")
     for _ in range(STEPS):
         near = with_distance(good, groups).where("d2 is not null")
         # distances on a bounded logarithmic grid, so the quantile is exact in bounded state
         near = near.withColumn("dq", F.expr(f"cast(floor({GRID} * ln(1 + d2)) AS int)"))
-        core = near.groupBy("lang", "source").agg(F.expr(f"percentile(dq, {CORE})").alias("core"))
-        core = materialize(core, "quality-core").withColumnsRenamed({"lang": "g_lang", "source": "g_source"})
-        same = F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source"))
-        kept = near.join(core, same).where("dq <= core")
+        core = near.groupBy(*KEY).agg(F.expr(f"percentile(dq, {CORE})").alias("core"))
+        core = materialize(core, "quality-core").withColumnsRenamed({c: f"g_{c}" for c in KEY})
+        kept = near.join(core, same_group()).where("dq <= core")
         groups = materialize(with_factor(moments(kept), CONSISTENCY), "quality-groups")
     return groups
 
@@ -229,7 +262,7 @@ def flat(counted: DataFrame) -> DataFrame:
 def judge(docs: DataFrame) -> DataFrame:
     """Counts and verdicts, one row per document."""
     rows = materialize(flat(text_statistics(docs)), "quality-statistics")
-    judged = with_distance(rows, group_estimates(rows))
+    judged = with_verdict(rows, group_estimates(rows))
     return judged.select(
         "doc_id",
         *COUNTS,
@@ -247,5 +280,5 @@ def keep(docs: DataFrame) -> DataFrame:
     groups = group_estimates(rows)
     again = text_statistics(docs.select(F.struct(*names).alias("row"), "text", "lang", "source"))
     again = transformed(again.where(~F.col("q_failed")).select("row", "lang", "source", *[f"q_counts.{c}" for c in COUNTS]))
-    judged = with_distance(again, groups)
+    judged = with_verdict(again, groups)
     return judged.where(F.coalesce("d2", F.lit(0.0)) <= CUTOFF).select("row.*")

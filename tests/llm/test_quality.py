@@ -104,3 +104,20 @@ def test_query(spark):
     assert got.columns == ["doc_id", *quality.COUNTS, "base_failed", "kept"]
     for r in got.collect():
         assert tuple(r[n] for n in quality.COUNTS) == brute_counts(rows[r.doc_id])
+
+
+def test_small_groups_are_judged(docs_of):
+    """A long tail of sources is judged by its language, a rare language by all."""
+    rng = np.random.default_rng(8)
+    texts = corpus(rng, 260)
+    langs = ["en"] * 200 + ["de"] * 40 + [None] * 20
+    sources = ["big"] * 120 + [f"s{i}" for i in range(80)] + ["t"] * 60
+    got = {r.doc_id: r for r in quality.judge(docs_of(texts, langs=langs, sources=sources)).collect()}
+    own, lang, all_docs = (brute_kept(texts[:n]) for n in (120, 200, 260))
+    verdicts = np.r_[own[0], lang[0][120:], all_docs[0][200:]]
+    distances = np.r_[own[1], lang[1][120:], all_docs[1][200:]]
+    assert [got[i].kept for i in range(260)] == verdicts.tolist()
+    assert np.allclose([got[i].d2 for i in range(260)], distances)
+    assert not verdicts[125::25].any() and not verdicts[126::25].any()
+    kept = quality.keep(docs_of(texts, langs=langs, sources=sources))
+    assert {r.doc_id for r in kept.collect()} == set(np.flatnonzero(verdicts).tolist())
