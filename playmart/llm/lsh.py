@@ -13,7 +13,12 @@ sample is not sent on.
 Cell width and projections follow the data: ``m`` grows with the logarithm
 of the number of vectors, so buckets do not; the number of probes is fitted
 on a bounded sample (``FIT_VECTORS``) to find ``FIT_RECALL`` of the true
-neighbours there. Every vector is indexed.
+neighbours there. Neighbours beyond the probed cells are not found; where that
+leaves too few, there are fewer projections, then wider cells (``WIDEN``), and
+where no setting reaches the recall all queries are compared with all vectors.
+Queries are hashed with the last coordinate that true neighbours of the sample
+have on average, so that uneven norms do not move all vectors out of reach.
+Every vector is indexed.
 
 Equal vectors are one entry of the index, which stands for its ``k + 1``
 smallest ids: more can not be among anyone's k nearest. Buckets with more
@@ -38,6 +43,7 @@ from playmart.llm.common import materialize
 TABLES = 3
 OCCUPANCY = 100
 CELL = 2.0  # cell width in standard deviations of a projection
+WIDEN = [1.0, 2.0, 4.0, 8.0]  # factors on it, tried in turn
 REACH = 2  # cells a perturbation may move in one projection
 FIT_VECTORS = 20_000
 FIT_QUERIES = 200
@@ -62,6 +68,8 @@ class Index:
     probes: int
     groups: int
     blocks: dict  # bucket -> number of blocks, for buckets over BLOCK
+    extra: float = 0.0  # last coordinate of queries
+    exact: bool = False  # no setting reaches the recall
 
 
 def projections(dim: int, tables: int, m: int):
@@ -76,12 +84,11 @@ def projections(dim: int, tables: int, m: int):
     return a, shift, keys, base
 
 
-def lengthened(x, norm2: float, query: bool):
-    """Vectors with the coordinate that evens out their norms (0 for queries)."""
+def lengthened(x, norm2: float):
+    """Vectors with the coordinate that evens out their norms."""
     import numpy as np
 
-    extra = np.zeros(len(x)) if query else np.sqrt(np.maximum(norm2 - (x * x).sum(axis=1), 0))
-    return np.c_[x, extra]
+    return np.c_[x, np.sqrt(np.maximum(norm2 - (x * x).sum(axis=1), 0))]
 
 
 def cells(index: Index, x, query: bool, table: int, hashing):
@@ -89,7 +96,8 @@ def cells(index: Index, x, query: bool, table: int, hashing):
     import numpy as np
 
     a, shift, _, _ = hashing
-    y = lengthened(x, index.norm2, query) @ a[table].T / index.width + shift[table]
+    x = np.c_[x, np.full(len(x), index.extra)] if query else lengthened(x, index.norm2)
+    y = x @ a[table].T / index.width + shift[table]
     c = np.floor(y)
     return c.astype(np.int64), y - c
 
@@ -129,7 +137,8 @@ def probe_order(place, table: int, hashing, count: int):
 
 def fit(sample, count: int, norm2: float, k: int) -> Index:
     """Width, projections and probes from sample vectors of one length: the
-    most projections (smallest buckets) that reach ``FIT_RECALL``."""
+    narrowest cells and the most projections (smallest buckets) that reach
+    ``FIT_RECALL``."""
     import math
 
     import numpy as np
@@ -137,33 +146,40 @@ def fit(sample, count: int, norm2: float, k: int) -> Index:
     x = np.asarray(sample, float)
     # cut into cells, a normal variable holds about ln(sqrt(2 pi e) / CELL) nats
     nats = math.log(math.sqrt(2 * math.pi * math.e) / CELL)
-    m = max(2, min(24, round(math.log(max(count, 2) / OCCUPANCY) / nats)))
+    most = max(2, min(24, round(math.log(max(count, 2) / OCCUPANCY) / nats)))
     asked = np.arange(0, len(x), max(1, len(x) // FIT_QUERIES))[:FIT_QUERIES]
     q = x[asked]
     score = q @ x.T
     score[np.arange(len(q)), asked] = -np.inf
     near = np.argsort(-score, axis=1)[:, : min(k, len(x) - 1)]
-    while True:
-        index = Index(TABLES, m, 1.0, norm2, 1, 1, {})
-        hashing = projections(x.shape[1], TABLES, m)
-        index.width = CELL * float((lengthened(x, norm2, False) @ hashing[0][0].T).std(axis=0).mean() or 1.0)
-        rank = np.full(near.shape, MOST_PROBES)  # probes until a table holds the neighbour
-        for t in range(TABLES):
-            cq, place = cells(index, q, True, t, hashing)
-            cx, _ = cells(index, x, False, t, hashing)
-            _, costs = probe_order(place, t, hashing, MOST_PROBES)
-            step = cx[near] - cq[:, None, :]
-            f = place[:, None, :]
-            border = np.where(step > 0, step - f, np.where(step < 0, -step - 1 + f, 0.0))
-            total = np.where((np.abs(step) <= REACH).all(axis=2), (border**2).sum(axis=2), np.inf)
-            for i in range(len(q)):
-                rank[i] = np.minimum(rank[i], np.searchsorted(costs[i], total[i] - 1e-9))
-        found = np.sort(rank.ravel())
-        last = int(found[int(FIT_RECALL * (len(found) - 1))]) if len(found) else 0
-        if last < MOST_PROBES or m == 2:
-            index.probes = min(MOST_PROBES, last + 1)
-            return index
-        m -= 1
+    extra = float(lengthened(x, norm2)[near.ravel(), -1].mean()) if near.size else 0.0
+    index = Index(TABLES, 1, 1.0, norm2, 1, 1, {}, extra)
+    for widen in WIDEN:
+        for m in range(most, 0, -1):
+            index = Index(TABLES, m, 1.0, norm2, 1, 1, {}, extra)
+            hashing = projections(x.shape[1], TABLES, m)
+            index.width = widen * CELL * float((lengthened(x, norm2) @ hashing[0][0].T).std(axis=0).mean() or 1.0)
+            rank = np.full(near.shape, MOST_PROBES)  # probes until a table holds the neighbour
+            for t in range(TABLES):
+                cq, place = cells(index, q, True, t, hashing)
+                cx, _ = cells(index, x, False, t, hashing)
+                _, costs = probe_order(place, t, hashing, MOST_PROBES)
+                step = cx[near] - cq[:, None, :]
+                f = place[:, None, :]
+                border = np.where(step > 0, step - f, np.where(step < 0, -step - 1 + f, 0.0))
+                total = np.where((np.abs(step) <= REACH).all(axis=2), (border**2).sum(axis=2), np.inf)
+                for i in range(len(q)):
+                    at = np.searchsorted(costs[i], total[i] - 1e-9)
+                    # beyond the reach no number of probes finds it
+                    rank[i] = np.minimum(rank[i], np.where(np.isinf(total[i]), MOST_PROBES, at))
+            found = np.sort(rank.ravel())
+            last = int(found[math.ceil(FIT_RECALL * len(found)) - 1]) if len(found) else 0
+            if last < MOST_PROBES:
+                index.probes = last + 1
+                return index
+    # one table and one projection are enough to deal the vectors to groups
+    index.tables, index.exact = 1, True
+    return index
 
 
 def group_of(bucket, block, groups: int):
@@ -387,9 +403,9 @@ def search(table: DataFrame, k: int = 20, every: int = 20, id_column: str = "vec
     sample = entries.where(F.size("vec") == sizes.dim).sample(min(1.0, FIT_VECTORS / sizes.n), seed=11).select("vec").collect()
     sample = sorted(r.vec for r in sample) or [r.vec for r in entries.where(F.size("vec") == sizes.dim).limit(1).collect()]
     index = fit(np.array(sample), sizes.n, sizes.norm2, k)
-    index.groups = max(1, -(-sizes.n * TABLES // GROUP))
+    index.groups = max(1, -(-sizes.n * index.tables // GROUP))
     # at most tables * n / block buckets can be over a block; their list stays below 50,000
-    block = max(BLOCK, sizes.n * TABLES // 50_000)
+    block = max(BLOCK, sizes.n * index.tables // 50_000)
     placed = hashed_rows(entries, index, False)
     crowded = placed.groupBy("bucket").agg(F.count("*").alias("c")).where(F.col("c") > block).collect()
     index.blocks = {r.bucket % (1 << 64): -(-r.c // block) for r in crowded}
@@ -409,7 +425,11 @@ def search(table: DataFrame, k: int = 20, every: int = 20, id_column: str = "vec
     # a quarter of the data at most, or the floor alone would settle the answer
     some = sample[:: max(1, -(-4 * len(sample) // sizes.n))]
     shared = table.sparkSession.sparkContext.broadcast(np.array(some))
-    found = nearest(hashed_rows(query_entries, index, True, shared, k + 1), "found")
+    if index.exact:
+        asking = everywhere_rows(query_entries.select("h", "first", "vec"), index.groups)
+    else:
+        asking = hashed_rows(query_entries, index, True, shared, k + 1)
+    found = nearest(asking, "found")
     # queries whose buckets hold too few entries are compared with all
     there = entries.groupBy(F.size("vec").alias("dim")).agg(F.least(F.count("*"), F.lit(k + 1)).alias("wanted"))
     have = found.groupBy("q").agg(F.count("*").alias("have"))

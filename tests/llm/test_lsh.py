@@ -98,3 +98,34 @@ def test_query_recall(spark):
     assert set(got) == set(expected) and all(len(v) == 20 for v in got.values())
     right = sum(len(set(dict(got[q])) & set(dict(expected[q]))) for q in expected)
     assert right >= 0.9 * 20 * len(expected)
+
+
+def uneven(n, sigma):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((n, 32))
+    return x / np.linalg.norm(x, axis=1)[:, None] * rng.lognormal(0, sigma, n)[:, None]
+
+
+def recall(x, got, k):
+    score = x[::20] @ x.T
+    score[np.arange(len(score)), np.arange(0, len(x), 20)] = -np.inf
+    top = np.argsort(-score, axis=1)[:, :k]
+    return np.mean([len(set(t) & {i for i, _ in got.get(20 * j, [])}) / k for j, t in enumerate(top.tolist())])
+
+
+def test_fit_counts_unreachable_neighbours(spark):
+    """Uneven norms: what the fit calls reached is found."""
+    for sigma in (0.5, 1.0):
+        x = uneven(3_000, sigma)
+        rows = [(i, v) for i, v in enumerate(x.tolist())]
+        share = recall(x, found(lsh.search(frame(spark, rows), k=20, every=20)), 20)
+        assert share >= 0.93, (sigma, share)
+
+
+def test_exact_without_a_setting(spark, monkeypatch):
+    monkeypatch.setattr(lsh, "WIDEN", [])
+    x = uneven(600, 1.0)
+    assert lsh.fit(x, len(x), float((x * x).sum(axis=1).max()), 20).exact
+    monkeypatch.setattr(lsh, "BLOCK", 100)  # several blocks and groups
+    monkeypatch.setattr(lsh, "GROUP", 64)
+    assert recall(x, found(lsh.search(frame(spark, [(i, v) for i, v in enumerate(x.tolist())]), k=20, every=20)), 20) == 1.0
