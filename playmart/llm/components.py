@@ -43,3 +43,13 @@ def components(edges: DataFrame) -> DataFrame:
             break
         seen = found
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def stars(shared: DataFrame, bucket: str, member: str) -> DataFrame:
+    """(member, head) edges from the members of each bucket to its smallest.
+    The smallest is found by partial aggregates, and the members of a large
+    bucket are joined in parts, so none of it is a single task's."""
+    heads = (
+        shared.groupBy(bucket).agg(F.min(member).alias("head"), F.max(member).alias("last")).where("head < last").select(bucket, "head")
+    )
+    return shared.join(heads, bucket).where(F.col(member) != F.col("head")).select(member, "head")

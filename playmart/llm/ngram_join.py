@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmart.llm import common, components, setlinks, vocab
@@ -209,12 +209,7 @@ def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100) -> Da
     )
 
     # a star per signature around its smallest document
-    bucket = Window.partitionBy("s").orderBy("doc_id")
-    shared = (
-        base.select("doc_id", F.explode("signatures").alias("s"))
-        .select("doc_id", F.first("doc_id").over(bucket).alias("head"))
-        .where("doc_id <> head")
-    )
+    shared = components.stars(base.select("doc_id", F.explode("signatures").alias("s")), "s", "doc_id")
     near = base.select("doc_id", F.explode("near").alias("head"))
     rooted = components.components(shared.unionByName(near).unionByName(equal).distinct())
     grouped = rooted.unionByName(rooted.select(F.col("root").alias("node"), "root").distinct())

@@ -251,3 +251,15 @@ def test_one_edit_in_a_short_line(docs_of):
     assert {(10 + n, 0) for n in range(60)} <= expected
     # banding may miss a pair at the threshold, never add one
     assert got <= expected and len(got) >= 0.97 * len(expected)
+
+
+def test_stars_without_a_window(spark):
+    rng = random.Random(2)
+    rows = [(rng.randrange(30), rng.randrange(500)) for _ in range(300)] + [(99, 7), (99, 7), (98, 3)] + [(97, i) for i in range(400)]
+    edges = components.stars(spark.createDataFrame(rows, "bucket long, node long"), "bucket", "node")
+    least = defaultdict(lambda: 10**9)
+    for b, n in rows:
+        least[b] = min(least[b], n)
+    assert sorted(tuple(r) for r in edges.collect()) == sorted((n, least[b]) for b, n in rows if n != least[b])
+    assert "Window" not in edges._jdf.queryExecution().toString()
+    assert not hasattr(line_dedup, "Window") and not hasattr(ngram_join, "Window")
