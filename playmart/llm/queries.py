@@ -11,7 +11,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.llm import bpe, line_dedup, lsh, ngram_join, packing, quality, token_counts, toxicity, url_filter, warc
+from playmart.llm import (
+    bpe,
+    collocations,
+    line_dedup,
+    lsh,
+    ngram_join,
+    packing,
+    quality,
+    reversed_search,
+    token_counts,
+    toxicity,
+    url_filter,
+    warc,
+)
 from playmart.llm.common import materialize, table
 from playmart.session import scratch_path
 
@@ -100,6 +113,14 @@ def op10_warc_transactions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_reversed_search(spark: SparkSession, sf: str) -> DataFrame:
+    return reversed_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op13_quotient_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_multiprobe_lsh": op1_multiprobe_lsh,
     "op2_compression_toxicity": op2_compression_toxicity,
@@ -111,6 +132,8 @@ QUERIES: dict[str, Query] = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_token_counts": op9_token_counts,
     "op10_warc_transactions": op10_warc_transactions,
+    "op12_reversed_search": op12_reversed_search,
+    "op13_quotient_collocations": op13_quotient_collocations,
 }
 
 
@@ -139,4 +162,50 @@ SELECT page_id, host, path, CASE {rule} END AS rule,
 FROM parts"""
 
 
-ORACLE: dict[str, str] = {"op4_url_automaton": _op4_sql()}
+LOWERED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_TERMS = "regexp_extract_all(" + LOWERED.format("text") + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP12_SQL = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS words FROM documents),
+total AS (SELECT count(*) AS n_docs, sum(len(words)) AS n_terms FROM doc WHERE len(words) > 0),
+tf AS (SELECT r, any_value(doc_id) AS doc_id, any_value(len(words)) AS n, term, count(*) AS tf
+  FROM (SELECT r, doc_id, words, unnest(words) AS term FROM doc) GROUP BY r, term),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM tf, total GROUP BY term, n_docs),
+item AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+scored AS (SELECT item_id, r, any_value(doc_id) AS doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM item JOIN tf USING (term) JOIN weight USING (term), total GROUP BY item_id, r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10"""
+
+OP13_SQL = f"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array({LOWERED.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+word AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM word GROUP BY lang),
+gram AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS p
+  FROM word CROSS JOIN (VALUES (1), (2), (3), (4)) AS sizes(m) WHERE len(w) >= m),
+f AS (SELECT lang, p, any_value(m) AS m, count(*) AS f FROM gram GROUP BY lang, p HAVING count(*) >= 30),
+cand AS (SELECT lang, p, m, f AS a, string_split(p, ' ') AS w FROM f WHERE m >= 2),
+part AS (SELECT lang, p, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+  FROM cand CROSS JOIN (VALUES (1), (2), (3)) AS cuts(k) WHERE k < m),
+cut AS (SELECT part.lang, part.p, a, k, x.f AS l, y.f AS r, CAST(2000000 * a::HUGEINT // (x.f + y.f) AS BIGINT) AS score
+  FROM part JOIN f x ON x.lang = part.lang AND x.p = head JOIN f y ON y.lang = part.lang AND y.p = tail),
+weakest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inside AS (SELECT lang, a, unnest(list_transform(range(1, m - s + 2), lambda i: array_to_string(w[i:i + s - 1], ' '))) AS p
+  FROM cand CROSS JOIN (VALUES (2), (3)) AS inner_sizes(s) WHERE s < m),
+cover AS (SELECT lang, p, max(a) AS cover FROM inside GROUP BY lang, p),
+kept AS (SELECT q.* FROM weakest q LEFT JOIN cover c ON c.lang = q.lang AND c.p = q.p
+  WHERE cover IS NULL OR 100 * cover < 80 * q.a),
+ranked AS (SELECT lang, a, l, r, score, p AS phrase,
+  row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+
+ORACLE: dict[str, str] = {
+    "op4_url_automaton": _op4_sql(),
+    "op12_reversed_search": OP12_SQL,
+    "op13_quotient_collocations": OP13_SQL,
+}
