@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from playmart.llm import (
     bpe,
     collocations,
+    hidden_markov,
     line_dedup,
     lsh,
     ngram_join,
@@ -113,6 +114,11 @@ def op10_warc_transactions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_hidden_markov(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return hidden_markov.score(docs, hidden_markov.fit(docs))
+
+
 def op12_reversed_search(spark: SparkSession, sf: str) -> DataFrame:
     return reversed_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -132,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_token_counts": op9_token_counts,
     "op10_warc_transactions": op10_warc_transactions,
+    "op11_hidden_markov": op11_hidden_markov,
     "op12_reversed_search": op12_reversed_search,
     "op13_quotient_collocations": op13_quotient_collocations,
 }
