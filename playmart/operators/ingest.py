@@ -18,14 +18,25 @@ from playmart.functions import scalars
 from playmart.functions.sqltext import date_text
 
 
+# Follows the body in its wrapper; a body that holds it is no document.
+_END = "end of the wrapped body"
+
+
 def document_sql(schema: T.DataType) -> str:
     """SQL of an array: the parsed ``body``, or empty if the body is not
-    exactly one JSON document (also when text follows a valid one).
+    exactly one JSON document (also when text follows a valid one, or when
+    strings stand in single quotes; ``NaN`` is a number, as in the decoder
+    the documents were made for).
 
-    Wrapped in brackets, a body must parse as an array of one element.
+    The body stands in an array of one element, and a second field follows
+    the array: a bracket in the body that closes the wrapper early hides that
+    field.
     """
-    parsed = f"from_json(concat('[', body, ']'), 'array<{schema.simpleString()}>')"
-    return f"flatten(filter(array({parsed}), a -> size(a) = 1 AND a[0] IS NOT NULL))"
+    wrapper = f"struct<doc: array<{schema.simpleString()}>, `{_END}`: boolean>"
+    wrapped = f"""concat('{{"doc":[', body, '],"{_END}":true}}')"""
+    parsed = f"from_json({wrapped}, '{wrapper}', map('allowSingleQuotes', 'false'))"
+    whole = f"w.`{_END}` AND size(w.doc) = 1 AND w.doc[0] IS NOT NULL AND NOT contains(body, '{_END}')"
+    return f"flatten(transform(filter(array({parsed}), w -> {whole}), w -> w.doc))"
 
 
 def documents(docs: DataFrame, schema: T.DataType, *columns: str) -> DataFrame:

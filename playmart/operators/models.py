@@ -56,7 +56,11 @@ def fact_game_playtime(comment_data: DataFrame, game_info: DataFrame) -> DataFra
     The comment side is reduced to one row per game before the join (partial
     then final aggregate), so the join sees games, not comments.
     """
-    av = playtime_per_game(comment_data)
+    return playtime_fact(playtime_per_game(comment_data), game_info)
+
+
+def playtime_fact(av: DataFrame, game_info: DataFrame) -> DataFrame:
+    """The fact from per-game playtime aggregates (also kept ones)."""
     info = game_info.select("game_id", "game_name", "genre")
     return av.join(info, "game_id", "inner").select(*schemas.FACT_GAME_PLAYTIME.fieldNames())
 
@@ -147,7 +151,6 @@ def analytics_release_date(game_info: DataFrame, comment_data: DataFrame, game_s
     the game count. Both per-game averages are computed before the joins, so
     every join is game-to-game; the month filter sits on the catalogue scan.
     """
-    gi = game_info.select("game_id", "release_date", "negative_cnt", "positive_cnt").filter("length(release_date) = 7")
     cm = comment_data.groupBy("game_id").agg(
         F.expr("avg(total_playtime)").alias("total_playtime"),
         F.expr("avg(last_two_weeks_playtime)").alias("last_two_weeks_playtime"),
@@ -156,6 +159,13 @@ def analytics_release_date(game_info: DataFrame, comment_data: DataFrame, game_s
         F.expr("avg(user_cnt)").alias("user_cnt"),
         F.expr("avg(review_cnt)").alias("review_cnt"),
     )
+    return release_months(game_info, cm, gs)
+
+
+def release_months(game_info: DataFrame, cm: DataFrame, gs: DataFrame) -> DataFrame:
+    """The release-month model from per-game means of comments and snapshots
+    (also kept ones)."""
+    gi = game_info.select("game_id", "release_date", "negative_cnt", "positive_cnt").filter("length(release_date) = 7")
     joined = gi.join(cm, "game_id", "inner").join(gs, "game_id", "inner")
     return joined.groupBy(F.expr("substring(release_date, 6, 2)").alias("month")).agg(
         F.expr("round(avg(total_playtime))").alias("total_playtime_avg"),

@@ -33,7 +33,11 @@ SOURCE_TESTS = [
 
 
 class DataQualityError(RuntimeError):
-    pass
+    """Tests failed; ``failed`` has their failing-row counts."""
+
+    def __init__(self, message: str, failed: dict[str, int] | None = None):
+        super().__init__(message)
+        self.failed = failed or {}
 
 
 def unique_failures(df: DataFrame, column: str) -> DataFrame:
@@ -105,5 +109,5 @@ def gate(tables: dict[str, DataFrame], tests=SOURCE_TESTS) -> dict[str, int]:
     counts = {r["test_name"]: r["failures"] for r in test_results(tables, tests).collect()}
     failed = {k: v for k, v in counts.items() if v}
     if failed:
-        raise DataQualityError(f"data-quality tests failed: {failed}")
+        raise DataQualityError(f"data-quality tests failed: {failed}", failed)
     return counts

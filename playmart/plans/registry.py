@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from playmart import schemas
 from playmart.functions import scalars
 from playmart.operators import dashboard, ingest, models, quality
-from playmart.plans import oracle, pipeline
+from playmart.plans import incremental, oracle, pipeline
 from playmart.session import scratch_path
 from playmart.sources import driver, landing, warehouse
 
@@ -196,6 +196,25 @@ QUERIES: dict[str, Query] = {
     "load_full_refresh": _load_full_refresh,
     # S8, S9
     "csv_round_trip": _csv_round_trip,
+    # M4, A1 / M7, A2-A4 from kept per-game sums, after a slice was replaced
+    "fact_incremental": incremental.fact_incremental,
+    "release_date_incremental": lambda spark, sf: incremental.release_date_incremental(spark, sf, AS_OF),
+    # M9, M10 from kept partitions, after a day was replaced
+    "movers_incremental": lambda spark, sf: incremental.movers_incremental(
+        spark, sf, "daily_user_login_cnt_diff_top15", AS_OF
+    ),
+    "review_movers_incremental": lambda spark, sf: incremental.movers_incremental(
+        spark, sf, "daily_user_review_cnt_diff_top15", AS_OF
+    ),
+    # Q-U, A9 against a stored key index: the whole table, and one batch
+    "dq_unique_incremental": incremental.unique_incremental,
+    "dq_unique_batch": incremental.unique_batch,
+    # S12 by the manifest of staged files, with late files
+    "status_manifest_load": incremental.status_manifest_load,
+    # A whole run, published by one log entry
+    "published_catalogue": lambda spark, sf: incremental.published_catalogue(spark, sf, AS_OF),
+    # Q-G: the gate with a test that fails
+    "dq_gate_verdict": incremental.gate_verdict,
     # Q12: counts of documents each ingest rule dropped or defaulted
     "ingest_report": lambda spark, sf: ingest.ingest_report(
         _landed(spark, sf, "app_details"), _landed(spark, sf, "player_counts"), _parsed_pages(spark, sf)
@@ -237,5 +256,14 @@ ORACLE: dict[str, str] = {
     "status_slice_storage": oracle.status_slice_replace_sql(AS_OF),
     "load_full_refresh": oracle.PARSE_GAME_DETAILS_SQL,
     "csv_round_trip": oracle.CSV_ROUND_TRIP_SQL,
+    "fact_incremental": oracle.with_views("SELECT * FROM fact", "fact"),
+    "release_date_incremental": oracle.RELEASE_DATE_SQL,
+    "movers_incremental": oracle.LOGIN_DIFF_SQL,
+    "review_movers_incremental": oracle.REVIEW_DIFF_SQL,
+    "dq_unique_incremental": oracle.unique_sql("comment_data", "comment_id"),
+    "dq_unique_batch": oracle.unique_batch_sql(incremental.BATCHES, 3),
+    "status_manifest_load": oracle.src_sql("game_status"),
+    "published_catalogue": oracle.published_catalogue_sql(),
+    "dq_gate_verdict": oracle.GATE_VERDICT_SQL,
     "ingest_report": oracle.INGEST_REPORT_SQL,
 }

@@ -112,8 +112,10 @@ def app_details_docs(part: DataFrame) -> DataFrame:
     # two of three documents write the discount as a number
     number = F.regexp_replace(text, r'"discount_percent":"(\d+)"', r'"discount_percent":$1')
     body = (
-        F.when(pk % 67 == 0, F.lit(NOT_JSON))
-        .when(pk % 71 == 0, F.concat(text, F.lit(" <html>")))
+        F.when((pk % 67 == 0) & (pk % 2 == 0), F.lit(NOT_JSON))
+        .when(pk % 67 == 0, F.translate(text, '"', "'"))
+        .when((pk % 71 == 0) & (pk % 2 == 0), F.concat(text, F.lit(" <html>")))
+        .when(pk % 71 == 0, F.concat(text, F.lit("] <html>")))
         .when(pk % 3 == 0, text)
         .otherwise(number)
     )
@@ -135,15 +137,20 @@ def review_summary_docs(lineitem: DataFrame) -> DataFrame:
 def player_count_docs(events: DataFrame) -> DataFrame:
     """Current-player documents: the sum of whole event values of a game.
 
-    Some games answer without a count, some with text that is not JSON, and
-    some have a second document with one player less.
+    Some games answer without a count, some with text that is not JSON (also
+    a document in single quotes, or one followed by text), and some have a
+    second document with one player less.
     """
     per_game = events.filter("user_id IS NOT NULL").groupBy(F.col("user_id").alias("game_id")).agg(
         F.sum(F.floor("value").cast("bigint")).alias("n")
     )
     # a NULL field is left out of the JSON text: {"response": {}}
     document = "to_json(struct(struct(CASE WHEN game_id % 7 <> 0 THEN {n} END AS player_count) AS response))"
-    first = f"CASE WHEN game_id % 13 = 0 THEN '{NOT_JSON}' ELSE {document.format(n='n')} END"
+    bad = (
+        f"CASE game_id % 3 WHEN 0 THEN '{NOT_JSON}' WHEN 1 THEN translate({document.format(n='n + 1')}, '\"', '\\'') "
+        f"ELSE concat({document.format(n='n + 1')}, '] <html>') END"
+    )
+    first = f"CASE WHEN game_id % 13 = 0 THEN {bad} ELSE {document.format(n='n')} END"
     second = document.format(n="CAST(n - 1 AS STRING)")
     return per_game.selectExpr(
         "game_id", f"explode(CASE WHEN game_id % 9 = 0 THEN array({first}, {second}) ELSE array({first}) END) AS body"
@@ -190,8 +197,10 @@ def review_page_docs(lineitem: DataFrame) -> DataFrame:
         "game_id",
         "inline(concat("
         f"transform(array_except(array('KOR', 'ENG'), have), l -> struct(l AS language, -1L AS page_no, '{empty}' AS body)), "
-        f"CASE WHEN game_id % 71 = 0 THEN array(struct('KOR' AS language, -2L AS page_no, '{NOT_JSON}' AS body)) ELSE array() END, "
-        f"CASE WHEN game_id % 73 = 0 THEN array(struct('ENG' AS language, -2L AS page_no, '{empty} <html>' AS body)) ELSE array() END))",
+        f"CASE WHEN game_id % 71 = 0 THEN array(struct('KOR' AS language, -2L AS page_no, "
+        f"if(game_id % 2 = 0, '{NOT_JSON}', '{{\\'reviews\\':[]}}') AS body)) ELSE array() END, "
+        f"CASE WHEN game_id % 73 = 0 THEN array(struct('ENG' AS language, -2L AS page_no, "
+        f"concat('{empty}', if(game_id % 2 = 0, '', ']'), ' <html>') AS body)) ELSE array() END))",
     )
     return pages.unionByName(extra).filter("NOT (game_id % 67 = 0 AND language = 'ENG')")
 

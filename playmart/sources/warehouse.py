@@ -2,13 +2,16 @@
 refresh (S11), date-slice replace (S12) and staging (S13).
 
 All writes are Spark writers running on executors; the driver only plans
-them. Which version of a fully refreshed table is current is itself a small
-table under the table's folder, so it outlives the session.
+them. Which version of a fully refreshed table is current is said by a commit
+log under the table's folder, so it outlives the session.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +20,8 @@ from pyspark.sql import types as T
 
 from playmart.functions.scalars import integer_sql
 from playmart.functions.sqltext import date_text, literal
+from playmart.sources import files
+from playmart.sources.commits import CommitLog
 
 # CSV options that keep text exactly as written: no trimming on write, quote
 # escaped by doubling, quoted values may hold line breaks. A staged file is one
@@ -100,29 +105,28 @@ def land(df: DataFrame, base: str, name: str, as_of, fmt: str = "parquet") -> st
 # Full refresh through a new version folder and a version log
 # --------------------------------------------------------------------------
 
-VERSION_LOG = "seq BIGINT, version STRING"
-
-
 def _table_folder(table_root: str, table: str) -> str:
     return f"{table_root.rstrip('/')}/{table}"
 
 
+def version_log(spark: SparkSession, table: str, table_root: str) -> CommitLog:
+    return CommitLog(spark, f"{_table_folder(table_root, table)}/log")
+
+
 def versions(spark: SparkSession, table: str, table_root: str) -> list[tuple[int, str]]:
-    """(seq, version) of every full refresh of a table, oldest first; one row
-    per refresh, so a few rows a day at most."""
-    try:
-        log = spark.read.schema(VERSION_LOG).parquet(f"{_table_folder(table_root, table)}/log")
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
-    return [(r.seq, r.version) for r in log.orderBy("seq", "version").collect()]
+    """(seq, version) of the full refreshes of a table that the log keeps,
+    oldest first."""
+    return [(e["seq"], e["version"]) for e in version_log(spark, table, table_root).entries()]
+
+
+def version_path(table: str, table_root: str, version: str) -> str:
+    return f"{_table_folder(table_root, table)}/version={version}"
 
 
 def current_path(spark: SparkSession, table: str, table_root: str) -> str | None:
     """Folder of the current version, or None if the table was never loaded."""
-    found = versions(spark, table, table_root)
-    return f"{_table_folder(table_root, table)}/version={found[-1][1]}" if found else None
+    last = version_log(spark, table, table_root).last()
+    return version_path(table, table_root, last["version"]) if last else None
 
 
 def read_current(spark: SparkSession, table: str, table_root: str) -> DataFrame:
@@ -136,19 +140,70 @@ def full_refresh(spark: SparkSession, batch: DataFrame, table: str, table_root:
     """Replace the whole content of ``table`` with ``batch``.
 
     The batch is written to a fresh version folder (never the folder being
-    read, so the batch may itself read the table). Last, one row is appended
-    to the table's version log, which makes that folder the current one for
-    every session. A run that fails before leaves the old version current.
+    read, so the batch may itself read the table). Last, one entry is put
+    into the table's version log, which makes that folder the current one for
+    every session. A run that fails before leaves the old version current; of
+    two runs at once both get an entry, the later one is current.
     """
     version = run_id or uuid.uuid4().hex
-    known = versions(spark, table, table_root)
-    path = f"{_table_folder(table_root, table)}/version={version}"
+    path = version_path(table, table_root, version)
     batch.write.mode("errorifexists").parquet(path)
-    entry = spark.createDataFrame([(known[-1][0] + 1 if known else 1, version)], VERSION_LOG)
-    entry.coalesce(1).write.mode("append").parquet(f"{_table_folder(table_root, table)}/log")
+    version_log(spark, table, table_root).append(lambda last: {"version": version})
     return path
 
 
+@contextmanager
+def reading(spark: SparkSession, table: str, table_root: str) -> Iterator[DataFrame]:
+    """The current version under a lease: ``expire`` keeps its files until the
+    block ends. A reader that dies leaves its lease; it runs out."""
+    lease = f"{_table_folder(table_root, table)}/leases/{uuid.uuid4().hex}"
+    try:
+        while True:
+            path = current_path(spark, table, table_root)
+            if path is None:
+                raise ValueError(f"table {table} has not been loaded under {table_root}")
+            files.write_text(spark, lease, path.rsplit("version=", 1)[1])
+            if files.exists(spark, path):  # else it expired before the lease was there
+                break
+        yield spark.read.parquet(path)
+    finally:
+        files.delete(spark, lease)
+
+
+LEASE_SECONDS = 24 * 3600
+
+
+def expire(
+    spark: SparkSession, table: str, table_root: str, keep: int = 2, lease_seconds: int = LEASE_SECONDS, now: float | None = None
+) -> list[str]:
+    """Removes versions of a table that nothing can reach any more, and says
+    which: all but those of the last ``keep`` log entries and those under a
+    lease younger than ``lease_seconds``. Folders that the log does not name
+    may belong to a refresh still running; they go when they are older than
+    that too. Log entries go with their version."""
+    folder = _table_folder(table_root, table)
+    oldest = ((now or time.time()) - lease_seconds) * 1000
+    log = version_log(spark, table, table_root)
+    entries = log.entries()
+    leases = files.children(spark, f"{folder}/leases")
+    held = {files.read_text(spark, f"{folder}/leases/{name}") for name, modified in leases if modified >= oldest}
+    held |= {e["version"] for e in entries[-max(1, keep) :]}
+    logged = {e["version"] for e in entries}
+    gone = []
+    for name, modified in files.children(spark, folder):
+        version = name.removeprefix("version=")
+        if name != version and version not in held and (version in logged or modified < oldest):
+            files.delete(spark, f"{folder}/{name}")
+            gone.append(version)
+    for name, modified in leases:
+        if modified < oldest:
+            files.delete(spark, f"{folder}/leases/{name}")
+    kept = [e["seq"] for e in entries if e["version"] in held]
+    if kept:
+        log.drop_before(min(kept))
+    return gone
+
+
 # --------------------------------------------------------------------------
 # Date-slice replace
 # --------------------------------------------------------------------------
@@ -202,12 +257,21 @@ def write_slice(batch: DataFrame, table_path: str, as_of, date_column: str = "cr
             raise
         write_days(batch, table_path, date_column)
         return table_path
-    others = batch.filter(~on_day).select(F.col(date_column).alias("other_day")).distinct()
-    kept = existing.join(others, F.col(date_column).eqNullSafe(F.col("other_day")), "left_semi")
-    write_days(batch.unionByName(kept.select(*batch.columns)), table_path, date_column)
+    # the few other days of one batch, so that only their partitions are read
+    others = [r[0] for r in batch.filter(~on_day).select(date_column).distinct().collect()]
+    if others:
+        batch = batch.unionByName(existing.filter(on_days(date_column, others)).select(*batch.columns))
+    write_days(batch, table_path, date_column)
     return table_path
 
 
+def on_days(date_column: str, days: list) -> Column:
+    """Rows of one of the days (dates; None is the rows without a date)."""
+    known = [date_text(d) for d in days if d is not None]
+    some = F.col(date_column).isin([F.lit(d).cast("date") for d in known]) if known else F.lit(False)
+    return some | F.col(date_column).isNull() if len(known) < len(days) else some
+
+
 def read_partitioned(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:
     """Read a day-partitioned table with its declared schema (the partition
     column is typed by the schema, not inferred from folder names)."""

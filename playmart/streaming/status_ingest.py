@@ -11,6 +11,8 @@ a replayed micro-batch leaves the same table.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +20,6 @@ from pyspark.sql.streaming import StreamingQuery
 from playmart import schemas
 from playmart.operators import ingest
 from playmart.plans.pipeline import Warehouse
-from playmart.sources import warehouse
 
 LANDED_COUNTS = "game_id BIGINT, body STRING, dt DATE"
 
@@ -34,7 +35,8 @@ def load_days(batch: DataFrame, wh: Warehouse, landed_counts: str) -> list[str]:
         docs = wh.spark.read.schema(LANDED_COUNTS).parquet(landed_counts).filter(F.col("dt").cast("string").isin(days))
         totals = ingest.game_review_totals(wh.table("game_info"))
         slices = ingest.ingest_status_days(totals, docs, days)
-        warehouse.write_days(slices.select(*schemas.GAME_STATUS.fieldNames()), wh.status_path)
+        rows = slices.select(*schemas.GAME_STATUS.fieldNames())
+        wh.publish({}, wh.write_status(rows, f"stream-{uuid.uuid4().hex}", days))
     return days
 
 

@@ -14,7 +14,11 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-WRITERS = {"load_full_refresh", "csv_round_trip", "status_slice_storage", "parse_reviews", "ingest_report"}
+WRITERS = {
+    "load_full_refresh", "csv_round_trip", "status_slice_storage", "parse_reviews", "ingest_report",
+    "fact_incremental", "release_date_incremental", "movers_incremental", "review_movers_incremental",
+    "dq_unique_incremental", "dq_unique_batch", "status_manifest_load", "published_catalogue", "dq_gate_verdict",
+}
 
 
 def summarise(plan: str) -> dict[str, str]:

@@ -2,6 +2,9 @@
 
 import json
 
+import pytest
+
+from playmart import schemas
 from playmart.operators import ingest
 
 
@@ -243,3 +246,31 @@ def test_ingest_report_counts_rule_outcomes(spark):
         ("review_pages", "not_json"): 1,
         ("review_pages", "games_dropped"): 2,  # a bad page; no English page
     }
+
+
+@pytest.mark.parametrize(
+    "body, count",
+    [
+        ('{"response":{"player_count":5}}', 5),
+        (' {"response":{"player_count":5}}\n', 5),
+        ('{"response":{"player_count":"5","note":"it\'s ] fine } \\"end\\""}}', 5),
+        ("{'response':{'player_count':5}}", 0),  # strings in single quotes
+        ('{"response":{"player_count":5}}] <html>', 0),  # text after a closing bracket
+        ('{"response":{"player_count":5}}]}', 0),
+        ('{"response":{"player_count":5}}]} <html>', 0),
+        ('{"response":{"player_count":5}} <html>', 0),
+        ('{"response":{"player_count":5}},{"response":{"player_count":6}}', 0),
+        ('{"response":{"player_count":5}},"x":1', 0),
+        ('[{"response":{"player_count":5}}]', 0),
+        ('{"response":{"player_count":5}}],"end of the wrapped body":true}', 0),
+        ('{"response":{"player_count":5}', 0),
+        ("", 0),
+        ("null", 0),
+        (None, 0),
+    ],
+)
+def test_exactly_one_document(spark, body, count):
+    docs = spark.createDataFrame([(1, body)], "game_id BIGINT, body STRING")
+    assert [tuple(r) for r in ingest.parse_player_counts(docs).collect()] == [(1, count)]
+    valid = ingest.checked_documents(docs, schemas.PLAYER_COUNT_BODY, "game_id").first().valid
+    assert valid == (count == 5)

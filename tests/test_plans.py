@@ -7,7 +7,11 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 from playmart.plans.registry import QUERIES
 
-WRITERS = {"load_full_refresh", "csv_round_trip", "status_slice_storage", "parse_reviews", "ingest_report"}  # these write on build
+WRITERS = {
+    "load_full_refresh", "csv_round_trip", "status_slice_storage", "parse_reviews", "ingest_report",
+    "fact_incremental", "release_date_incremental", "movers_incremental", "review_movers_incremental",
+    "dq_unique_incremental", "dq_unique_batch", "status_manifest_load", "published_catalogue", "dq_gate_verdict",
+}  # these write on build
 
 
 def physical(df) -> str:
