@@ -1,14 +1,19 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained from labelled texts: the ordinary one
-holds the most common words of ordinary texts that are not toxic words, the
-toxic one the words whose document frequency is significantly higher in toxic texts, after the same common
-words. Both have the same length, so the common words cost the same in
-either, and tables and search depth are sized to the content. A text is compressed in windows of ``WINDOW_WORDS`` words
-with either dictionary; where the toxic one gives shorter windows, the text
-says what toxic texts say. The lengths saved are summed up per text, and a
-logistic calibration fitted on labelled texts outside the dictionaries' part
-turns them into a score from 0 to 1; 0.5 is the threshold.
+Two zstandard dictionaries are trained by zstandard's trainer: the ordinary
+one on windows of ordinary texts, the toxic one on what toxic texts say and
+ordinary ones do not, namely the runs of their units (words, pairs of words,
+and four-character pieces of scripts without spaces) whose document frequency
+is significantly higher in toxic texts. A text is compressed in windows of
+``WINDOW_WORDS`` words with the ordinary dictionary alone, and with the toxic
+one behind it; both contents have the same length, so that ordinary text costs
+the same. Where the toxic one gives shorter windows, the text says what toxic
+texts say. The lengths saved are summed up per text, and a logistic
+calibration fitted on labelled texts outside the dictionaries' part turns
+them into a score from 0 to 1; 0.5 is the threshold.
+
+The trainer sees at most about ``SAMPLE_BYTES`` of windows per dictionary,
+chosen by hash; where these are too few for it, they are the dictionary.
 
 The model is fitted on a bounded sample: about ``FIT_ROWS`` labelled rows
 outside the held-out fold (crc32 of the id's text mod 5 is 0), chosen by hash
@@ -23,6 +28,7 @@ scored alike; extra columns are ignored; an empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,11 +40,20 @@ from playmart.llm import common
 FIT_ROWS = 30_000
 CALIBRATION_SHARE = 0.25
 WINDOW_WORDS = 16
-ORDINARY_WORDS = 40_000
-TOXIC_WORDS = 4_000
+# Sizes of the trained dictionaries, and of what they are trained on.
+ORDINARY_BYTES = 112_640
+TOXIC_BYTES = 2_048
+SAMPLE_BYTES = 8 << 20
+# Words, or runs of toxic units, per training window; the trainer's segments
+# and the strings it looks for, in bytes.
+SAMPLE_WORDS = 4
+SEGMENT, STRING = 16, 6
+TOXIC_UNITS = 4_000
 LONGEST_WORD = 40
-# Least log-likelihood ratio of a toxic word's document counts.
+PIECE = 4
+# Least log-likelihood ratio of a toxic unit's document counts.
 LEAST_EVIDENCE = 16.0
+UNITS_HELD = 1_000_000
 # Never in UTF-8: evens out the lengths of the dictionaries.
 FILLER = b"\xff"
 # Follows each window, as zstandard does not look for matches in the last eight
@@ -65,8 +80,8 @@ class Model:
 
 
 def compressor(content: bytes):
-    """Small-window compressor that starts from raw dictionary content, with
-    a search tree that has room for every byte of it."""
+    """Small-window compressor that starts from dictionary content, with
+    tables that have room for every byte of it."""
     import zstandard as zs
 
     size = max(10, len(content).bit_length())
@@ -74,11 +89,11 @@ def compressor(content: bytes):
         format=zs.FORMAT_ZSTD1_MAGICLESS,
         window_log=max(19, size),
         hash_log=size,
-        chain_log=size + 1,
-        search_log=7,
+        chain_log=size,
+        search_log=6,
         min_match=4,
         target_length=32,
-        strategy=zs.STRATEGY_BTLAZY2,
+        strategy=zs.STRATEGY_LAZY,
         write_content_size=0,
         write_checksum=0,
         write_dict_id=0,
@@ -155,6 +170,123 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return common.materialize(found.select("text", "toxic", "calibrates"), "toxicity-sample")
 
 
+def places_of_units(text: str) -> tuple[str, list[tuple[int, int]]]:
+    """A text in lower case with single spaces, and where its units stand in
+    it: words, pairs of words, and pieces of words too long to be ones."""
+    words = text.lower().split()
+    places, at, last = [], 1, None
+    for w in words:
+        end = at + len(w)
+        if len(w) <= LONGEST_WORD:
+            places.append((at, end))
+            if last is not None:
+                places.append((last, end))
+            last = at
+        else:
+            places += [(i, i + PIECE) for i in range(at, end - PIECE + 1)]
+            last = None
+        at = end + 1
+    return f" {' '.join(words)} ", places
+
+
+def unit_counts(train: DataFrame) -> DataFrame:
+    """(unit, t, o): toxic and ordinary texts that hold each unit."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        found: tuple[Counter, Counter] = (Counter(), Counter())
+
+        def rows():
+            units = list(found[0].keys() | found[1].keys())
+            columns = [pa.array(units, pa.string()), *[pa.array([c[u] for u in units], pa.int64()) for c in (found[1], found[0])]]
+            return pa.RecordBatch.from_arrays(columns, ["unit", "t", "o"])
+
+        for batch in batches:
+            for toxic, text in zip(batch.column("toxic").to_pylist(), common.texts(batch.column("text"))):
+                whole, places = places_of_units(text)
+                found[toxic].update({whole[a:b] for a, b in places})
+                if len(found[0]) + len(found[1]) >= UNITS_HELD:
+                    yield rows()
+                    found = (Counter(), Counter())
+        yield rows()
+
+    counts = train.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(run, "unit string, t long, o long")
+    return counts.groupBy("unit").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+
+
+def toxic_units(train: DataFrame, toxic: float, ordinary: float) -> list[str]:
+    """The units with the strongest evidence, by the log-likelihood ratio of
+    their document counts in the two classes."""
+    expected = f"((t + o) * {toxic} / {toxic + ordinary})"
+    part = lambda x, e: f"(CASE WHEN {x} > 0 THEN {x} * ln({x} / {e}) ELSE 0D END)"
+    others = f"((t + o) * {ordinary} / {toxic + ordinary})"
+    units = unit_counts(train).where(f"t > {expected} * 3")
+    units = units.withColumn("evidence", F.expr(f"2 * ({part('t', expected)} + {part('o', others)})"))
+    told = units.where(F.col("evidence") >= LEAST_EVIDENCE).orderBy(F.desc("evidence"), "unit").limit(TOXIC_UNITS)
+    return sorted(r.unit for r in told.select("unit").collect())
+
+
+def runs_of(text: str, units: set[str]) -> list[str]:
+    """The parts of a text that toxic units cover, a space on either side of
+    those at the border of a word."""
+    whole, places = places_of_units(text)
+    runs: list[list[int]] = []
+    for a, b in sorted(p for p in places if whole[p[0] : p[1]] in units):
+        a, b = a - (whole[a - 1] == " "), b + (whole[b] == " ")
+        if runs and a < runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], b)
+        else:
+            runs.append([a, b])
+    return [whole[a:b] for a, b in runs]
+
+
+def training_windows(train: DataFrame, units: list[str] | None) -> list[bytes]:
+    """What a dictionary is trained on: windows of ordinary texts, or with
+    ``units`` runs of these in toxic texts. At most about ``SAMPLE_BYTES``,
+    chosen by hash of the text and the place, in an order of their own."""
+    known = None if units is None else set(units)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for text in common.texts(batch.column("text")):
+                if known is None:
+                    words = text.lower().split()
+                    parts = [f" {' '.join(words[i : i + SAMPLE_WORDS])} " for i in range(0, len(words), SAMPLE_WORDS)]
+                else:
+                    runs = runs_of(text, known)
+                    parts = ["".join(runs[i : i + SAMPLE_WORDS]) for i in range(0, len(runs), SAMPLE_WORDS)]
+                mark = hashlib.md5(text.encode("utf-8", "replace")).hexdigest()
+                out += [(f"{mark}-{i}", p.encode("utf-8", "replace")) for i, p in enumerate(parts)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.binary())], ["place", "window"]
+            )
+
+    rows = train.where(F.col("toxic") == int(known is not None)).select("text").mapInArrow(run, "place string, window binary")
+    rows = common.materialize(rows, "toxicity-windows")
+    size = rows.agg(F.sum(F.octet_length("window"))).first()[0] or 0
+    limit = int((1 << 32) * min(1.0, SAMPLE_BYTES / max(1, size)))
+    some = rows.where(F.pmod(F.xxhash64("place"), F.lit(1 << 32)) < limit).toArrow()
+    pairs = zip(some.column("place").to_pylist(), some.column("window").to_pylist())
+    return [w for _, w in sorted(pairs, key=lambda p: (hashlib.md5(p[0].encode()).digest(), p))]
+
+
+def trained(windows: list[bytes], size: int) -> bytes:
+    """A dictionary of zstandard's trainer; the windows themselves where they
+    are too few for it."""
+    import zstandard as zs
+
+    if sum(map(len, windows)) > 2 * size:
+        try:
+            return zs.train_dictionary(size, windows, k=SEGMENT, d=STRING).as_bytes()
+        except zs.ZstdError:
+            pass
+    return b"".join(dict.fromkeys(windows))[-size:]
+
+
 def dictionaries(sample: DataFrame) -> tuple[bytes, bytes]:
     """Contents of the ordinary and the toxic dictionary."""
     train = sample.where("not calibrates")
@@ -162,29 +294,10 @@ def dictionaries(sample: DataFrame) -> tuple[bytes, bytes]:
     toxic, ordinary = float(sizes.t or 0), float(sizes.n - (sizes.t or 0))
     if not toxic or not ordinary:
         return b" ", b" "
-    words = (
-        train.select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"\s+"))).alias("word"))
-        .where(f"char_length(word) between 1 and {LONGEST_WORD}")
-        .groupBy("word")
-        .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
-    )
-    words = common.materialize(words, "toxicity-words")
-    # log-likelihood ratio of the word's document counts in the two classes
-    expected = f"((t + o) * {toxic} / {toxic + ordinary})"
-    part = lambda x, e: f"(CASE WHEN {x} > 0 THEN {x} * ln({x} / {e}) ELSE 0D END)"
-    others = f"((t + o) * {ordinary} / {toxic + ordinary})"
-    words = words.withColumn("evidence", F.expr(f"2 * ({part('t', expected)} + {part('o', others)})"))
-    toxic_word = F.expr(f"t > {expected} * 3") & (F.col("evidence") >= LEAST_EVIDENCE)
-    told, common_only = words.where(toxic_word), words.where(~toxic_word & F.expr("o > 0"))
-
-    def top(found: DataFrame, order: str, n: int) -> list[str]:
-        best = common.materialize(found.orderBy(F.desc(order), "word").limit(n).select("word", order), "toxicity-top")
-        return [r.word for r in sorted(best.collect(), key=lambda r: (r[order], r.word))]
-
-    # the strongest words last, where matches are cheapest
-    common_words = f" {' '.join(top(common_only, 'o', ORDINARY_WORDS))} ".encode()
-    toxic_words = f" {' '.join(top(told, 'evidence', TOXIC_WORDS))} ".encode()
-    return common_words + FILLER * len(toxic_words), common_words + toxic_words
+    told = trained(training_windows(train, toxic_units(train, toxic, ordinary)), TOXIC_BYTES)
+    plain = trained(training_windows(train, None), ORDINARY_BYTES)
+    # the toxic part last, where matches are cheapest
+    return plain + FILLER * len(told), plain + told
 
 
 def scored(rows: DataFrame, shared, schema: str, columns: list[str], make) -> DataFrame:
