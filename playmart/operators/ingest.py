@@ -209,9 +209,11 @@ def ingest_status_days(review_totals: DataFrame, count_docs: DataFrame, days: li
 
 
 def parse_review_pages(review_pages: DataFrame) -> DataFrame:
-    """(game_id, language, valid, reviews) of every page, parsed once."""
-    parsed = checked_documents(review_pages, schemas.REVIEW_PAGE_BODY, "game_id", "language")
-    return parsed.select("game_id", "language", "valid", F.col("doc.reviews").alias("reviews"))
+    """(game_id, language, valid, reviews, bad_body) of every page, parsed
+    once; ``bad_body`` is the body of a page that is not valid."""
+    parsed = checked_documents(review_pages, schemas.REVIEW_PAGE_BODY, "game_id", "language", "body")
+    bad = F.when(~F.col("valid"), F.col("body"))
+    return parsed.select("game_id", "language", "valid", F.col("doc.reviews").alias("reviews"), bad.alias("bad_body"))
 
 
 def usable_games(parsed_pages: DataFrame) -> DataFrame:
@@ -261,45 +263,61 @@ def details_report(details_docs: DataFrame) -> DataFrame:
     """App-details documents: total, not JSON, no entry under their own id,
     rejected (not a successful game), coming soon (kept with id only),
     dropped for a missing genres key, unparsable price, unparsable date."""
-    parsed = checked_documents(details_docs, schemas.APP_DETAILS_BODY, "game_id")
-    flags = parsed.selectExpr("valid AS json", "doc[CAST(game_id AS STRING)] AS e").selectExpr(
+    rules = details_rules(details_docs)
+    counts = rules.selectExpr("count(1) AS documents", *[f"count_if({m}) AS {m}" for m in DETAILS_METRICS])
+    return _metric_rows("app_details", counts, ["documents", *DETAILS_METRICS])
+
+
+DETAILS_METRICS = ["not_json", "no_entry", "rejected", "coming_soon", "no_genres", "price_unparsed", "date_unparsed"]
+
+
+def details_rules(details_docs: DataFrame) -> DataFrame:
+    """(game_id, body) and one flag per metric of every app-details document."""
+    parsed = checked_documents(details_docs, schemas.APP_DETAILS_BODY, "game_id", "body")
+    flags = parsed.selectExpr("game_id", "body", "valid AS json", "doc[CAST(game_id AS STRING)] AS e").selectExpr(
+        "game_id",
+        "body",
         "json",
         "e IS NOT NULL AS has_entry",
         "e IS NOT NULL AND coalesce(e.success, false) AND coalesce(e.data.type = 'game', false) AS accepted",
-        "coalesce(e.data.release_date.coming_soon, false) AS coming_soon",
+        "coalesce(e.data.release_date.coming_soon, false) AS coming",
         "e.data AS d",
     )
-    kept = "accepted AND (coming_soon OR d.genres IS NOT NULL)"
+    kept = "accepted AND (coming OR d.genres IS NOT NULL)"
     priced = (
         "NOT coalesce(d.is_free, false) AND d.is_free IS NOT NULL AND d.price_overview.final_formatted IS NOT NULL "
         "AND d.price_overview.discount_percent IS NOT NULL"
     )
-    counts = flags.selectExpr(
-        "count(1) AS documents",
-        "count_if(NOT json) AS not_json",
-        "count_if(json AND NOT has_entry) AS no_entry",
-        "count_if(has_entry AND NOT accepted) AS rejected",
-        "count_if(accepted AND coming_soon) AS coming_soon",
-        "count_if(accepted AND NOT coming_soon AND d.genres IS NULL) AS no_genres",
-        f"count_if({kept} AND NOT coming_soon AND {priced} "
-        f"AND {scalars.parse_price_sql('d.price_overview.final_formatted')} IS NULL) AS price_unparsed",
-        f"count_if({kept} AND NOT coming_soon AND coalesce(d.release_date.date, '') <> '' "
-        f"AND {scalars.parse_release_month_sql('d.release_date.date')} IS NULL) AS date_unparsed",
+    return flags.selectExpr(
+        "game_id",
+        "body",
+        "NOT json AS not_json",
+        "json AND NOT has_entry AS no_entry",
+        "has_entry AND NOT accepted AS rejected",
+        "accepted AND coming AS coming_soon",
+        "accepted AND NOT coming AND d.genres IS NULL AS no_genres",
+        f"{kept} AND NOT coming AND {priced} "
+        f"AND {scalars.parse_price_sql('d.price_overview.final_formatted')} IS NULL AS price_unparsed",
+        f"{kept} AND NOT coming AND coalesce(d.release_date.date, '') <> '' "
+        f"AND {scalars.parse_release_month_sql('d.release_date.date')} IS NULL AS date_unparsed",
     )
-    metrics = ["documents", "not_json", "no_entry", "rejected", "coming_soon", "no_genres", "price_unparsed", "date_unparsed"]
-    return _metric_rows("app_details", counts, metrics)
 
 
 def player_counts_report(count_docs: DataFrame) -> DataFrame:
     """Player-count documents: total, not JSON, JSON without a count (both
     give 0 players)."""
-    parsed = checked_documents(count_docs, schemas.PLAYER_COUNT_BODY, "game_id")
-    counts = parsed.select(F.col("valid").alias("ok"), integer("doc.response.player_count").alias("n")).selectExpr(
-        "count(1) AS documents", "count_if(NOT ok) AS not_json", "count_if(ok AND n IS NULL) AS no_count"
-    )
+    rules = player_count_rules(count_docs)
+    counts = rules.selectExpr("count(1) AS documents", "count_if(not_json) AS not_json", "count_if(no_count) AS no_count")
     return _metric_rows("player_counts", counts, ["documents", "not_json", "no_count"])
 
 
+def player_count_rules(count_docs: DataFrame) -> DataFrame:
+    """(game_id, body) and one flag per metric of every player-count document."""
+    parsed = checked_documents(count_docs, schemas.PLAYER_COUNT_BODY, "game_id", "body")
+    n = integer("doc.response.player_count")
+    return parsed.select("game_id", "body", (~F.col("valid")).alias("not_json"), (F.col("valid") & n.isNull()).alias("no_count"))
+
+
 def review_pages_report(parsed_pages: DataFrame) -> DataFrame:
     """Parsed review pages: games with pages, pages that are not JSON, and
     games dropped for such a page or for a language without a page (a partial

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmart import schemas
-from playmart.operators import game_state, key_index, models, movers, quality
+from playmart.operators import game_state, ingest, key_index, models, movers, quality, quarantine
 from playmart.plans import pipeline
 from playmart.session import scratch_path
 from playmart.sources import driver, landing, manifest, warehouse
@@ -117,3 +117,13 @@ def gate_verdict(spark: SparkSession, sf: str) -> DataFrame:
     except quality.DataQualityError as e:
         failed = e.failed
     return spark.createDataFrame(list(failed.items()), "test_name STRING, failures BIGINT")
+
+
+def quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the written quarantine by source and rule."""
+    pages, path = scratch_path(spark, "review-pages"), scratch_path(spark, "quarantine")
+    ingest.parse_review_pages(landing.landed(spark, sf, "review_pages")).write.parquet(pages)
+    details, counts = (landing.landed(spark, sf, n) for n in ("app_details", "player_counts"))
+    quarantine.write(details, counts, spark.read.parquet(pages), path)
+    kept = quarantine.read(spark, path).groupBy("source", "rule").agg(F.count(F.lit(1)).alias("value"))
+    return kept.select("source", F.col("rule").alias("metric"), "value")

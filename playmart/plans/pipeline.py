@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from playmart import schemas
 from playmart.functions.sqltext import date_text
-from playmart.operators import ingest, quality
+from playmart.operators import ingest, quality, quarantine
 from playmart.plans import catalog
 from playmart.sources import warehouse
 from playmart.sources.commits import CommitLog
@@ -198,6 +198,11 @@ def stage_review_pages(wh: Warehouse, landed: dict[str, DataFrame], as_of: str)
     return warehouse.land(ingest.parse_review_pages(landed["review_pages"]), f"{wh.root}/staging", "review_pages", as_of)
 
 
+def quarantine_path(wh: Warehouse, as_of) -> str:
+    """Where a day's dropped and defaulted documents are kept."""
+    return warehouse.landing_path(f"{wh.root}/quarantine", "documents", as_of)
+
+
 def raw_tables(wh: Warehouse) -> dict[str, DataFrame]:
     return {"game_info": wh.table("game_info"), "game_status": wh.status(), "comment_data": wh.table("comment_data")}
 
@@ -241,12 +246,11 @@ def run_pipeline(spark: SparkSession, landing_dir: str, warehouse_dir: str, as_o
         "comment_data", lambda: wh.write("comment_data", ingest.ingest_comment_data(ids, pages), run.id)
     )
 
-    def report() -> dict[str, int]:
-        """Documents dropped or defaulted by the ingest rules (a few counts)."""
-        rows = ingest.ingest_report(landed["app_details"], landed["player_counts"], pages).collect()
-        return {f"{r['source']}.{r['metric']}": r["value"] for r in rows}
-
-    result.ingest_report = run.stage("ingest_report", report)
+    # documents dropped or defaulted by the ingest rules, and their counts
+    path = quarantine_path(wh, as_of)
+    result.ingest_report = run.stage(
+        "quarantine", lambda: quarantine.write(landed["app_details"], landed["player_counts"], pages, path)
+    )
     return test_and_publish(wh, run, tables, status, result)
 
 

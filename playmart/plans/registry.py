@@ -215,6 +215,8 @@ QUERIES: dict[str, Query] = {
     "published_catalogue": lambda spark, sf: incremental.published_catalogue(spark, sf, AS_OF),
     # Q-G: the gate with a test that fails
     "dq_gate_verdict": incremental.gate_verdict,
+    # The documents kept in quarantine, by source and rule
+    "quarantine_counts": incremental.quarantine_counts,
     # Q12: counts of documents each ingest rule dropped or defaulted
     "ingest_report": lambda spark, sf: ingest.ingest_report(
         _landed(spark, sf, "app_details"), _landed(spark, sf, "player_counts"), _parsed_pages(spark, sf)
@@ -265,5 +267,7 @@ ORACLE: dict[str, str] = {
     "status_manifest_load": oracle.src_sql("game_status"),
     "published_catalogue": oracle.published_catalogue_sql(),
     "dq_gate_verdict": oracle.GATE_VERDICT_SQL,
+    "quarantine_counts": f"SELECT * FROM ({oracle.INGEST_REPORT_SQL}) WHERE value > 0 "
+    "AND metric NOT IN ('documents', 'coming_soon', 'games')",
     "ingest_report": oracle.INGEST_REPORT_SQL,
 }

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from playmart import schemas
-from playmart.operators import game_state, key_index, models, movers, quality
+from playmart.operators import game_state, ingest, key_index, models, movers, quality, quarantine
 from playmart.plans import pipeline
 from playmart.sources import files, landing, manifest, warehouse
 from playmart.sources.commits import CommitLog
@@ -412,3 +412,41 @@ def test_slice_with_other_days_is_one_commit(spark):
     assert rows_of(wh.status()) == [(1, one, 1, 1), (2, one, 3, 3), (3, None, 4, 4)]
     load([], "2024-01-01")
     assert rows_of(wh.status()) == [(3, None, 4, 4)]
+
+
+# -- quarantine ---------------------------------------------------------------
+
+
+def test_quarantine_equals_the_report_and_replays(spark):
+    import json
+
+    landed = {name: landing.landed(spark, SF_SMALL, name) for name in ("app_details", "player_counts", "review_pages")}
+    pages = ingest.parse_review_pages(landed["review_pages"])
+    path = scratch("quarantine") + "/q"
+    found = quarantine.write(landed["app_details"], landed["player_counts"], pages, path)
+    report = ingest.ingest_report(landed["app_details"], landed["player_counts"], pages)
+    assert found == {f"{r.source}.{r.metric}": r.value for r in report.collect()}
+    kept = quarantine.read(spark, path)
+    counts = {f"{r.source}.{r.rule}": r["count"] for r in kept.groupBy("source", "rule").count().collect()}
+    assert counts == {k: v for k, v in found.items() if v and k.split(".")[1] not in ("documents", "coming_soon", "games")}
+    # bodies are kept as they came
+    bodies = {(r.game_id, r.body) for r in landed["app_details"].collect()}
+    assert {(r.game_id, r.body) for r in kept.filter("source = 'app_details'").collect()} <= bodies
+
+    # one document is repaired, one repaired badly, one was never quarantined
+    bad = [r.game_id for r in kept.filter("source = 'app_details' AND rule = 'not_json'").orderBy("game_id").limit(2).collect()]
+    data = {"type": "game", "name": "Repaired", "is_free": True, "release_date": {"coming_soon": False, "date": ""}, "genres": []}
+    good = json.dumps({str(bad[0]): {"success": True, "data": data}})
+    unknown = json.dumps({"999999": {"success": True, "data": data}})
+    repaired = spark.createDataFrame([(bad[0], good), (bad[1], "{'still': 'bad'}"), (999999, unknown)], "game_id BIGINT, body STRING")
+    rows, stays = quarantine.replay(kept, repaired, "app_details")
+    assert [(r.game_id, r.game_name, r.price, r.genre) for r in rows.collect()] == [(bad[0], "Repaired", 0, "")]
+    assert stays.count() == kept.count() - 1
+    assert stays.filter(F.col("game_id") == bad[0]).filter("source = 'app_details'").count() == 0
+    assert [r.body for r in stays.filter((F.col("game_id") == bad[1]) & (F.col("source") == "app_details")).collect()] == ["{'still': 'bad'}"]
+    counts, _ = quarantine.replay(
+        kept,
+        spark.createDataFrame([(r.game_id, '{"response":{"player_count":9}}') for r in kept.filter("rule = 'no_count'").limit(1).collect()], "game_id BIGINT, body STRING"),
+        "player_counts",
+    )
+    assert [r.player_count for r in counts.collect()] == [9]
