@@ -11,7 +11,7 @@ from playmart import schemas
 from playmart.operators import game_state, ingest, key_index, models, movers, quality, quarantine
 from playmart.plans import pipeline
 from playmart.session import scratch_path
-from playmart.sources import driver, landing, manifest, warehouse
+from playmart.sources import aligned, driver, landing, manifest, warehouse
 from playmart.streaming import status_loader
 
 # Landed batches that the reviews of the driver tables are dealt to.
@@ -127,3 +127,19 @@ def quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
     quarantine.write(details, counts, spark.read.parquet(pages), path)
     kept = quarantine.read(spark, path).groupBy("source", "rule").agg(F.count(F.lit(1)).alias("value"))
     return kept.select("source", F.col("rule").alias("metric"), "value")
+
+
+def _aligned(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
+    tables = aligned.AlignedTables(spark, scratch_path(spark, "aligned"))
+    for name in names:
+        tables.write(name, getattr(driver, name)(spark, sf))
+    return {name: tables.read(name) for name in names}
+
+
+def fact_aligned(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact over tables bucketed by game."""
+    return models.fact_game_playtime(**_aligned(spark, sf, "comment_data", "game_info"))
+
+
+def release_date_aligned(spark: SparkSession, sf: str) -> DataFrame:
+    return models.analytics_release_date(**_aligned(spark, sf, "game_info", "comment_data", "game_status"))

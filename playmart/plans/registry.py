@@ -199,6 +199,9 @@ QUERIES: dict[str, Query] = {
     # M4, A1 / M7, A2-A4 from kept per-game sums, after a slice was replaced
     "fact_incremental": incremental.fact_incremental,
     "release_date_incremental": lambda spark, sf: incremental.release_date_incremental(spark, sf, AS_OF),
+    # M4 and M7 over tables bucketed by game
+    "fact_aligned": incremental.fact_aligned,
+    "release_date_aligned": incremental.release_date_aligned,
     # M9, M10 from kept partitions, after a day was replaced
     "movers_incremental": lambda spark, sf: incremental.movers_incremental(
         spark, sf, "daily_user_login_cnt_diff_top15", AS_OF
@@ -260,6 +263,8 @@ ORACLE: dict[str, str] = {
     "csv_round_trip": oracle.CSV_ROUND_TRIP_SQL,
     "fact_incremental": oracle.with_views("SELECT * FROM fact", "fact"),
     "release_date_incremental": oracle.RELEASE_DATE_SQL,
+    "fact_aligned": oracle.with_views("SELECT * FROM fact", "fact"),
+    "release_date_aligned": oracle.RELEASE_DATE_SQL,
     "movers_incremental": oracle.LOGIN_DIFF_SQL,
     "review_movers_incremental": oracle.REVIEW_DIFF_SQL,
     "dq_unique_incremental": oracle.unique_sql("comment_data", "comment_id"),

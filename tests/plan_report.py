@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 WRITERS = {
     "load_full_refresh", "csv_round_trip", "status_slice_storage", "parse_reviews", "ingest_report",
     "fact_incremental", "release_date_incremental", "movers_incremental", "review_movers_incremental",
-    "dq_unique_incremental", "dq_unique_batch", "status_manifest_load", "published_catalogue", "dq_gate_verdict", "quarantine_counts",
+    "dq_unique_incremental", "dq_unique_batch", "status_manifest_load", "published_catalogue", "dq_gate_verdict", "quarantine_counts", "fact_aligned", "release_date_aligned",
 }
 
 

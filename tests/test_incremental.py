@@ -450,3 +450,44 @@ def test_quarantine_equals_the_report_and_replays(spark):
         "player_counts",
     )
     assert [r.player_count for r in counts.collect()] == [9]
+
+
+# -- game-aligned storage -----------------------------------------------------
+
+
+def test_aligned_tables_need_no_shuffle(spark):
+    from playmart.sources import aligned, driver
+
+    stored = aligned.AlignedTables(spark, scratch("aligned"), buckets=4)
+    with pytest.raises(ValueError, match="has not been written"):
+        stored.read("game_info")
+    raw = driver.raw_tables(spark, SF_SMALL)
+    for name, rows in raw.items():
+        stored.write(name, rows.limit(3))
+        stored.write(name, rows)  # a new version
+    with pytest.raises(ValueError, match="4 buckets"):
+        aligned.AlignedTables(spark, stored.folder, buckets=8).read("game_info")
+    tables = stored.tables()
+    assert all(rows_of(tables[n]) == rows_of(raw[n]) for n in raw)
+
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        info, comments, status = (tables[n] for n in ("game_info", "comment_data", "game_status"))
+        fact = models.fact_game_playtime(comments, info)
+        months = models.analytics_release_date(info, comments, status)
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (fact, months)]
+        assert plans[0].count("Exchange") == 0 and plans[0].count("SortMergeJoin") == 1
+        # the month has to be dealt out; nothing before it is
+        assert plans[1].count("Exchange") == 1 and "Exchange hashpartitioning(_groupingexpression" in plans[1]
+        assert plans[1].count("SortMergeJoin") == 2
+        plain = models.fact_game_playtime(raw["comment_data"], raw["game_info"])
+        assert rows_of(fact) == rows_of(plain)
+        assert rows_of(months) == rows_of(models.analytics_release_date(**raw))
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    # another session names the same files
+    other = aligned.AlignedTables(spark.newSession(), stored.folder, buckets=4)
+    assert rows_of(other.read("game_info")) == rows_of(raw["game_info"])

@@ -10,7 +10,7 @@ from playmart.plans.registry import QUERIES
 WRITERS = {
     "load_full_refresh", "csv_round_trip", "status_slice_storage", "parse_reviews", "ingest_report",
     "fact_incremental", "release_date_incremental", "movers_incremental", "review_movers_incremental",
-    "dq_unique_incremental", "dq_unique_batch", "status_manifest_load", "published_catalogue", "dq_gate_verdict", "quarantine_counts",
+    "dq_unique_incremental", "dq_unique_batch", "status_manifest_load", "published_catalogue", "dq_gate_verdict", "quarantine_counts", "fact_aligned", "release_date_aligned",
 }  # these write on build
 
 
