@@ -183,7 +183,8 @@ def parse(data: bytes) -> Iterator[dict]:
         if headers.get("content-type", "").startswith("application/http"):
             payload = block.partition(b"\r\n\r\n")[2]
         elif kind == "metadata":
-            lines = block.decode("utf-8", "replace").splitlines()
+            # CRLF alone ends a field: a URL may hold other line separators
+            lines = block.decode("utf-8", "replace").split(CRLF)
             fields = [(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in lines) if k]
         digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
         stated = headers.get("warc-payload-digest", "").removeprefix("sha1:")

@@ -79,3 +79,17 @@ def test_query(spark):
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     got = sorted((tuple(r[c] for c in names) for r in op10_warc_transactions(spark, SF).collect()), key=str)
     assert got == expected(pages)
+
+
+def test_urls_plant_no_fields(spark):
+    """Line separators other than CRLF do not end a metadata field."""
+    import json
+
+    urls = ["http://a.com/\u2028page-id: 99", "http://a.com/\x85page-id: 98", "http://a.com/\x0bpage-id: 97", "http://a.com/\r\npage-id: 96"]
+    path = tempfile.mkdtemp(prefix="run-") + "/warc"
+    warc.write_archives(frame(spark, [(i, u, f"body {i}") for i, u in enumerate(urls)]), path)
+    rows = warc.assemble(warc.read_archives(spark, path)).collect()
+    fields = [r.metadata[0].fields for r in rows]
+    assert sorted(f["page-id"] for f in fields) == ["0", "1", "2", "3"]
+    assert {json.loads(f["page"])["url"] for f in fields} == set(urls)
+    assert all(set(f) == {"page-id", "page"} for f in fields)
