@@ -1,5 +1,6 @@
 """Components, exact links, n-gram join and line dedup against brute force."""
 
+import bisect
 import random
 import re
 from collections import defaultdict
@@ -160,11 +161,14 @@ def brute_removed(rows):
     )
     lines = sorted({p[4] for p in places})
     sets = {x: five_characters(x) for x in lines}
-    holding = defaultdict(set)
-    for x in lines:
-        for s in sets[x]:
-            holding[s].add(x)
-    edges = {(x, y) for v in holding.values() for x in v for y in v if x < y and similar(sets[x], sets[y], 80, 100)}
+    # all pairs of lines, but for those whose sizes alone rule it out
+    by_size = sorted(lines, key=lambda x: len(sets[x]))
+    sizes = [len(sets[x]) for x in by_size]
+    edges = set()
+    for i, x in enumerate(by_size):
+        for y in by_size[i + 1 : bisect.bisect_right(sizes, sizes[i] * 100 // 80)]:
+            if similar(sets[x], sets[y], 80, 100):
+                edges.add((x, y))
     root = roots_of(lines, edges)
     seen, out = set(), defaultdict(list)
     for none, k, i, t, line in places:
