@@ -11,9 +11,8 @@ aggregates.
   its ending and length, ``FORMS`` of them) until the last step. That step
   counts expected emissions per word for the whole vocabulary, a distributed
   table that grows with the corpus; it never reaches the driver.
-* The first ``START_STEPS`` steps see about ``START_DOCS`` training texts,
-  chosen by hash of the id, and only give the states to start from. The
-  ``STEPS`` steps after them see all training texts, whole.
+* All ``STEPS`` steps see all training texts, whole. Those before the last
+  read them as symbols, which are looked up once.
 * With c(w, s) the expected count of word w in state s, p(s) the share of
   the state, N training tokens and V distinct ones, state s emits w with
   probability ``(c(w, s) / p(s) + 0.5) / (N + 0.5 (V + 1))``: they sum to 1
@@ -40,14 +39,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playmart.llm.common import materialize
+from playmart.llm.common import materialize, released
 
 STATES = 8
 TIER = 150_000
 FORMS = 4_096
-START_DOCS = 2_000
-START_STEPS = 8
-STEPS = 2
+STEPS = 10
 SEED = 11
 
 END = b""  # no word is empty
@@ -58,7 +55,7 @@ SHARES = (1 << 16) - 1
 CHUNK_TOKENS = 400_000
 WORDS_HELD = 250_000
 SEEN_TEXTS = 200_000
-PART_TEXTS = 2_000
+PART_TEXTS = 500
 
 # Symbols of the sums that are no emissions: starts and moves from a state.
 _STARTS, _MOVES = -1, -2
@@ -108,13 +105,13 @@ def form(word: bytes) -> int:
 # --------------------------------------------------------------------------
 
 
-def parts_of(batch):
+def parts_of(batch, column: str = "text"):
     """A batch in parts of at most ``PART_TEXTS`` rows, texts of like lengths
     together: the recursions take as many steps as the longest text of a
-    chunk has tokens."""
+    chunk has tokens. The texts are in the column ``column``."""
     import pyarrow.compute as pc
 
-    batch = batch.take(pc.array_sort_indices(pc.binary_length(batch.column("text"))))
+    batch = batch.take(pc.array_sort_indices(pc.binary_length(batch.column(column))))
     for a in range(0, batch.num_rows, PART_TEXTS):
         yield batch.slice(a, PART_TEXTS)
 
@@ -267,10 +264,45 @@ def chunks(counts) -> Iterator[tuple[int, int]]:
         yield start, len(counts)
 
 
+def coded(train: DataFrame, shared) -> DataFrame:
+    """(symbols) of each text, four bytes a token: the word's place in the
+    tier, or behind the tier its form."""
+
+    def code(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        tier = shared.value
+        for batch in batches:
+            for part in parts_of(batch):
+                found, counts = words_of(part.column("text"))
+                ids = places_in(found, tier)
+                missing = np.flatnonzero(ids < 0)
+                others = found.take(pa.array(missing)).dictionary_encode()
+                own = np.array([len(tier) + form(word) for word in others.dictionary.to_pylist()], np.int64)
+                ids[missing] = own[others.indices.to_numpy()]
+                ids, ends = ids.astype("<i4"), np.cumsum(counts)
+                rows = [ids[e - n : e].tobytes() for e, n in zip(ends, counts)]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["symbols"])
+
+    return train.select("text").mapInArrow(code, "symbols binary")
+
+
+def symbols_of(column):
+    """The symbols of texts one after the other, and the number of each."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    counts = pc.binary_length(column).to_numpy(zero_copy_only=False) // 4
+    return np.frombuffer(b"".join(column.to_pylist()), "<i4").astype(np.int64), counts
+
+
 def expectations(train: DataFrame, shared, parameters: Parameters, words: bool) -> DataFrame:
-    """Sums of one Baum-Welch step in fixed point: (symbol, n, g0, g1, ...),
-    or for ``words`` (symbol, word, n, g0, ...), one row per word."""
+    """Sums of one Baum-Welch step in fixed point: (symbol, n, g0, g1, ...)
+    from ``coded`` texts, or for ``words`` (symbol, word, n, g0, ...) from
+    texts, one row per word."""
     states = len(parameters.start)
+    column = "text" if words else "symbols"
     model = train.sparkSession.sparkContext.broadcast((parameters.start, parameters.moves, parameters.emit))
     names = [f"g{k}" for k in range(states)]
 
@@ -278,11 +310,11 @@ def expectations(train: DataFrame, shared, parameters: Parameters, words: bool)
         import numpy as np
         import pyarrow as pa
 
-        tier = shared.value
+        tier = shared.value if words else ()
         start, moves, emit = model.value
         start, moves = start.astype(np.float32), moves.astype(np.float32)
         rare: dict[bytes, int] = {}
-        room = len(tier) + (WORDS_HELD if words else FORMS)
+        room = len(tier) + WORDS_HELD if words else len(emit)
         forms = np.arange(room)  # symbol of each id
         sums, seen = np.zeros((states, room)), np.zeros(room, np.int64)
         starts, moved = np.zeros(states), np.zeros((states, states))
@@ -296,24 +328,20 @@ def expectations(train: DataFrame, shared, parameters: Parameters, words: bool)
                 seen = np.concatenate([seen, np.zeros(extra, np.int64)])
 
         def identify(found):
-            """Ids of words: their place in the tier, or behind it their form,
-            or for ``words`` a number of their own."""
+            """Ids of words: their place in the tier, or behind it a number of
+            their own."""
             ids = places_in(found, tier)
             missing = np.flatnonzero(ids < 0)
-            coded = found.take(pa.array(missing)).dictionary_encode()
-            if words:
-                grow(len(coded.dictionary))
+            others = found.take(pa.array(missing)).dictionary_encode()
+            grow(len(others.dictionary))
             own = []
-            for word in coded.dictionary.to_pylist():
-                if words:
-                    known = rare.get(word)
-                    if known is None:
-                        known = rare[word] = len(tier) + len(rare)
-                        forms[known] = len(tier) + form(word)
-                    own.append(known)
-                else:
-                    own.append(len(tier) + form(word))
-            ids[missing] = np.array(own, np.int64)[coded.indices.to_numpy()]
+            for word in others.dictionary.to_pylist():
+                known = rare.get(word)
+                if known is None:
+                    known = rare[word] = len(tier) + len(rare)
+                    forms[known] = len(tier) + form(word)
+                own.append(known)
+            ids[missing] = np.array(own, np.int64)[others.indices.to_numpy()]
             return ids
 
         def learn(texts: list):
@@ -350,13 +378,13 @@ def expectations(train: DataFrame, shared, parameters: Parameters, words: bool)
             return pa.RecordBatch.from_arrays(columns, ["symbol", *(["word"] if words else []), "n", *names])
 
         for batch in batches:
-            for part in parts_of(batch):
-                found, counts = words_of(part.column("text"))
+            for part in parts_of(batch, column):
+                found, counts = (words_of if words else symbols_of)(part.column(column))
                 ends = np.cumsum(counts)
                 # no more words at a time than the tables have room for
                 for a, b in chunks(counts):
                     first, last = (ends[a - 1] if a else 0), ends[b - 1]
-                    ids = identify(found.slice(first, last - first))
+                    ids = identify(found.slice(first, last - first)) if words else found[first:last]
                     learn(np.split(ids, ends[a : b - 1] - first))
                     if words and len(rare) >= WORDS_HELD:
                         yield rows(len(tier))
@@ -366,7 +394,7 @@ def expectations(train: DataFrame, shared, parameters: Parameters, words: bool)
 
     keys = ["symbol", "word"] if words else ["symbol"]
     schema = ("symbol long, word binary, " if words else "symbol long, ") + ", ".join(f"{c} long" for c in ["n", *names])
-    sums = train.select("text").mapInArrow(step, schema)
+    sums = train.select(column).mapInArrow(step, schema)
     return sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ["n", *names]])
 
 
@@ -388,7 +416,8 @@ def improved(sums: DataFrame, symbols: int, states: int) -> Parameters:
     """The parameters after a step; its sums have a row per symbol."""
     import numpy as np
 
-    found = sums.toArrow()
+    with released(sums.sparkSession):
+        found = sums.toArrow()
     symbol = found.column("symbol").to_numpy()
     counts = np.stack([found.column(f"g{k}").to_numpy() for k in range(states)], axis=1).astype(np.float64)
     kept = symbol >= 0
@@ -445,21 +474,17 @@ def fit(docs: DataFrame, states: int = STATES, tier: int = TIER, steps: int = ST
     if not 1 <= states <= 8:
         raise ValueError("1 to 8 states")
     spark = docs.sparkSession
-    train = docs.where(~held_out(F.col("doc_id"))).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    train = docs.where(~held_out(F.col("doc_id"))).select(F.coalesce("text", F.lit("")).alias("text"))
     counted = materialize(word_counts(train), "hmm-words")
-    totals = counted.agg(F.sum("f").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("word") == b"", F.col("f"))).alias("texts")).first()
+    totals = counted.agg(F.sum("f").alias("n"), F.count("*").alias("v")).first()
     level = tier_level(counted, tier)
     top = sorted(counted.where(F.expr(LEVEL) >= level).select("word").toArrow().column("word").to_pylist())
     shared = spark.sparkContext.broadcast(pa.array(top, pa.binary()))
     symbols = len(top) + FORMS
     parameters = first_parameters(symbols, states)
-    limit = int((1 << 32) * min(1.0, START_DOCS / max(1, totals.texts or 0)))
-    some = F.pmod(F.xxhash64("doc_id", F.lit("start")), F.lit(1 << 32)) < limit
-    sample = materialize(train.where(some), "hmm-start")
-    for _ in range(START_STEPS):
-        parameters = improved(expectations(sample, shared, parameters, False), symbols, states)
+    texts = materialize(coded(train, shared), "hmm-symbols")
     for _ in range(steps - 1):
-        parameters = improved(expectations(train, shared, parameters, False), symbols, states)
+        parameters = improved(expectations(texts, shared, parameters, False), symbols, states)
     last = materialize(expectations(train, shared, parameters, True), "hmm-counts")
     names = [f"g{k}" for k in range(states)]
     special = [(r.symbol, [r[c] for c in names]) for r in last.where("symbol < 0").collect()]

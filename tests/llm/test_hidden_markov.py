@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from playmart.llm import hidden_markov as hm
 from playmart.llm.common import table
@@ -151,6 +152,21 @@ def test_fit_does_not_depend_on_the_order_of_rows(docs_of):
     assert sorted(map(tuple, one)) == sorted(map(tuple, two))
 
 
+def test_every_step_sees_all_training_texts(docs_of, monkeypatch):
+    seen, plain = [], hm.expectations
+
+    def watched(*args):
+        sums = plain(*args)
+        seen.append(sums.where("symbol >= 0").agg(F.sum("n")).first()[0])
+        return sums
+
+    monkeypatch.setattr(hm, "expectations", watched)
+    texts = [f"a{i % 7} b{i % 11} rare{i}" for i in range(3_000)]
+    model = hm.fit(docs_of(texts), states=2, tier=20, steps=3)
+    assert model.n == 4 * sum(not held(i) for i in range(3_000))
+    assert seen == [model.n] * 3
+
+
 def test_empty_tables(docs_of):
     empty = docs_of([])
     assert hm.score(empty, hm.fit(empty)).count() == 0
