@@ -1,6 +1,7 @@
 """Components, exact links, n-gram join and line dedup against brute force."""
 
 import bisect
+import os
 import random
 import re
 from collections import defaultdict
@@ -10,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from playmart.llm import components, line_dedup, ngram_join, queries, setlinks
+from playmart.llm import common, components, line_dedup, ngram_join, queries, setlinks
 from playmart.llm.common import table
 
 from .conftest import SF
@@ -215,6 +216,21 @@ def test_lines(docs_of):
     assert line_dedup.removed_lines(docs_of([])).count() == 0 and line_dedup.dedup(docs_of([])).count() == 0
 
 
+def test_scratch_of_line_dedup_is_small(spark, docs_of, monkeypatch):
+    """Candidate lines are written as text, not as eight bytes a character;
+    steps that are through leave no files."""
+    written, plain = [], common.scratch_path
+    monkeypatch.setattr(common, "scratch_path", lambda s, name: written.append((name, plain(s, name))) or written[-1][1])
+    stock = [" ".join(f"word{(i * 37 + j * 11) % 900}" for j in range(20)) for i in range(30)]
+    texts = ["\n".join(stock[i : i + 3]) for i in range(0, 30, 3)] + [x[:40] + "#" + x[41:] for x in stock]
+    removed = line_dedup.removed_lines(docs_of(texts))
+    assert sum(len(r.removed) for r in removed.collect()) >= 25
+    assert {"line-buckets", "line-comps", "line-texts", "deltas", "links"} <= {name for name, _ in written}
+    left = [name for name, path in written if os.path.exists(path.removeprefix("file:"))]
+    assert sorted(left) == ["edges", "line-places", "line-removals"]
+    assert spark.conf.get(common.CLEANUP) == "false"
+
+
 def test_query_op8(spark):
     rows = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
     expected = brute_removed(rows)
