@@ -233,10 +233,19 @@ BUILDERS = {
 }
 
 
+def spread(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """``rows`` over at least as many tasks as there are cores: the reader
+    gives a small file to one task, and documents cost far more to make and
+    parse than the bytes they are made from."""
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One landed input derived from the driver tables."""
     build, table = BUILDERS[name]
-    return build(driver.read_table(spark, sf_dir, table))
+    rows = driver.read_table(spark, sf_dir, table)
+    return build(spread(spark, rows) if table == "part" else rows)
 
 
 def landed_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

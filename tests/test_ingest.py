@@ -3,9 +3,11 @@
 import json
 
 import pytest
+from conftest import SF_SMALL
 
 from playmart import schemas
 from playmart.operators import ingest
+from playmart.sources import driver, landing
 
 
 def details_doc(gid, **data):
@@ -274,3 +276,11 @@ def test_exactly_one_document(spark, body, count):
     assert [tuple(r) for r in ingest.parse_player_counts(docs).collect()] == [(1, count)]
     valid = ingest.checked_documents(docs, schemas.PLAYER_COUNT_BODY, "game_id").first().valid
     assert valid == (count == 5)
+
+
+def test_catalogue_documents_are_made_by_all_cores(spark):
+    """One file of catalogue rows does not make one task, nor one landed file."""
+    docs = landing.landed(spark, SF_SMALL, "app_details")
+    assert docs.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    plain = landing.app_details_docs(driver.read_table(spark, SF_SMALL, "part"))
+    assert sorted(map(tuple, docs.collect())) == sorted(map(tuple, plain.collect()))
