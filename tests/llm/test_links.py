@@ -281,3 +281,54 @@ def test_stars_without_a_window(spark):
     assert sorted(tuple(r) for r in edges.collect()) == sorted((n, least[b]) for b, n in rows if n != least[b])
     assert "Window" not in edges._jdf.queryExecution().toString()
     assert not hasattr(line_dedup, "Window") and not hasattr(ngram_join, "Window")
+
+
+def test_unlike_lines_of_a_bucket_are_no_candidates(spark):
+    """Lines of few syllables share buckets by chance, which made one
+    component of most of them; the edited copies stay candidates."""
+    rng = random.Random(7)
+    syllables = "the in er an on at nd st ou re es ly".split()
+
+    def sentence():
+        return " ".join("".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(90))
+
+    lines = [sentence() for _ in range(900)]
+    copies = {x: f"{x[:90]}#{x[91:]}" for x in lines[:40]}
+    frame = spark.createDataFrame([(x,) for x in [*lines, *copies.values()]], "line string")
+    signed = line_dedup.signatures(frame)
+    shared = defaultdict(list)
+    for r in signed.collect():
+        for b in range(line_dedup.BANDS):
+            shared[(b, *r[1 + b * line_dedup.ROWS :][: line_dedup.ROWS])].append(r.line_key)
+    chained = roots_of({k for ks in shared.values() for k in ks}, [(ks[0], k) for ks in shared.values() for k in ks[1:]])
+    root = list(chained.values())
+    assert max(root.count(x) for x in set(root)) > 300
+    comps = {r.line_key: r.comp for r in line_dedup.candidate_components(signed).collect()}
+    keys = {r.line: r.k for r in frame.selectExpr("line", "xxhash64(line) AS k").collect()}
+    assert sum(comps.get(keys[x], 0) == comps.get(keys[y], 1) for x, y in copies.items()) == 40
+    assert len(comps) <= 100
+
+
+def test_agreeing_sketches(spark):
+    """The condition in SQL counts equal bytes, the sign's one too."""
+    rng = random.Random(8)
+    rows = []
+    for equal in [0, 1, 19, 20, 21, 39, 40, *[rng.randrange(15, 25) for _ in range(60)]]:
+        a = [rng.choice([0, 1, 127, 128, 255, rng.randrange(256)]) for _ in range(40)]
+        same = set(rng.sample(range(40), equal))
+        b = [x if i in same else x ^ (1 << rng.randrange(8)) for i, x in enumerate(a)]
+        words = [int.from_bytes(bytes(x[8 * w : 8 * w + 8]), "little", signed=True) for x in (a, b) for w in range(5)]
+        rows.append((equal, *words))
+    frame = spark.createDataFrame(rows, "equal int, " + ", ".join(f"{p}{s} long" for p in "ab" for s in line_dedup.WORDS))
+    got = frame.selectExpr("equal", f"{line_dedup.agree('a', 'b')} AS agree").collect()
+    assert all(r.agree == (r.equal >= line_dedup.AGREEING) for r in got)
+
+
+@pytest.mark.parametrize("n", [1, 4, 5, 31, 32, 33, 35, 36, 37, 64, 68, 69, 200])
+def test_minima_from_pieces(spark, n):
+    """Signatures are the minima over all shingles, however a line is cut."""
+    line = "".join(random.Random(n).choice("ab \t\r日😀é") for _ in range(n - 1)) + "x"
+    frame = spark.createDataFrame([(line,)], "line string")
+    hashed = frame.select("line", *[line_dedup.F.explode(line_dedup.shingles("line")).alias("s")]).selectExpr("hash(s) AS h")
+    wanted = hashed.selectExpr(*[f"min(hash(h, {i // line_dedup.ROWS}) ^ hash({i}))" for i in range(40)]).first()
+    assert list(line_dedup.signatures(frame).first())[1:] == list(wanted)
