@@ -183,13 +183,13 @@ class Layout:
         return zip(self.at[:-1], self.at[1:])
 
 
-def forward(layout: Layout, emitted, start, moves):
+def forward(layout: Layout, emitted, start, moves, out=None):
     """Scaled forward variables and scales; ``emitted`` holds each token's
     probability in each state. A text's likelihood is the product of its
-    scales."""
+    scales. ``out`` takes the variables; it may be ``emitted`` itself."""
     import numpy as np
 
-    alpha, scale = np.empty_like(emitted), np.empty(len(emitted), emitted.dtype)
+    alpha, scale = np.empty_like(emitted) if out is None else out, np.empty(len(emitted), emitted.dtype)
     ones = np.ones(emitted.shape[1], emitted.dtype)
     now = None
     for a, b in layout.spans():
@@ -197,8 +197,7 @@ def forward(layout: Layout, emitted, start, moves):
         if now is None:
             np.multiply(emitted[a:b], start, out=part)
         else:
-            np.matmul(now[: b - a], moves, out=part)
-            part *= emitted[a:b]
+            np.multiply(now[: b - a] @ moves, emitted[a:b], out=part)
         total = part @ ones
         part /= total[:, None]
         scale[a:b] = total
@@ -639,7 +638,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             emitted[out.at] = rare_emit[out.slot]
             f = counts[np.maximum(ids, 0)] if len(tier) else np.empty(len(ids), np.int64)
             f[out.at] = rare[0][out.slot]
-            _, scale = forward(layout, emitted[order], scorer.start, scorer.moves)
+            # one table of the tokens at a time, also for the forward variables
+            emitted = emitted[order]
+            _, scale = forward(layout, emitted, scorer.start, scorer.moves, out=emitted)
             found = np.empty(len(ids))
             found[order] = np.log10(scale)
             text = np.repeat(np.arange(len(lengths)), lengths)

@@ -104,6 +104,17 @@ def test_recursions_against_enumeration():
     assert np.allclose(first, total_first) and np.allclose(pairs, total_pairs)
 
 
+def test_forward_in_place():
+    """Scoring keeps one table of the tokens; scales are the same to the bit."""
+    rng = np.random.default_rng(2)
+    lengths = np.array([9, 4, 4, 1])
+    start, moves = rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3)
+    layout, emitted = hm.Layout(lengths), rng.random((18, 3))
+    alpha, scale = hm.forward(layout, emitted, start, moves)
+    placed, again = hm.forward(layout, emitted, start, moves, out=emitted)
+    assert placed is emitted and (placed == alpha).all() and (again == scale).all()
+
+
 def corpus(rng, n=200):
     """Two kinds of texts with words of their own, and rare words."""
     kinds = [[f"A{i}" for i in range(30)], [f"b{i}é" for i in range(30)]]
