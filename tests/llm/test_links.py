@@ -71,6 +71,52 @@ def test_links_in_one_component(spark, num, den, edits):
     assert roots_of(ids, found) == roots_of(ids, brute)
 
 
+@pytest.mark.parametrize("rounds", [(64,), (4, 64), (1, 8, 64)])
+def test_links_in_rounds_and_parts(spark, monkeypatch, rounds):
+    """Several groups of near copies in one component, most far from its
+    pivot: the same connections in any number of rounds and parts."""
+    rng = random.Random(sum(rounds))
+    sets = {0: frozenset(range(90_000, 90_100))}
+    for group in range(5):
+        base = list(range(1000 * group, 1000 * group + 100))
+        for _ in range(40):
+            s = set(base)
+            for _ in range(rng.randrange(16)):
+                s.discard(rng.choice(base))
+                s.add(rng.randrange(10_000, 10_000 + rng.choice([30, 100_000])))
+            sets[len(sets)] = frozenset(s)
+    members = spark.createDataFrame([(1, i, sorted(s)) for i, s in sets.items()], "comp long, id long, elements array<long>")
+    monkeypatch.setattr(setlinks, "ROUNDS", {0: rounds})
+    monkeypatch.setattr(setlinks, "CARRIED", 1)
+    found = [tuple(r) for r in setlinks.links(members, 80, 100).collect()]
+    ids = sorted(sets)
+    brute = [(a, b) for a in ids for b in ids if a < b and similar(sets[a], sets[b], 80, 100)]
+    assert {tuple(sorted(e)) for e in found} <= set(brute)
+    assert roots_of(ids, found) == roots_of(ids, brute)
+
+
+def test_near_copies_far_from_the_pivot_are_not_all_paired(spark, monkeypatch):
+    """300 near copies in the component of an unlike pivot: 44,850 pairs of
+    them would be linked, which grows with the square."""
+    rng = random.Random(4)
+    rows = [(1, 0, list(range(90_000, 90_200)))]
+    for i in range(1, 301):
+        own = {rng.randrange(200): 1000 * i + j for j in range(4)}
+        rows.append((1, i, [own.get(x, x) for x in range(200)]))
+    pairs, plain = [], setlinks.materialize
+
+    def counted(df, name):
+        out = plain(df, name)
+        pairs.append(out.count() if name == "pairs" else 0)
+        return out
+
+    monkeypatch.setattr(setlinks, "materialize", counted)
+    monkeypatch.setattr(setlinks, "ROUNDS", {0: (4, 64)}, raising=False)
+    found = [tuple(r) for r in setlinks.links(spark.createDataFrame(rows, "comp long, id long, elements array<long>"), 80, 100).collect()]
+    assert set(roots_of(range(301), found).values()) == {0, 1}
+    assert sum(pairs) < 12_000
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.integers(1, 400), st.integers(0, 60), st.sampled_from([(90, 100), (80, 100), (50, 100)]), st.integers(0, 10_000))
 def test_linked_sets_share_a_signature(size, edits, threshold, seed):
@@ -309,6 +355,16 @@ def test_unlike_lines_of_a_bucket_are_no_candidates(spark):
     assert len(comps) <= 100
 
 
+def test_candidates_by_half_of_the_bands(docs_of, spark, monkeypatch):
+    rng = random.Random(9)
+    stock = [" ".join(f"w{rng.randrange(900)}" for _ in range(20)) for _ in range(40)]
+    lines = stock + [x[:50] + "#" + x[51:] for x in stock[:25]]
+    signed = line_dedup.signatures(spark.createDataFrame([(x,) for x in lines], "line string"))
+    whole = sorted(map(tuple, line_dedup.candidate_components(signed).collect()))
+    monkeypatch.setattr(line_dedup, "MANY", 0)
+    assert sorted(map(tuple, line_dedup.candidate_components(signed).collect())) == whole and len(whole) >= 50
+
+
 def test_agreeing_sketches(spark):
     """The condition in SQL counts equal bytes, the sign's one too."""
     rng = random.Random(8)
