@@ -167,6 +167,12 @@ def word_ids(counted: DataFrame, tier: int) -> tuple[dict, DataFrame, DataFrame
     return first, known.unionByName(others), others
 
 
+def outside(data: bytes, known: dict) -> list[bytes]:
+    """The distinct words of a text that are not known; the tier is looked
+    into word by word, as walking or copying it would cost more than the text."""
+    return [w for w in set(words(data)) if w not in known and w != END]
+
+
 def with_others(texts: DataFrame, shared, others: DataFrame | None) -> DataFrame:
     """``texts`` with the column ``more``: the words outside the tier that
     have an id, with it (null where there are none)."""
@@ -182,7 +188,7 @@ def with_others(texts: DataFrame, shared, others: DataFrame | None) -> DataFrame
             out = []
             keys = batch.column("text_key").to_pylist()
             for lang, data, key in zip(batch.column("lang").to_pylist(), raw(batch.column("text")), keys):
-                out += [(key, lang, w) for w in set(words(data)) - tier.get(lang, {}).keys() - {END}]
+                out += [(key, lang, w) for w in outside(data, tier.get(lang, {}))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], k) for i, k in enumerate((pa.int64(), pa.string(), pa.binary()))],
                 ["text_key", "lang", "word"],
@@ -202,27 +208,27 @@ def sequences(batch, tier: dict) -> Iterator:
     """Arrays of word ids of the batch's texts, 0 where phrases break."""
     import numpy as np
 
-    more = batch.column("more").to_pylist()
-    chunks: dict[str, list[bytes]] = {}
-    for lang, data, extra in zip(batch.column("lang").to_pylist(), raw(batch.column("text")), more):
-        if extra:
-            ids = tier.get(lang, {}) | {x["word"]: x["id"] for x in extra}
-            text = words(data)
-            yield np.fromiter(map(ids.get, text, repeat(0)), np.uint64, len(text))
-            continue
-        held = chunks.setdefault(lang, [])
+    chunks: dict[str, tuple[list[bytes], dict[bytes, int]]] = {}
+    for lang, data, extra in zip(batch.column("lang").to_pylist(), raw(batch.column("text")), batch.column("more").to_pylist()):
+        held, more = chunks.setdefault(lang, ([], {}))
         held.append(data)
+        # a word has one id in its language, whichever text it comes with
+        more.update((x["word"], x["id"]) for x in extra or ())
         if sum(map(len, held)) >= CHUNK_BYTES:
-            yield joined(chunks.pop(lang), tier.get(lang, {}))
-    for lang, held in chunks.items():
-        yield joined(held, tier.get(lang, {}))
+            yield joined(*chunks.pop(lang), tier.get(lang, {}))
+    for lang, chunk in chunks.items():
+        yield joined(*chunk, tier.get(lang, {}))
 
 
-def joined(texts: list[bytes], ids: dict):
+def joined(texts: list[bytes], more: dict, ids: dict):
     import numpy as np
 
     text = words(END.join(texts))
-    return np.fromiter(map(ids.get, text, repeat(0)), np.uint64, len(text))
+    found = np.fromiter(map(ids.get, text, repeat(0)), np.uint64, len(text))
+    if more:
+        open_ = np.flatnonzero(found == 0)
+        found[open_] = np.fromiter((more.get(text[i], 0) for i in open_.tolist()), np.uint64, len(open_))
+    return found
 
 
 # --------------------------------------------------------------------------

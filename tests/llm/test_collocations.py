@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from playmart.llm import collocations
@@ -112,6 +113,34 @@ def test_against_brute_force(docs_of, monkeypatch, tier):
     assert rows_of(found) == expected
 
 
+class Tier(dict):
+    """Words that are looked up only."""
+
+    def walked(self, *_):
+        raise AssertionError("the tier is walked or copied")
+
+    __iter__ = __or__ = __ror__ = keys = items = values = copy = walked
+
+
+def test_a_text_costs_no_walk_over_the_tier(monkeypatch):
+    """Words outside the tier come with their texts; one array for a chunk of
+    texts, whether they have such words or not."""
+    tier = {"en": Tier({b"one": 1, b"two": 2}), "de": Tier({b"one": 3})}
+    assert sorted(collocations.outside(b"One three. four two three", tier["en"])) == [b"four", b"three"]
+    rows = [
+        ("en", "one three two", [{"word": b"three", "id": 9}]),
+        ("en", "two four five", [{"word": b"four", "id": 8}]),
+        ("de", "three one", [{"word": b"three", "id": 7}]),
+        ("en", "two one", None),
+    ]
+    kind = pa.list_(pa.struct([("word", pa.binary()), ("id", pa.int64())]))
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.string(), kind))]
+    batch = pa.RecordBatch.from_arrays(columns, ["lang", "text", "more"])
+    assert [a.tolist() for a in collocations.sequences(batch, tier)] == [[1, 9, 2, 0, 2, 8, 0, 0, 2, 1], [7, 3]]
+    monkeypatch.setattr(collocations, "CHUNK_BYTES", 1)
+    assert [a.tolist() for a in collocations.sequences(batch, tier)] == [[1, 9, 2], [2, 8, 0], [7, 3], [2, 1]]
+
+
 def test_top_and_ties(docs_of):
     rng = random.Random(3)
     texts, langs = corpus(rng, 80)
